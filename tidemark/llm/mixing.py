@@ -10,7 +10,7 @@ from tidemark.llm.common import count_words, documents, join_groups, materialise
 #: Weights of the sources in code point order, repeating; no document is taken more often than MAX_EPOCHS.
 CYCLE, MAX_EPOCHS = (5, 2, 1), 3
 #: Sources up to this number are broadcast; rows of a source that one bucket of keys holds on average.
-MANY_SOURCES, BUCKET_ROWS = 100_000, 20_000
+MANY_SOURCES, BUCKET_ROWS = 100_000, 500
 #: Weights of documents by quality label.
 GOOD, BAD, UNKNOWN = 2.0, 0.5, 1.0
 
