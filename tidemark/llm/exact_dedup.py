@@ -13,6 +13,7 @@ from tidemark.llm.common import BLANKS, join_groups, materialise, scratch
 #: State is kept on the executors' disks, in RocksDB, and committed to the shared checkpoint folder.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -67,9 +68,9 @@ def dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text", digest: Ca
     """One row per row of docs: ident, keep_id, group_size, kept, text_sha256, locator.
 
     Digests of normalised texts, identifiers and content locators (file and row) pass through a stream whose keyed
-    state never expires. Hits, that is rows of digests seen more than once, are then compared by their full bytes: per
-    digest the least and the greatest text must be the same, which partial aggregates find without gathering a group in
-    one task. If a digest holds different texts, its rows are grouped by the text itself.
+    state never expires. Full bytes are compared too: the least and the greatest text of a digest must be the same, which
+    differs for hits only, and which partial aggregates find without gathering a group in one task. If a digest holds
+    different texts, its rows are grouped by the text itself.
 
     A null text is an empty text. A null identifier sorts last, and its row is kept only if no other row has its text.
     Repeated rows with the smallest identifier are all kept. An empty table gives no rows. digest: how to make the
@@ -86,9 +87,8 @@ def dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text", digest: Ca
     seen = spark.read.parquet(keys)
     state = materialise(stream_state(keys, seen.schema, spark, scratch(spark, "dedup-state"), scratch(spark, "dedup-log"), files_per_batch), "dedup-groups")
 
-    hits = state.where("group_size > 1").select("digest", "group_size")
     content = docs.select(norm.alias("_norm")).select(make(F.col("_norm").cast("binary")).alias("digest"), "_norm")
-    bytes_of = join_groups(content, hits, "digest", "group_size").groupBy("digest").agg(F.min("_norm").alias("a"), F.max("_norm").alias("b"))
+    bytes_of = content.groupBy("digest").agg(F.min("_norm").alias("a"), F.max("_norm").alias("b"))
     clash = materialise(bytes_of.where("a != b").select("digest"), "dedup-clashes")
 
     groups = state.select("digest", "keep_id", "group_size")
