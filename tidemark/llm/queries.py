@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, exact_dedup, mixing, sharding
+from tidemark.llm import chat, decontamination, exact_dedup, language, mixing, sharding, toxicity
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op5_winnowing": decontamination.op5_winnowing,
     "op6_stream_dedup": exact_dedup.op6_stream_dedup,
     "op8_snapshot_collapse": chat.op8_snapshot_collapse,
+    "op9_ftrl": toxicity.op9_ftrl,
+    "op10_nearest_centroid": language.op10_nearest_centroid,
 }
 ORACLE_SQL = {
     "op2_mix_sources": mixing.OP2_SQL,
+    "op5_winnowing": decontamination.OP5_SQL,
     "op6_stream_dedup": exact_dedup.OP6_SQL,
     "op8_snapshot_collapse": chat.OP8_SQL,
 }
