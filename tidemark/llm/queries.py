@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontamination, exact_dedup, language, mixing, sharding, toxicity
+from tidemark.llm import chat, decontamination, exact_dedup, language, mixing, near_dedup, sharding, toxicity
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op5_winnowing": decontamination.op5_winnowing,
     "op6_stream_dedup": exact_dedup.op6_stream_dedup,
+    "op7_order_minhash": near_dedup.op7_order_minhash,
     "op8_snapshot_collapse": chat.op8_snapshot_collapse,
     "op9_ftrl": toxicity.op9_ftrl,
     "op10_nearest_centroid": language.op10_nearest_centroid,
