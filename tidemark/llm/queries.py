@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontamination, exact_dedup, language, mixing, near_dedup, sharding, toxicity
+from tidemark.llm import archives, chat, decontamination, exact_dedup, language, mixing, near_dedup, sharding, toxicity
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op4_arc_to_warc": archives.op4_arc_to_warc,
     "op5_winnowing": decontamination.op5_winnowing,
     "op6_stream_dedup": exact_dedup.op6_stream_dedup,
     "op7_order_minhash": near_dedup.op7_order_minhash,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op2_mix_sources": mixing.OP2_SQL,
+    "op4_arc_to_warc": archives.OP4_SQL,
     "op5_winnowing": decontamination.OP5_SQL,
     "op6_stream_dedup": exact_dedup.OP6_SQL,
     "op8_snapshot_collapse": chat.OP8_SQL,
