@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import archives, chat, decontamination, exact_dedup, language, mixing, near_dedup, sharding, toxicity
+from tidemark.llm import archives, chat, decontamination, exact_dedup, language, mixing, near_dedup, pii, sharding, toxicity
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_candidate_boosting": pii.op3_candidate_boosting,
     "op4_arc_to_warc": archives.op4_arc_to_warc,
     "op5_winnowing": decontamination.op5_winnowing,
     "op6_stream_dedup": exact_dedup.op6_stream_dedup,
