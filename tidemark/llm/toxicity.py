@@ -13,7 +13,7 @@ from tidemark.llm.common import documents, words
 from tidemark.llm.language import remainder
 
 #: Coordinates, and the expected number of labelled rows that a fit reads, which bounds the one task that learns.
-DIMS, FIT_ROWS = 1 << 20, 16_000
+DIMS, FIT_ROWS = 1 << 20, 10_000
 #: FTRL-proximal: learning rate, its offset and L1; passes over the sample.
 ALPHA, BETA, L1, PASSES = 2.0, 1.0, 4.0, 12
 #: A coordinate enters the model if this many texts of the sample have it; what a pair or skip-gram counts, words count 1.
@@ -60,14 +60,20 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_o", "_key"])
-        xs, ys = [features(h) for h in pdf["h"]], pdf["_y"].to_numpy()
+        ys = pdf["_y"].to_numpy()
         z, n, seen = np.zeros(DIMS), np.zeros(DIMS), np.zeros(DIMS, dtype=np.int32)
-        for x, _ in xs:
-            seen[x] += 1
+        for h in pdf["h"]:
+            seen[features(h)[0]] += 1
         seen[0] = SEEN
-        xs = [(x[keep], v[keep]) for x, v in xs for keep in [seen[x] >= SEEN]]
+        xs = []
+        for h in pdf["h"]:  # only what is often enough is held, as coordinates and the number of those that count 1
+            x, v = features(h)
+            keep = seen[x] >= SEEN
+            xs.append((x[keep].astype(np.int32), int((v[keep] == 1).sum())))
         for _ in range(PASSES):
-            for (x, v), y in zip(xs, ys, strict=True):
+            for (x, words_), y in zip(xs, ys, strict=True):
+                v = np.full(len(x), PAIR)
+                v[:words_] = 1
                 zx, nx = z[x], n[x]
                 w = _weights(zx, nx)
                 g = (_logistic(w @ v) - y) * v
