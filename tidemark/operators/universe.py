@@ -102,12 +102,12 @@ def ever_members(snapshots: DataFrame, start: str, end: str) -> DataFrame:
     """Upper-cased symbols of any snapshot in the window; an empty window is an error."""
     if start > end:
         raise ValueError("the window is empty")
-    return snapshots.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(F.upper(F.explode("tickers")).alias("symbol")).distinct()
+    return snapshots.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(F.explode(F.transform("tickers", lambda t: F.upper(t))).alias("symbol")).distinct()
 
 
 def current_members(snapshots: DataFrame, end: str) -> DataFrame:
     """Upper-cased symbols of the latest snapshot on or before end."""
-    return snapshots.where(F.col("date") <= F.lit(end).cast("date")).agg(F.max_by("tickers", "date").alias("t")).select(F.upper(F.explode("t")).alias("symbol")).distinct()
+    return snapshots.where(F.col("date") <= F.lit(end).cast("date")).agg(F.max_by("tickers", "date").alias("t")).select(F.explode(F.transform("t", lambda x: F.upper(x))).alias("symbol")).distinct()
 
 
 def audit_survivorship(snapshots: DataFrame, available: DataFrame, start: str, end: str) -> DataFrame:

@@ -11,11 +11,6 @@ SERIES = ["provider", "symbol", "timeframe"]
 OHLC = ["open", "high", "low", "close"]
 
 BARS = T.StructType([T.StructField("timestamp", T.TimestampType())] + [T.StructField(c, PRICE) for c in OHLC] + [T.StructField("volume", VOLUME)])
-COVERAGE = T.StructType.fromDDL("provider string, dataset string, timeframe string, symbol string, start_ts timestamp, end_ts timestamp, fetched_at timestamp, batch_job_id string")
-SHORT_INTEREST = T.StructType.fromDDL(
-    "settlement_date date, dissemination_date date, symbol string, issue_name string, market string, short_interest long, previous_short_interest long, average_daily_volume long, days_to_cover double, change_percent double, source_url string, source_sha256 string"
-)
-CHAIN = T.StructType.fromDDL("instrument_id long, raw_symbol string, underlying string, option_type string, strike decimal(38,8), expiry date, multiplier int, exercise_style string")
 
 #: Bar intervals in minutes.
 MINUTES = {"1m": 1, "5m": 5, "15m": 15, "30m": 30, "1h": 60, "4h": 240, "12h": 720, "1d": 1440}
