@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: UTC everywhere, re-planning at run time, aggregates answered from Parquet footers.
@@ -17,3 +20,13 @@ SETTINGS = {
 def build(master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName("tidemark").config(map=SETTINGS | extra)
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def workdir(spark: SparkSession, name: str) -> str:
+    """A new folder in spark.checkpoint.dir; only a local session without that setting gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-tidemark-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
