@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 PURPOSES = ("discovery", "validation", "characterization", "forward_accrual", "dev_smoke")
 RESEARCH = PURPOSES[:-1]
 LADDER, MONTH_END, CRYPTO_FUTURES = ("SPY", "QQQ"), ("SPY", "AGG"), ("@MBT", "@MET")
-LEDGER = T.StructType.fromDDL(
-    "version string, dataset string, discovery_start date, discovery_end date, validation_start date, validation_end date, lockbox_start date, characterization_start date, characterization_end date, forward_accrual_start date, allowed_purposes array<string>"
-)
+LEDGER_DAYS = ("discovery_start", "discovery_end", "validation_start", "validation_end", "lockbox_start", "characterization_start", "characterization_end", "forward_accrual_start")
+LEDGER = T.StructType([T.StructField("version", T.StringType()), T.StructField("dataset", T.StringType()), *[T.StructField(c, T.DateType()) for c in LEDGER_DAYS], T.StructField("allowed_purposes", T.ArrayType(T.StringType()))])
 #: First day of discovery by dataset; it ends with 2024, 2025 is for validation, the lockbox opens with 2026.
 DISCOVERY = {
     "spy_qqq_ladder_tradestation": 2015, "month_end_spy_agg": 2017, "index_recon_sp500": 2017, "tradestation_cohort_1m": 2019, "oanda_fx": 2020, "binance_spot": 2020, "coinbase_spot": 2020, "tradestation_crypto_futures": 2022,
