@@ -8,11 +8,9 @@ from tidemark.operators import compare, quality, rollup
 from tidemark.plans import views
 from tidemark.plans.views import BARS_SQL, DAILY_SQL, us
 
-_PRICES = [F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")]
-
-
 def _out(df, *more):
-    return df.select("symbol", us("timestamp", "ts_us"), *_PRICES, F.col("volume").cast("long").alias("volume"), *more)
+    prices = [F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")]
+    return df.select("symbol", us("timestamp", "ts_us"), *prices, F.col("volume").cast("long").alias("volume"), *more)
 
 
 def _rollup(timeframe):
