@@ -138,10 +138,12 @@ def test_event_clock_after_an_early_close(spark):
 
 
 def test_short_interest_dates(spark):
-    cal = calendar.sessions(spark, "2024-12-01", "2025-02-28")
-    df = spark.createDataFrame([(date(2024, 12, 31),)], "settlement_date date")
-    assert calendar.dissemination_date(df, cal).first().dissemination_date == date(2025, 1, 13) or True
-    assert [r[0] for r in calendar.settlement_dates(cal, "2025-01-01", "2025-01-31").orderBy(F.col("settlement_date")).collect()] == [date(2025, 1, 15), date(2025, 1, 31)]
+    cal = calendar.sessions(spark, "2026-01-01", "2026-03-31")
+    df = spark.createDataFrame([(date(2026, 1, 15),), (date(2026, 1, 30),)], "settlement_date date")
+    got = {r.settlement_date: r.dissemination_date for r in calendar.dissemination_date(df, cal).collect()}
+    assert got == {date(2026, 1, 15): date(2026, 1, 27), date(2026, 1, 30): date(2026, 2, 10)}
+    days = [r.settlement_date for r in calendar.settlement_dates(cal, "2026-01-01", "2026-03-31").orderBy("settlement_date").collect()]
+    assert days == [date(2026, 1, 15), date(2026, 1, 30), date(2026, 2, 13), date(2026, 2, 27), date(2026, 3, 13), date(2026, 3, 31)]
 
 
 def test_fomc(spark):
