@@ -30,6 +30,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows and bytes of the batches that go to Python workers, which hold two of them; texts are much longer than usual values.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have Spark hand texts to Python workers in small batches, unless the session asks for smaller ones."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(name).rstrip("bB")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared scratch folder and read again: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
@@ -43,11 +55,12 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str, how: s
     Groups with more than hot_share of all rows, of which there are at most 1 / hot_share, are broadcast, so that no
     key gathers its rows in one task; the rest are joined through a shuffle. how: inner or left.
     """
-    total = groups.agg(F.sum(count)).first()[0] or 0
-    is_hot = F.col(count) > F.lit(max(1.0, total * hot_share))
-    hot, cold = groups.where(is_hot), groups.where(~is_hot)
-    if not total or hot.isEmpty():
+    total, largest = groups.agg(F.sum(count), F.max(count)).first()
+    limit = max(1.0, (total or 0) * hot_share)
+    if not total or largest <= limit:
         return rows.join(groups, key, how)
+    is_hot = F.col(count) > F.lit(limit)
+    hot, cold = groups.where(is_hot), groups.where(~is_hot)
     marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     from_hot = marked.where("_hot").drop("_hot")
     rest = marked.where("_hot is null").select(*rows.columns).join(cold, key, how)

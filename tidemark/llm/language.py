@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, materialise
+from tidemark.llm.common import bounded_batches, documents
 
 #: n-grams of bytes of these lengths share DIMS hashed dimensions.
 LENGTHS, DIMS = (2, 3, 4), 8192
 #: Expected number of training texts per language for the centroids, and centroids per language.
-FIT_TEXTS, CENTROIDS, ROUNDS = 1500, 4, 8
+FIT_TEXTS, CENTROIDS, ROUNDS = 1000, 4, 8
 #: A text of at least 2 ** SHORT n-grams is rejected if its cosine with the nearest centroid is below SLACK times the QUANTILE of texts of its length.
 QUANTILE, SLACK, SHORT = 0.001, 0.3, 6
 UNKNOWN = "und"
@@ -114,6 +114,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
     vectors into CENTROIDS clusters. The rejection floor of each length class is SLACK times the QUANTILE of the
     sample's cosines with its own language, and 0 for texts of fewer than 2 ** SHORT n-grams.
     """
+    bounded_batches(train.sparkSession)
     rows = train.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), lowered(F.col(text)).alias("t"), F.col(key).alias("k"))
     df, n = document_frequency(rows.select("t"))
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
@@ -127,11 +128,14 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["k", "t"])
-        found = [c for t in pdf["t"] if (c := _counts(np.frombuffer(t.encode(), dtype=np.uint8))) is not None]
-        if not found:
+        x, sizes = np.empty((len(pdf), DIMS), dtype=np.float32), []
+        for t in pdf["t"]:
+            if (c := _counts(np.frombuffer(t.encode(), dtype=np.uint8))) is not None:
+                x[len(sizes)] = _weigh(c, idf)
+                sizes.append(c.sum())
+        if not sizes:
             return pd.DataFrame({"lang": [], "kind": [], "v": []})
-        x = np.stack([_weigh(c, idf) for c in found])
-        length = _length_class(np.array([c.sum() for c in found]))
+        x, length = x[: len(sizes)], _length_class(np.array(sizes))
         mean = x.sum(axis=0)
         chosen = [x[int(np.argmax(x @ mean))]]
         while len(chosen) < min(CENTROIDS, len(x)):  # the farthest from those chosen
@@ -170,6 +174,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     spark = docs.sparkSession
     if {"lang_pred", "score", "rejected"} & {c.lower() for c in docs.columns}:
         raise ValueError("the input already has a column lang_pred, score or rejected")
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, words
+from tidemark.llm.common import bounded_batches, documents, words
 from tidemark.llm.language import remainder
 
 #: Coordinates, and the expected number of labelled rows that a fit reads, which bounds the one task that learns.
@@ -94,6 +94,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> Column:
 
     The weights are broadcast as the coordinates that are not zero: at most DIMS, whatever the input.
     """
+    bounded_batches(docs.sparkSession)
     at = np.flatnonzero(weights)
     shared = docs.sparkSession.sparkContext.broadcast((at, weights[at]))
 
