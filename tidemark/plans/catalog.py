@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import bar_queries, flow_queries, series_queries, vendor_queries
+from tidemark.plans import bar_queries, flow_queries, series_queries, table_queries, vendor_queries
 
-AREAS = (bar_queries, flow_queries, series_queries, vendor_queries)
+AREAS = (bar_queries, flow_queries, series_queries, table_queries, vendor_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
