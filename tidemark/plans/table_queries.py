@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import calendar, compare, filings, governance, quality, rollup
+from tidemark.operators import calendar, compare, filings, governance, quality, rollup, universe
 from tidemark.plans import bar_queries, flow_queries, vendor_queries, views
 from tidemark.plans.views import BARS_SQL, us
 from tidemark.session import workdir
@@ -120,7 +120,26 @@ def f3(spark, d):
     return quality.last_n(o, ["o_custkey"], "o_orderkey", 3)
 
 
+def c2(spark, d):
+    hourly, _ = quality.normalize_hourly(rollup.aggregate_bars(views.bars_1m(spark, d), "1h"))
+    return hourly.groupBy("symbol").agg(F.count("*").alias("hours"), F.count_if("is_synthetic_bar").alias("synthetic"))
+
+
+def c11(spark, d):
+    out = governance.decide_reads(vendor_queries._requests(spark, d), governance.campaign_ledger(spark))
+    return out.where("reason in ('outside_window', 'no_window', 'lockbox')").groupBy("dataset", "reason").agg(F.count("*").alias("n"))
+
+
+def g7(spark, d):
+    b = views.bars_1m(spark, d)
+    newer = b.where(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp")).withColumn("volume", F.col("volume") + 1)
+    return rollup.splice_history(b.where("symbol <> 'view'").drop("open"), newer).select("symbol", us("timestamp", "ts_us"), F.col("open").cast("double").alias("open"), "volume")
+
+
 QUERIES = {
+    "b11_fx_session_date": lambda s, d: views.ticks(s, d).select("event_id", F.datediff(calendar.fx_session_date(F.col("timestamp")), F.lit("1970-01-01").cast("date")).alias("day")),
+    "c2_hourly_grid": c2, "c11_windows": c11, "g7_splice_history": g7,
+    "g2_filter_universe": lambda s, d: universe.filter_universe(views.reference(s, d), "security_type in ('STANDARD', 'PROMO') and dollar_volume_20d < 10000"),
     "a2_list_series": a2, "a5_overwrite_bars": a5, "a8_to_bars": a8, "a19_short_interest": a19, "a20_membership_snapshots": a20, "a26_reference": a26, "a27_export": a27, "a28_write_table": a28, "b3_to_utc": b3, "b4_metadata": b4,
     "f3_last_n": f3, "f5_dedup_actions": f5, "h0_sessions": h0, "h6_settlement_dates": h6, "i10_match_basis": i10, "j1_route_dataset": j1, "j4_usage_log": j4,
     "j6_asset_rules": lambda s, d: governance.asset_class_rules(vendor_queries._requests(s, d)).select("request_id", "rule"),
@@ -130,6 +149,11 @@ _HOLIDAYS = "', date '".join(sorted(str(x) for y in range(1995, 2002) for x in c
 _EARLY = "', date '".join(sorted(str(x) for y in range(1995, 2002) for x in calendar.early_closes(y)))
 _DAYS = lambda c: f"date_diff('day', date '1970-01-01', {c})::int"
 ORACLE_SQL = {
+    "b11_fx_session_date": f"select event_id, {_DAYS('(' + vendor_queries._LONDON + ')::date')} as day from events",
+    "c2_hourly_grid": f"with {BARS_SQL}, h as (select distinct symbol, date_trunc('hour', ts) as ts from bars), g as (select symbol, unnest(generate_series(min(ts), max(ts), interval 1 hour)) as ts from h group by symbol) select g.symbol, count(*) as hours, count(*) filter (h.ts is null) as synthetic from g left join h on h.symbol = g.symbol and h.ts = g.ts group by g.symbol",
+    "c11_windows": f"with {vendor_queries._REQ} select ds as dataset, reason, count(*) as n from dec where reason in ('outside_window', 'no_window', 'lockbox') group by all",
+    "g7_splice_history": f"with {BARS_SQL}, n as (select * from bars where ts >= timestamp '2024-01-10'), f as (select symbol, min(ts) as a from n group by symbol) select symbol, epoch_us(ts) as ts_us, open::double as open, volume + 1 as volume from n union all select b.symbol, epoch_us(ts), null, volume from bars b left join f on f.symbol = b.symbol where b.symbol <> 'view' and (a is null or ts < a)",
+    "g2_filter_universe": "select distinct 'P' || p_partkey as symbol, true as pit from part where p_type in ('STANDARD', 'PROMO') and p_size * p_retailprice < 10000",
     "a2_list_series": f"with {BARS_SQL} select distinct 'vendor' as provider, symbol, '1m' as timeframe from bars",
     "a5_overwrite_bars": f"with {BARS_SQL} select symbol, epoch_us(ts) as ts_us from bars where symbol <> 'click' or hour(ts) < 3",
     "a8_to_bars": f"with {BARS_SQL} select epoch_us(ts) as ts_us, open::varchar as open, high::varchar as high, low::varchar as low, close::varchar as close, volume::decimal(18,2)::varchar as volume from bars",
