@@ -226,6 +226,41 @@ def test_near_classes_of_many_families(spark, monkeypatch):
     assert {r._id: r.class_id for r in out} == brute.near_classes(rows)
 
 
+def edited(rng, text, share):
+    """The words of text with every so many of them replaced, so that about this share of the five-word shingles is lost."""
+    out, step = list(text), round(5 / share)
+    for k in range(rng.randrange(step), len(out), step):
+        out[k] = f"v{rng.randrange(10**9)}"
+    return out
+
+
+def bridged(rng, groups):
+    """Groups of near copies of a base; of two more texts that are similar, one only is similar to the base."""
+    rows = []
+    for _ in range(groups):
+        base = words(rng, 200, 9000)
+        bridge = edited(rng, base, 0.1)
+        texts = [edited(rng, base, 0.025) for _ in range(20)] + [bridge, edited(rng, bridge, 0.1)]
+        rows += [(len(rows) + i, " ".join(w)) for i, w in enumerate(texts)]
+    return rows
+
+
+def drifting(rng, versions):
+    """Versions of a text, each with one word of the one before replaced."""
+    w, rows = words(rng, 300, 9000), []
+    for k in range(versions):
+        w[k * 37 % 300] = f"v{rng.randrange(10**9)}"
+        rows.append((k, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("make", [lambda rng: bridged(rng, 8), lambda rng: drifting(rng, 200)], ids=["bridged", "drifting"])
+def test_near_classes_reach_past_the_centre(spark, make):
+    rows = make(random.Random(13))
+    out = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r._id: r.class_id for r in out} == brute.near_classes(rows)
+
+
 def test_near_classes_of_nothing(empty):
     assert near_dedup.classes(empty).count() == 0 and near_dedup.dedup(empty).count() == 0
 

@@ -16,10 +16,12 @@ from tidemark.llm.common import bounded_batches, documents, join_groups, materia
 SHINGLE, SIMILAR = 5, 0.8
 #: Sketches per text, and shingles per sketch: texts of similarity s agree in a sketch with probability of about s ** ORDERED.
 SKETCHES, ORDERED = 28, 5
-#: In a bucket of at most SMALL texts each meets each; in a larger one each meets the centre.
+#: In a bucket of at most SMALL texts each meets each; in a larger one each meets the centre first.
 SMALL = 8
-#: A bucket that is dealt again is dealt by each of this many sketches that follow its last one.
-NEXT = 3
+#: 1 - similarity is a metric: what is similar to a text that is similar to the centre has at least this similarity to the centre.
+RING = 2 * SIMILAR - 1 - 1e-9
+#: Pairs in large buckets are made in squares of about this many texts a side, so that no bucket gathers in one task.
+SIDE = 256
 _MULTIPLY, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SEEDS = np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
@@ -71,20 +73,20 @@ def sketches(shingles: np.ndarray) -> list[int]:
     return out.view(np.int64).tolist()
 
 
-def alignment(a: np.ndarray, b: np.ndarray) -> float:
+def alignment(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
     """Shingles that the best alignment of two texts matches, over those that either has.
 
     Labelled shingles are unique in a text, so the best alignment is the longest increasing run of matched positions.
-    Only matches inside the band count: further from the diagonal, no alignment can reach SIMILAR.
+    Only matches inside the band count: further from the diagonal, no alignment can reach least; results below it may be too low.
     """
     n, m = len(a), len(b)
-    if not n or not m or min(n, m) < SIMILAR * max(n, m):
+    if not n or not m or min(n, m) < least * max(n, m):
         return 0.0
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    band = int((n + m) * (1 - SIMILAR) / (1 + SIMILAR)) + 1
+    band = int((n + m) * (1 - least) / (1 + least)) + 1
     keep = np.abs(i - j) <= band
     i, j = i[keep], j[keep]
-    if len(i) < SIMILAR / (1 + SIMILAR) * (n + m) - 1e-9:
+    if len(i) < least / (1 + least) * (n + m) - 1e-9:
         return 0.0
     j = j[np.argsort(i)]
     if (np.diff(j) > 0).all():
@@ -127,7 +129,7 @@ def _short_shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 @F.pandas_udf(T.DoubleType())
 def _aligned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in batches:
-        yield pd.Series([alignment(np.asarray(a), np.asarray(b)) for a, b in zip(left, right, strict=True)], dtype=float)
+        yield pd.Series([alignment(np.asarray(a), np.asarray(b), RING) for a, b in zip(left, right, strict=True)], dtype=float)
 
 
 def keys(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> list[Column]:
@@ -168,10 +170,11 @@ def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataF
 
     Texts with equal words form one node. Nodes that agree in a sketch share a bucket. In a bucket of at most SMALL
     nodes each meets each; in a larger one every node meets the centre, the node that shares most buckets with others.
-    Those that turn out not to be similar to it are dealt again to buckets of nodes that agree in one of the NEXT sketches
-    too, and so on, until none is left over: texts that share a passage part, and near copies find their own centre.
+    Then, in the larger ones, each node that is not yet in the centre's class meets all nodes that are not yet in its own
+    class, except those that its similarity to the centre rules out: every two similar nodes that share a bucket end in one class.
     Candidates are verified by alignment and linked from SIMILAR on. Classes are the connected components, named after
-    their smallest identifier; links counts a row's verified links to other nodes, not its copies.
+    their smallest identifier; links counts a row's verified links to other nodes, not its copies. Nodes of a large bucket
+    that are in one class already are not compared, so there links is a lower bound of the similar nodes.
 
     Texts without words are only linked to equal texts; null counts as empty. A null identifier is the lowest. The row
     with the smallest identifier of its class is kept, with its repetitions. An empty table gives no rows.
@@ -181,32 +184,22 @@ def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataF
     rows = materialise(hashed.select("_id", "_th", "_node", "n_words", _sketch("h").alias("sketch")), "near-rows")
     nodes = rows.groupBy("_node").agg(F.min(F.struct("_id", "_th")).alias("rep"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("sketch").alias("sketch"))
     nodes = materialise(nodes, "near-nodes")
-    dealt = nodes.where(F.size("sketch") > 0).select("_node", "n_words", F.posexplode("sketch").alias("last", "s")).withColumn("first", F.col("last"))
-    live = _shared(dealt.select("_node", "n_words", "first", "last", F.xxhash64("last", "s").alias("bucket")))
+    dealt = nodes.where(F.size("sketch") > 0).select("_node", "n_words", F.posexplode("sketch").alias("at", "s"))
+    live = _shared(dealt.select("_node", "n_words", F.xxhash64("at", "s").alias("bucket")))
     popular = materialise(live.groupBy("_node").agg(F.sum("size").alias("popular")), "near-popular")
     shingles = _shingle_table(docs, nodes, popular, text, ident)
-    asked = materialise(nodes.select("_node", "sketch").join(popular, "_node"), "near-asked")
-    live = live.join(popular, "_node")
-    fits = lambda n, m: F.least(_shingle_count(n), _shingle_count(m)) >= F.lit(SIMILAR) * F.greatest(_shingle_count(n), _shingle_count(m))
-    found = None
-    while True:
-        small = live.where(F.col("size") <= SMALL).select("bucket", "_node", "n_words")
-        other = small.select("bucket", F.col("_node").alias("b"), F.col("n_words").alias("m"))
-        pairs = small.withColumnRenamed("_node", "a").join(other, "bucket").where((F.col("a") < F.col("b")) & fits(F.col("n_words"), F.col("m"))).select("a", "b")
-        large = live.where(F.col("size") > SMALL)
-        centres = large.groupBy("bucket").agg(F.max(F.struct("popular", "_node", "n_words")).alias("c"), F.count("*").alias("_n"))
-        met = join_groups(large, materialise(centres, "near-centres"), "bucket", "_n").where("_node != c._node")
-        met = materialise(met.select("_node", "n_words", "popular", "first", "last", "bucket", F.col("c._node").alias("to"), F.col("c.n_words").alias("m")), "near-met")
-        star = met.where(fits(F.col("n_words"), F.col("m"))).select(F.least("_node", "to").alias("a"), F.greatest("_node", "to").alias("b"))
-        links = materialise(_verified(shingles, materialise(pairs.union(star).distinct(), "near-pairs")), "near-verified")
-        found = links if found is None else found.union(links)
-        linked = links.select(F.col("a").alias("_node"), F.col("b").alias("to")).union(links.select("b", "a"))
-        rest = met.join(linked, ["_node", "to"], "left_anti").select("_node", "n_words", "first", "last", "bucket")
-        rest = rest.join(asked, "_node").withColumn("last", F.explode(F.sequence(F.col("last") + 1, F.col("last") + NEXT))).where(F.col("last") < F.col("first") + SKETCHES)
-        again = F.xxhash64("bucket", F.col("last") % SKETCHES, F.element_at("sketch", F.col("last") % SKETCHES + 1))
-        live = _shared(rest.select("_node", "n_words", "popular", "first", "last", again.alias("bucket")))
-        if live.isEmpty():
-            break
+    small = live.where(F.col("size") <= SMALL).select("bucket", "_node", "n_words")
+    other = small.select("bucket", F.col("_node").alias("b"), F.col("n_words").alias("m"))
+    pairs = small.withColumnRenamed("_node", "a").join(other, "bucket").where((F.col("a") < F.col("b")) & _fits(F.col("n_words"), F.col("m"))).select("a", "b")
+    large = materialise(live.where(F.col("size") > SMALL).join(popular, "_node"), "near-large")
+    centres = materialise(large.groupBy("bucket").agg(F.max(F.struct("popular", "_node", "n_words")).alias("c"), F.count("*").alias("_n")), "near-centres")
+    met = join_groups(large.select("_node", "n_words", "bucket"), centres, "bucket", "_n").where("_node != c._node")
+    met = materialise(met.select("_node", "n_words", "bucket", F.col("c._node").alias("to"), F.col("c.n_words").alias("m")), "near-met")
+    star = met.where(_fits(F.col("n_words"), F.col("m"), RING)).select(F.least("_node", "to").alias("a"), F.greatest("_node", "to").alias("b"))
+    scored = materialise(_verified(shingles, materialise(pairs.union(star).distinct(), "near-pairs")), "near-scored")
+    links = scored.where(F.col("alike") >= SIMILAR).select("a", "b")
+    more = _verified(shingles, materialise(_remaining(met, centres, scored, components(links)), "near-remaining"))
+    found = links.union(more.where(F.col("alike") >= SIMILAR).select("a", "b"))
 
     found = materialise(found.select("a", "b").distinct(), "near-found")
     degree = found.select(F.col("a").alias("_node")).union(found.select("b")).groupBy("_node").agg(F.count("*").alias("links"))
@@ -224,6 +217,34 @@ def _shingle_count(n: Column) -> Column:
     return F.greatest(n - (SHINGLE - 1), F.lit(1))
 
 
+def _fits(n: Column, m: Column, least: float = SIMILAR) -> Column:
+    """Whether texts of n and m words can have the similarity least by their lengths."""
+    return F.least(_shingle_count(n), _shingle_count(m)) >= F.lit(least) * F.greatest(_shingle_count(n), _shingle_count(m))
+
+
+def _remaining(met: DataFrame, centres: DataFrame, scored: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of met's nodes that share a large bucket and are in different classes so far, unless their similarities to its centre rule them out.
+
+    One side is open, which means not yet in the centre's class. Similarities to the centre below RING are not known (null).
+    """
+    to_centre = scored.select(F.col("a").alias("_node"), F.col("b").alias("to"), "alike").union(scored.select("b", "a", "alike"))
+    known = met.join(to_centre, ["_node", "to"], "left").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
+    classed = centres.select("bucket", F.col("c._node").alias("_node"), F.col("_n")).join(roots, "_node", "left").select("bucket", "_n", F.coalesce("_root", "_node").alias("_centre"))
+    known = join_groups(known, materialise(classed, "near-classed"), "bucket", "_n").select("bucket", "_node", "n_words", "_root", "alike", (F.col("_root") != F.col("_centre")).alias("open"))
+    known = materialise(known, "near-known")
+    sides = known.groupBy("bucket").agg(F.count("*").alias("_n"), F.count_if("open").alias("_open")).where("_open > 0")
+    sides = sides.select("bucket", "_n", F.ceil(F.col("_n") / SIDE).cast("int").alias("_all_sides"), F.ceil(F.col("_open") / SIDE).cast("int").alias("_open_sides"))
+    rows = materialise(join_groups(known, materialise(sides, "near-sides"), "bucket", "_n"), "near-open")
+    own = lambda n: F.pmod(F.xxhash64("_node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("open").select("bucket", F.col("_node").alias("x"), F.col("n_words").alias("n"), F.col("_root").alias("rx"), F.col("alike").alias("ax"), own("_open_sides").alias("i"), every("_all_sides").alias("j"))
+    right = rows.select("bucket", F.col("_node").alias("y"), F.col("n_words").alias("m"), F.col("_root").alias("ry"), F.col("alike").alias("ay"), "open", own("_all_sides").alias("j"), every("_open_sides").alias("i"))
+    apart = lambda p, q: F.col(p).isNull() & (F.coalesce(F.col(q), F.lit(0.0)) >= SIMILAR)
+    far = apart("ax", "ay") | apart("ay", "ax") | (F.coalesce(F.abs(F.col("ax") - F.col("ay")), F.lit(0.0)) > 1 - SIMILAR + 1e-9)
+    met_too = left.join(right, ["bucket", "i", "j"]).where((~F.col("open") | (F.col("x") < F.col("y"))) & (F.col("rx") != F.col("ry")) & _fits(F.col("n"), F.col("m")) & ~far)
+    return met_too.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _shared(dealt: DataFrame) -> DataFrame:
     """dealt's rows in buckets of several nodes, with size."""
     counts = materialise(dealt.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "near-buckets")
@@ -240,11 +261,11 @@ def _shingle_table(docs: DataFrame, nodes: DataFrame, asked: DataFrame, text: st
 
 
 def _verified(shingles: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs of nodes that are similar; a node with very many partners is not gathered in one task."""
+    """The pairs of nodes whose similarity, alike, is at least RING; a node with very many partners is not gathered in one task."""
     met = pairs.groupBy("b").agg(F.count("*").alias("_n")).join(shingles.select(F.col("_node").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
     both = pairs.join(shingles.select(F.col("_node").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
     both = join_groups(both, materialise(met, "near-partners"), "b", "_n", hot_share=0.005)
-    return both.where(_aligned("sa", "sb") >= SIMILAR).select("a", "b")
+    return both.select("a", "b", _aligned("sa", "sb").alias("alike")).where(F.col("alike") >= RING)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
