@@ -261,6 +261,24 @@ def test_near_classes_reach_past_the_centre(spark, make):
     assert {r._id: r.class_id for r in out} == brute.near_classes(rows)
 
 
+def test_near_classes_lose_no_pair_of_a_large_bucket(spark, monkeypatch):
+    """Similar texts among many that share a passage, with few sketches, so that pairs have few buckets, nearly all of them large."""
+    sketch = near_dedup._sketch
+    monkeypatch.setattr(near_dedup, "_sketch", lambda c: F.slice(sketch(c), 1, 4))
+    monkeypatch.setattr(near_dedup, "SKETCHES", 4)
+    rng = random.Random(17)
+    passage, rows = words(rng, 170, 9000), []
+    for i in range(0, 160, 2):
+        own = passage + words(rng, 30, 9000)
+        rows += [(i, " ".join(own)), (i + 1, " ".join(edited(rng, own, 0.1)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    shared = {r._id: set(enumerate(r.s)) for r in near_dedup._hashed(df, "text", "doc_id").select("_id", near_dedup._sketch("h").alias("s")).collect()}
+    got = {r._id: r.class_id for r in near_dedup.classes(df).collect()}
+    similar = [i for i in range(0, 160, 2) if shared[i] & shared[i + 1] and brute.near_classes(rows[i : i + 2])[i + 1] == i]
+    lost = [i for i in similar if got[i] != got[i + 1]]
+    assert len(similar) > 40 and not lost, f"{len(lost)} of {len(similar)} lost"
+
+
 def test_near_classes_of_nothing(empty):
     assert near_dedup.classes(empty).count() == 0 and near_dedup.dedup(empty).count() == 0
 
