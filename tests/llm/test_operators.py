@@ -279,6 +279,24 @@ def test_near_classes_lose_no_pair_of_a_large_bucket(spark, monkeypatch):
     assert len(similar) > 40 and not lost, f"{len(lost)} of {len(similar)} lost"
 
 
+def test_near_classes_of_short_texts(spark):
+    """Pairs of 5 to 15 words and of some more: one or two words added at an end, or the first or a word near the end replaced."""
+    rng, rows = random.Random(19), []
+    for n in [*range(5, 16), 20, 24, 25, 29, 30, 33]:
+        for _ in range(12):
+            w = words(rng, n, 10**6)
+            for other in (w, ["new", *w[1:]], [*w[:-1], "new"]):
+                rows.append((len(rows), " ".join(other)))
+            for more in (1, 2, 3):
+                w = words(rng, n, 10**6)
+                rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(w + words(rng, more, 10**6)))]
+                w = words(rng, n, 10**6)
+                rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(words(rng, more, 10**6) + w))]
+    out = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got, want = {r._id: r.class_id for r in out}, brute.near_classes(rows)
+    assert not {i: want[i] for i in want if got[i] != want[i]}
+
+
 def test_near_classes_of_nothing(empty):
     assert near_dedup.classes(empty).count() == 0 and near_dedup.dedup(empty).count() == 0
 

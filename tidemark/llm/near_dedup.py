@@ -16,6 +16,8 @@ from tidemark.llm.common import bounded_batches, documents, join_groups, materia
 SHINGLE, SIMILAR = 5, 0.8
 #: Sketches per text, and shingles per sketch: texts of similarity s agree in a sketch with probability of about s ** ORDERED.
 SKETCHES, ORDERED = 28, 5
+#: Two texts of at most SHORT shingles are found by exact keys, without sketches.
+SHORT = 25
 #: In a bucket of at most SMALL texts each meets each; in a larger one each meets the centre first.
 SMALL = 8
 #: 1 - similarity is a metric: what is similar to a text that is similar to the centre has at least this similarity to the centre.
@@ -73,6 +75,23 @@ def sketches(shingles: np.ndarray) -> list[int]:
     return out.view(np.int64).tolist()
 
 
+def bucket_keys(shingles: np.ndarray) -> list[int]:
+    """What a text's buckets are named after: its sketches with their numbers, the keys of its smallest shingles, or both.
+
+    If two texts have the share SIMILAR of their shingles in common, the smallest hashes of each, as many as it may lack
+    and one more, have one in common. Texts of at most SHORT shingles get these keys; those that can be similar to a
+    longer one get sketches too.
+    """
+    m, out = len(shingles), []
+    if m <= SHORT:
+        prefix = np.sort(shingles)[: m - int(np.ceil(SIMILAR * m - 1e-9)) + 1] if m else shingles
+        out += _mixed(prefix * _MULTIPLY).view(np.int64).tolist()
+    if m >= SIMILAR * (SHORT + 1):
+        numbered = np.array(sketches(shingles), dtype=np.int64).view(np.uint64) ^ _SEEDS
+        out += _mixed(numbered).view(np.int64).tolist()
+    return out
+
+
 def alignment(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
     """Shingles that the best alignment of two texts matches, over those that either has.
 
@@ -105,7 +124,7 @@ def alignment(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def _sketch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for hashes in batches:
-        yield pd.Series([sketches(labelled_shingles(h)) for h in hashes])
+        yield pd.Series([bucket_keys(labelled_shingles(h)) for h in hashes])
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -168,7 +187,7 @@ def components(links: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """One row per row of docs: _id, _th, _node, class_id, links, kept.
 
-    Texts with equal words form one node. Nodes that agree in a sketch share a bucket. In a bucket of at most SMALL
+    Texts with equal words form one node. Nodes that agree in a sketch, or short ones in a key, share a bucket. In a bucket of at most SMALL
     nodes each meets each; in a larger one every node meets the centre, the node that shares most buckets with others.
     Then, in the larger ones, each node that is not yet in the centre's class meets all nodes that are not yet in its own
     class, except those that its similarity to the centre rules out: every two similar nodes that share a bucket end in one class.
@@ -184,8 +203,8 @@ def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataF
     rows = materialise(hashed.select("_id", "_th", "_node", "n_words", _sketch("h").alias("sketch")), "near-rows")
     nodes = rows.groupBy("_node").agg(F.min(F.struct("_id", "_th")).alias("rep"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("sketch").alias("sketch"))
     nodes = materialise(nodes, "near-nodes")
-    dealt = nodes.where(F.size("sketch") > 0).select("_node", "n_words", F.posexplode("sketch").alias("at", "s"))
-    live = _shared(dealt.select("_node", "n_words", F.xxhash64("at", "s").alias("bucket")))
+    dealt = nodes.where(F.size("sketch") > 0).select("_node", "n_words", F.explode("sketch").alias("bucket"))
+    live = _shared(dealt)
     popular = materialise(live.groupBy("_node").agg(F.sum("size").alias("popular")), "near-popular")
     shingles = _shingle_table(docs, nodes, popular, text, ident)
     small = live.where(F.col("size") <= SMALL).select("bucket", "_node", "n_words")
