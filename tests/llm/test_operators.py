@@ -119,6 +119,21 @@ def test_trees_add_what_looks_like_base_spans(spark):
     assert "[phone]" in pii.redact(df.where("doc_id = 0"), pii.fit(found)).first().redacted
 
 
+PII_FORMS = {
+    "email": ["a@b.co", "a @ b", "a(at)b(dot)co", "a [at] b [dot] co"], "ip": ["10.0.0.1", "10[.]0[.]0[.]1", "10 . 0 . 0 . 1", "10[.]0.0 . 1"],
+    "card": ["411111111111", "4111 1111 1111 1111", "4111.1111_1111/1111", "4111-1111-1111-1111"], "phone": ["+1 988 555 0546", "(988) -(555)", "0049 30 123456", "(988) 555-0546", "988.555.0546", "988/555", "(988)-(555)", "988- (555)"],
+}
+
+
+def test_hints_let_every_form_through(spark):
+    df = spark.createDataFrame([(f"see {x} now",) for forms in PII_FORMS.values() for x in forms], "text string")
+    for patterns in (pii.BASE, pii.WIDE):
+        both = [F.struct(pii._spans(F.col("text"), patterns[k], pii.HINTS[k]).alias("hinted"), pii._spans(F.col("text"), patterns[k], "").alias("all")).alias(k) for k in pii.KINDS]
+        for r in df.select("text", *both).collect():
+            assert all(r[k].hinted == r[k].all for k in pii.KINDS if k != "card" or patterns is pii.WIDE), r.text
+            assert patterns is pii.BASE or any(r[k].all for k in pii.KINDS)
+
+
 def test_pii_of_nothing(empty):
     found = pii.candidates(empty)
     assert pii.detect(found, pii.fit(found)).count() == 0

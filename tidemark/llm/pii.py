@@ -25,7 +25,7 @@ WIDE = {
     "card": r"(?<![0-9])[0-9](?:[\x20._/-]?[0-9]){11,22}+",
     "phone": r"(?<![0-9A-Za-z+])(?:\+|00)?\(?[0-9]{1,4}+\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}+\)?){1,5}+(?![0-9])",
 }
-HINTS = {"email": r"[@\]\)]", "ip": r"[0-9]\]?\x20?\.", "card": r"[0-9](?:[\x20._/-]?[0-9]){11}", "phone": r"[0-9][\x20()./-]{1,3}[0-9]|\+[0-9]"}
+HINTS = {"email": r"[@\]\)]", "ip": r"[0-9](?:\[|\x20)?\.", "card": r"[0-9](?:[\x20._/-]?[0-9]){11}", "phone": r"[0-9][\x20()./-]{1,4}[0-9]|\+[0-9]"}
 CONTEXT = r"(?i)mail|e-post|courriel|correo|phone|tel|call|mobil|card|carte|karte|tarjeta|visa|\bip\b|host|server|addr|contact"
 #: Boosting: trees, their depth, the step; a kind's threshold is the least score from which PRECISION is reached.
 TREES, DEPTH, STEP, PRECISION = 24, 2, 0.4, 0.9
