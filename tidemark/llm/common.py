@@ -46,7 +46,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared scratch folder and read again: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of materialise() that nothing reads any more: all that was made of them has been written."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str, how: str = "inner", hot_share: float = HOT_SHARE) -> DataFrame:
@@ -88,8 +97,30 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def fresh(df: DataFrame, names: Sequence[str]) -> None:
-    """An operator's own column names must not be taken by its input."""
-    taken = [n for n in names if n.lower() in {c.lower() for c in df.columns}]
-    if taken:
-        raise ValueError(f"the input already has columns {taken}; rename them first")
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where df has such columns, for an operator's own columns beside those of its input."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def without(df: DataFrame, *names: str) -> list[Column]:
+    """df's columns but those of the given names, in whatever case: an operator's results replace columns of their names."""
+    gone = {n.lower() for n in names}
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in gone]
+
+
+def packed(df: DataFrame, name: str = "row") -> Column:
+    """All columns of df as one, so that an operator's own columns can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+
+
+def unpacked(df: DataFrame, *results: str, name: str = "row") -> list[Column]:
+    """The columns of the table df that packed() put into one, but those that results replace, and then the results."""
+    gone = {n.lower() for n in results}
+    return [*[F.col(name)[c].alias(c) for c in df.columns if c.lower() not in gone], *[F.col(n) for n in results]]

@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_batches, documents, join_groups, materialise, words
+from tidemark.llm.common import bounded_batches, documents, join_groups, materialise, packed, release, unpacked, words
 
 #: Words of a shingle and the similarity from which texts are linked.
 SHINGLE, SIMILAR = 5, 0.8
@@ -20,10 +20,10 @@ SKETCHES, ORDERED = 28, 5
 SHORT = 25
 #: In a bucket of at most SMALL texts each meets each; in a larger one each meets the centre first.
 SMALL = 8
-#: 1 - similarity is a metric: what is similar to a text that is similar to the centre has at least this similarity to the centre.
-RING = 2 * SIMILAR - 1 - 1e-9
-#: Pairs in large buckets are made in squares of about this many texts a side, so that no bucket gathers in one task.
+#: Pairs in large groups are made in squares of about this many texts a side, so that no group gathers in one task.
 SIDE = 256
+#: Texts of similarity SIMILAR differ in at most this share of the shingles of both: 1 in 9.
+DIFFER = (1 - SIMILAR) / (1 + SIMILAR)
 _MULTIPLY, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SEEDS = np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
@@ -148,17 +148,24 @@ def _short_shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 @F.pandas_udf(T.DoubleType())
 def _aligned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in batches:
-        yield pd.Series([alignment(np.asarray(a), np.asarray(b), RING) for a, b in zip(left, right, strict=True)], dtype=float)
+        yield pd.Series([alignment(np.asarray(a), np.asarray(b)) for a, b in zip(left, right, strict=True)], dtype=float)
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _differences(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """The shingles that one of two texts has and the other has not."""
+    for left, right in batches:
+        yield pd.Series([np.setxor1d(np.asarray(a), np.asarray(b), assume_unique=True) for a, b in zip(left, right, strict=True)])
 
 
 def keys(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> list[Column]:
     """_id (null: lowest) and _th, a hash of the text: what tells rows apart without reading their words."""
-    return [F.coalesce(F.col(ident).cast("long"), F.lit(-(2**63))).alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_th")]
+    return [F.coalesce(F.col(f"`{ident}`").cast("long"), F.lit(-(2**63))).alias("_id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_th")]
 
 
 def _hashed(docs: DataFrame, text: str, ident: str) -> DataFrame:
     """_id, _th, _node, n_words and h, the hashes of the words; _node is 128 bits and the same for texts with equal words, or equal texts if they have none."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     df = docs.select(*keys(docs, text, ident), t.alias("_t"), words(F.lower(t)).alias("_w"))
     df = df.select("_id", "_th", "_t", F.size("_w").alias("n_words"), F.transform("_w", lambda x: F.xxhash64(x)).alias("h"))
     two = lambda *c: F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), *c)), 16, "0") for seed in (1, 2)])
@@ -172,16 +179,21 @@ def components(links: DataFrame) -> DataFrame:
     Least labels spread along links and then jump to the label of the label, until nothing changes. Every round is
     written out; the links of a node that has very many are not gathered in one task.
     """
-    both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "near-links")
+    both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "near-both")
     labels = both.groupBy(F.col("a").alias("_node")).agg(F.least(F.min("b"), F.col("_node")).alias("_root"), F.count("*").alias("_n"))
     labels = materialise(labels, "near-labels")
     while True:
         near = join_groups(both, labels.select(F.col("_node").alias("b"), "_n", F.col("_root").alias("_next")), "b", "_n").groupBy(F.col("a").alias("_node")).agg(F.min("_next").alias("_next"))
         spread = materialise(labels.join(near, "_node").select("_node", "_n", F.col("_root").alias("_old"), F.least("_root", "_next").alias("_root")), "near-spread")
+        release(labels)
         if spread.where("_root != _old").isEmpty():
-            return spread.select("_node", "_root")
+            release(both)
+            out = spread.select("_node", "_root")
+            out.scratch_path = spread.scratch_path
+            return out
         jump = spread.groupBy("_root").agg(F.count("*").alias("_size")).join(spread.select(F.col("_node").alias("_root"), F.col("_root").alias("_far")), "_root")
         labels = materialise(join_groups(spread.drop("_old"), jump, "_root", "_size").select("_node", "_n", F.least("_root", "_far").alias("_root")), "near-labels")
+        release(spread)
 
 
 def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
@@ -189,22 +201,23 @@ def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataF
 
     Texts with equal words form one node. Nodes that agree in a sketch, or short ones in a key, share a bucket. In a bucket of at most SMALL
     nodes each meets each; in a larger one every node meets the centre, the node that shares most buckets with others.
-    Then, in the larger ones, each node that is not yet in the centre's class meets all nodes that are not yet in its own
-    class, except those that its similarity to the centre rules out: every two similar nodes that share a bucket end in one class.
+    Then each node that is not yet in the centre's class meets those of the bucket that its differences from the centre
+    show to be possibly similar (see _remaining): every two similar nodes that share a bucket end in one class.
     Candidates are verified by alignment and linked from SIMILAR on. Classes are the connected components, named after
     their smallest identifier; links counts a row's verified links to other nodes, not its copies. Nodes of a large bucket
     that are in one class already are not compared, so there links is a lower bound of the similar nodes.
 
     Texts without words are only linked to equal texts; null counts as empty. A null identifier is the lowest. The row
-    with the smallest identifier of its class is kept, with its repetitions. An empty table gives no rows.
+    with the smallest identifier of its class is kept, with its repetitions. Long texts are sketched and aligned whole, in
+    time that grows with their length. Ties between sketches or centres are broken by node, so reruns agree. An empty
+    table gives no rows. Only the text and the identifier are read, so other columns may have any names.
     """
     bounded_batches(docs.sparkSession)
     hashed = _hashed(docs, text, ident)
     rows = materialise(hashed.select("_id", "_th", "_node", "n_words", _sketch("h").alias("sketch")), "near-rows")
     nodes = rows.groupBy("_node").agg(F.min(F.struct("_id", "_th")).alias("rep"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("sketch").alias("sketch"))
     nodes = materialise(nodes, "near-nodes")
-    dealt = nodes.where(F.size("sketch") > 0).select("_node", "n_words", F.explode("sketch").alias("bucket"))
-    live = _shared(dealt)
+    live = _shared(nodes.where(F.size("sketch") > 0).select("_node", "n_words", F.explode("sketch").alias("bucket")))
     popular = materialise(live.groupBy("_node").agg(F.sum("size").alias("popular")), "near-popular")
     shingles = _shingle_table(docs, nodes, popular, text, ident)
     small = live.where(F.col("size") <= SMALL).select("bucket", "_node", "n_words")
@@ -213,21 +226,25 @@ def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataF
     large = materialise(live.where(F.col("size") > SMALL).join(popular, "_node"), "near-large")
     centres = materialise(large.groupBy("bucket").agg(F.max(F.struct("popular", "_node", "n_words")).alias("c"), F.count("*").alias("_n")), "near-centres")
     met = join_groups(large.select("_node", "n_words", "bucket"), centres, "bucket", "_n").where("_node != c._node")
-    met = materialise(met.select("_node", "n_words", "bucket", F.col("c._node").alias("to"), F.col("c.n_words").alias("m")), "near-met")
-    star = met.where(_fits(F.col("n_words"), F.col("m"), RING)).select(F.least("_node", "to").alias("a"), F.greatest("_node", "to").alias("b"))
-    scored = materialise(_verified(shingles, materialise(pairs.union(star).distinct(), "near-pairs")), "near-scored")
-    links = scored.where(F.col("alike") >= SIMILAR).select("a", "b")
-    more = _verified(shingles, materialise(_remaining(met, centres, scored, components(links)), "near-remaining"))
-    found = links.union(more.where(F.col("alike") >= SIMILAR).select("a", "b"))
-
-    found = materialise(found.select("a", "b").distinct(), "near-found")
+    met = materialise(met.select("_node", "n_words", F.col("c._node").alias("to"), F.col("c.n_words").alias("m")).distinct(), "near-met")
+    star = met.where(_fits(F.col("n_words"), F.col("m"))).select(F.least("_node", "to").alias("a"), F.greatest("_node", "to").alias("b"))
+    candidates = materialise(pairs.union(star).distinct(), "near-pairs")
+    release(live, popular, large, centres)
+    links = _verified(shingles, candidates)
+    first = components(links)
+    remaining = _remaining(shingles, met, first)
+    more = _verified(shingles, remaining)
+    found = materialise(links.union(more).distinct(), "near-found")
+    release(shingles, candidates, met, links, first, remaining, more)
+
     degree = found.select(F.col("a").alias("_node")).union(found.select("b")).groupBy("_node").agg(F.count("*").alias("links"))
     roots = components(found)
     named = nodes.select("_node", "rep", "copies").join(roots, "_node", "left").join(degree, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
     named = materialise(named, "near-named")
     heads = named.groupBy("_root").agg(F.min(F.struct("rep", "_node")).alias("head"), F.count("*").alias("_n"))
-    named = join_groups(named, heads, "_root", "_n").select("_node", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "head")
-    out = join_groups(rows.select("_id", "_th", "_node"), materialise(named, "near-classes"), "_node", "copies")
+    named_classes = materialise(join_groups(named, heads, "_root", "_n").select("_node", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "head"), "near-classes")
+    release(nodes, found, roots, named)
+    out = join_groups(rows.select("_id", "_th", "_node"), named_classes, "_node", "copies")
     kept = (F.col("_node") == F.col("head._node")) & (F.struct("_id", "_th") == F.col("head.rep"))
     return out.select("_id", "_th", "_node", F.col("head.rep._id").alias("class_id"), "links", kept.alias("kept"))
 
@@ -241,57 +258,95 @@ def _fits(n: Column, m: Column, least: float = SIMILAR) -> Column:
     return F.least(_shingle_count(n), _shingle_count(m)) >= F.lit(least) * F.greatest(_shingle_count(n), _shingle_count(m))
 
 
-def _remaining(met: DataFrame, centres: DataFrame, scored: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs (a, b) of met's nodes that share a large bucket and are in different classes so far, unless their similarities to its centre rule them out.
+def _crowds(shingles: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
+    """The nodes that have met a centre of which some node is in another class: to (the centre), _node, _root, open (not in the centre's class), size, n_apart and apart (the shingles that tell it from the centre)."""
+    known = met.select("_node", "to").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
+    named = met.groupBy("to").agg(F.count("*").alias("_n")).join(roots.withColumnRenamed("_node", "to"), "to", "left").select("to", "_n", F.coalesce("_root", "to").alias("_centre"))
+    named = materialise(named, "near-named-centres")
+    known = materialise(join_groups(known, named, "to", "_n").select("to", "_node", "_root", (F.col("_root") != F.col("_centre")).alias("open")), "near-known")
+    sides = materialise(known.groupBy("to").agg(F.count("*").alias("_n"), F.count_if("open").alias("_open")).where("_open > 0"), "near-sides")
+    rows = join_groups(known, sides.select("to", "_n"), "to", "_n").drop("_n")
+    own = rows.join(shingles.hint("merge"), "_node")
+    theirs = sides.select("to", "_n").join(shingles.select(F.col("_node").alias("to"), F.col("s").alias("c")).hint("merge"), "to")
+    centres = materialise(theirs, "near-centre-shingles")
+    both = join_groups(own, centres, "to", "_n", hot_share=0.005)
+    apart = both.select("to", "_node", "_root", "open", F.size("s").alias("size"), _differences("s", "c").alias("apart"))
+    out = materialise(apart.withColumn("n_apart", F.size("apart")), "near-apart")
+    release(named, known, sides, centres)
+    return out
 
-    One side is open, which means not yet in the centre's class. Similarities to the centre below RING are not known (null).
+
+def _remaining(shingles: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes of one large bucket that are in different classes so far and that may be similar.
+
+    Let X and Y be the shingles that tell two nodes from a centre that both have met. What tells the nodes from each
+    other is the symmetric difference of X and Y. Nodes of n and m shingles are similar only if that has at most
+    d = DIFFER (n + m) members, so X and Y share at least t = (|X| + |Y| - d) / 2. If both are sorted alike, their first
+    |X| - t + 1 and |Y| - t + 1 members then have one in common. The order puts what few nodes of the crowd have first, so
+    that passages that many share make no pairs. If t is not positive, a stand-in that all have takes the place of the
+    common member. No pair of similar nodes is lost.
     """
-    to_centre = scored.select(F.col("a").alias("_node"), F.col("b").alias("to"), "alike").union(scored.select("b", "a", "alike"))
-    known = met.join(to_centre, ["_node", "to"], "left").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
-    classed = centres.select("bucket", F.col("c._node").alias("_node"), F.col("_n")).join(roots, "_node", "left").select("bucket", "_n", F.coalesce("_root", "_node").alias("_centre"))
-    known = join_groups(known, materialise(classed, "near-classed"), "bucket", "_n").select("bucket", "_node", "n_words", "_root", "alike", (F.col("_root") != F.col("_centre")).alias("open"))
-    known = materialise(known, "near-known")
-    sides = known.groupBy("bucket").agg(F.count("*").alias("_n"), F.count_if("open").alias("_open")).where("_open > 0")
-    sides = sides.select("bucket", "_n", F.ceil(F.col("_n") / SIDE).cast("int").alias("_all_sides"), F.ceil(F.col("_open") / SIDE).cast("int").alias("_open_sides"))
-    rows = materialise(join_groups(known, materialise(sides, "near-sides"), "bucket", "_n"), "near-open")
+    crowd = _crowds(shingles, met, roots)
+    members = crowd.select("to", "_node", "_root", "open", "size", "n_apart", F.explode("apart").alias("x"))
+    often = materialise(members.groupBy("to", "x").agg(F.count("*").alias("often")).where("often > 1"), "near-often")
+    by_node = Window.partitionBy("to", "_node")
+    ranked = members.join(often, ["to", "x"]).withColumns({"_n": F.count("*").over(by_node), "_at": F.row_number().over(by_node.orderBy("often", "x"))})
+    ranked = ranked.withColumn("rank", F.col("n_apart") - F.col("_n") + F.col("_at"))  # members that no other node has come first
+    longest = F.col("size") * (1 + 1 / SIMILAR) * DIFFER + 1e-6
+    columns = ["to", "x", "_node", "_root", "open", "size", "n_apart", "rank"]
+    stand_in = crowd.where(F.col("n_apart") <= longest).select("to", F.lit(None).cast("int").alias("x"), "_node", "_root", "open", "size", "n_apart", F.lit(0).cast("long").alias("rank"))
+    entries = materialise(ranked.where(F.col("rank") <= longest + 1).select(*columns).union(stand_in).withColumn("x", F.coalesce(F.col("x").cast("long"), F.lit(2**40))), "near-entries")
+    sides = entries.groupBy("to", "x").agg(F.count("*").alias("_all"), F.count_if("open").alias("_open"), F.count_if(F.col("rank") <= longest / 2 + 1).alias("_short"), F.min("_root").alias("_lo"), F.max("_root").alias("_hi"))
+    sides = sides.where("_open > 0 and _short > 0 and _lo != _hi").select("to", "x", F.ceil(F.col("_all") / SIDE).cast("int").alias("_all_sides"), F.ceil(F.col("_open") / SIDE).cast("int").alias("_open_sides"))
+    postings = materialise(sides, "near-postings")
+    rows = materialise(entries.join(postings, ["to", "x"]), "near-open")
     own = lambda n: F.pmod(F.xxhash64("_node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rows.where("open").select("bucket", F.col("_node").alias("x"), F.col("n_words").alias("n"), F.col("_root").alias("rx"), F.col("alike").alias("ax"), own("_open_sides").alias("i"), every("_all_sides").alias("j"))
-    right = rows.select("bucket", F.col("_node").alias("y"), F.col("n_words").alias("m"), F.col("_root").alias("ry"), F.col("alike").alias("ay"), "open", own("_all_sides").alias("j"), every("_open_sides").alias("i"))
-    apart = lambda p, q: F.col(p).isNull() & (F.coalesce(F.col(q), F.lit(0.0)) >= SIMILAR)
-    far = apart("ax", "ay") | apart("ay", "ax") | (F.coalesce(F.abs(F.col("ax") - F.col("ay")), F.lit(0.0)) > 1 - SIMILAR + 1e-9)
-    met_too = left.join(right, ["bucket", "i", "j"]).where((~F.col("open") | (F.col("x") < F.col("y"))) & (F.col("rx") != F.col("ry")) & _fits(F.col("n"), F.col("m")) & ~far)
-    return met_too.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    left = rows.where("open").select("to", "x", F.col("_node").alias("p"), F.col("_root").alias("rp"), F.col("size").alias("n"), F.col("n_apart").alias("np"), F.col("rank").alias("kp"), own("_open_sides").alias("i"), every("_all_sides").alias("j"))
+    right = rows.select("to", "x", F.col("_node").alias("q"), F.col("_root").alias("rq"), F.col("size").alias("m"), F.col("n_apart").alias("nq"), F.col("rank").alias("kq"), "open", own("_all_sides").alias("j"), every("_open_sides").alias("i"))
+    d = (F.col("n") + F.col("m")) * DIFFER + 1e-6
+    prefix = (F.col("kp") <= (F.col("np") - F.col("nq") + d) / 2 + 1) & (F.col("kq") <= (F.col("nq") - F.col("np") + d) / 2 + 1)
+    near = F.when(F.col("x") == 2**40, F.col("np") + F.col("nq") <= d).otherwise(prefix)
+    alike = F.least("n", "m") >= F.lit(SIMILAR - 1e-9) * F.greatest("n", "m")
+    pairs = left.join(right, ["to", "x", "i", "j"]).where((~F.col("open") | (F.col("p") < F.col("q"))) & (F.col("rp") != F.col("rq")) & alike & near)
+    out = materialise(pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct(), "near-remaining")
+    release(crowd, often, entries, postings, rows)
+    return out
 
 
 def _shared(dealt: DataFrame) -> DataFrame:
     """dealt's rows in buckets of several nodes, with size."""
     counts = materialise(dealt.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "near-buckets")
-    return materialise(join_groups(dealt, counts, "bucket", "size"), "near-members")
+    out = materialise(join_groups(dealt, counts, "bucket", "size"), "near-members")
+    release(counts)
+    return out
 
 
 def _shingle_table(docs: DataFrame, nodes: DataFrame, asked: DataFrame, text: str, ident: str) -> DataFrame:
     """Short shingles of the asked nodes, from the text of one row that stands for each."""
     reps = nodes.join(asked.select("_node"), "_node", "left_semi").select("_node", "rep._id", "rep._th")
-    own = docs.select(*keys(docs, text, ident), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    own = docs.select(*keys(docs, text, ident), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
     own = own.join(reps.hint("merge"), ["_id", "_th"]).dropDuplicates(["_id", "_th"])
     own = own.select("_node", _short_shingles(F.transform(words(F.lower(F.col("_text"))), lambda x: F.xxhash64(x))).alias("s"))
     return materialise(own, "near-shingles")
 
 
 def _verified(shingles: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs of nodes whose similarity, alike, is at least RING; a node with very many partners is not gathered in one task."""
+    """The pairs of nodes whose similarity is at least SIMILAR; a node with very many partners is not gathered in one task."""
     met = pairs.groupBy("b").agg(F.count("*").alias("_n")).join(shingles.select(F.col("_node").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
     both = pairs.join(shingles.select(F.col("_node").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
-    both = join_groups(both, materialise(met, "near-partners"), "b", "_n", hot_share=0.005)
-    return both.select("a", "b", _aligned("sa", "sb").alias("alike")).where(F.col("alike") >= RING)
+    partners = materialise(met, "near-partners")
+    both = join_groups(both, partners, "b", "_n", hot_share=0.005)
+    out = materialise(both.select("a", "b", _aligned("sa", "sb").alias("alike")).where(F.col("alike") >= SIMILAR).select("a", "b"), "near-links")
+    release(partners)
+    return out
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """docs with one document of each class of near-duplicates."""
-    gone = classes(docs).where(~F.col("kept")).select("_id", "_th").distinct()
-    i, t = keys(docs)
-    return docs.withColumns({"_id": i, "_th": t}).join(materialise(gone, "near-gone").hint("merge"), ["_id", "_th"], "left_anti").select(*docs.columns)
+    """docs with one document of each class of near-duplicates; all columns are returned as they were, whatever their names."""
+    gone = materialise(classes(docs).where(~F.col("kept")).select("_id", "_th").distinct(), "near-gone")
+    rows = docs.select(packed(docs), *keys(docs)).join(gone.hint("merge"), ["_id", "_th"], "left_anti")
+    return rows.select(*unpacked(docs))
 
 
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
