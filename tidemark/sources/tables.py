@@ -1,4 +1,4 @@
-"""Bar, coverage and reference tables: Parquet partitioned by series."""
+"""Bar, coverage and reference tables: Parquet partitioned by series and month."""
 
 from __future__ import annotations
 
@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import validate_ohlc
 from tidemark.schemas import BARS, SERIES
 
+#: A bar table has one folder per series and month.
+PARTS = [*SERIES, "month"]
+
 
 def read_bars(spark: SparkSession, path: str, provider: str, symbol: str, timeframe: str, start: str | None = None, end: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """One series between two dates, both inclusive; a series that is not there is an error.
@@ -20,10 +23,10 @@ def read_bars(spark: SparkSession, path: str, provider: str, symbol: str, timefr
     if df.isEmpty():
         raise KeyError(f"{provider}/{symbol}/bars/{timeframe}")
     if start:
-        df = df.where(F.col("timestamp") >= F.lit(start).cast("timestamp"))
+        df = df.where((F.col("timestamp") >= F.lit(start).cast("timestamp")) & (F.col("month") >= start[:7]))
     if end:
-        df = df.where(F.col("timestamp") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp"))
-    return df.select(*columns) if columns else df
+        df = df.where((F.col("timestamp") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp")) & (F.col("month") <= end[:7]))
+    return df.select(*columns) if columns else df.drop("month")
 
 
 def list_series(bars: DataFrame, provider: str | None = None) -> DataFrame:
@@ -35,9 +38,27 @@ def read_latest(bars: DataFrame, n: int) -> DataFrame:
     return bars.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
 
 
+def _with_month(bars: DataFrame) -> DataFrame:
+    return bars.withColumn("month", F.date_format("timestamp", "yyyy-MM"))
+
+
 def _write(df: DataFrame, path: str) -> None:
-    """Replace the partitions that df has rows of, leaving others; the rows of a series end up in one place."""
-    df.repartition("provider", "timeframe", "symbol").sortWithinPartitions(*SERIES, "timestamp").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SERIES).parquet(path)
+    """Replace the months of series that df has rows of, leaving others. Rows of a month end up together, a very large month in several files."""
+    df.hint("rebalance", *PARTS).sortWithinPartitions(*PARTS, "timestamp").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Delete the folders of the months that rows of the table lie in: each is moved aside in one step and then deleted.
+
+    The driver handles folder names only. If it is interrupted, the months that are left go when it is repeated; no other
+    series is touched.
+    """
+    fs, jvm = exists_in(spark, path), spark._jvm
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}/_removed")
+    fs.mkdirs(aside)
+    for i, row in enumerate(rows.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")).distinct().toLocalIterator()):
+        fs.rename(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(row.folder)), jvm.org.apache.hadoop.fs.Path(aside, str(i)))
+    fs.delete(aside, True)
 
 
 def valid_series(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -50,43 +71,47 @@ def valid_series(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
 def write_bars(bars: DataFrame, path: str, staging: str, mode: str = "append") -> DataFrame:
     """Write valid series, and return the reports of those refused.
 
-    append merges with what is there: of rows with one series and timestamp the last ingested stays (ingest_seq, stored
-    rows first). overwrite replaces the series. New partitions are staged before old ones are replaced, because a
-    table can't be overwritten while it is read.
+    append merges with what is there in the months that the new rows touch: of rows with one series and timestamp the
+    last ingested stays (ingest_seq, stored rows first). overwrite replaces the series. New months are staged before old
+    ones are replaced, because a table can't be overwritten while it is read; a call that was interrupted can be repeated.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"append or overwrite, not {mode}")
     spark = bars.sparkSession
     good, bad = valid_series(bars)
     seq = F.col("ingest_seq") if "ingest_seq" in bars.columns else F.lit(0)
-    new = good.select(*SERIES, *BARS.names, (seq + 1).cast("long").alias("_seq"))
-    if mode == "append" and exists(spark, path):
-        old = spark.read.parquet(path).join(good.select(*SERIES).distinct(), SERIES, "left_semi")
-        new = new.unionByName(old.select(*SERIES, *BARS.names, F.lit(-1).cast("long").alias("_seq")))
+    new = _with_month(good.select(*SERIES, *BARS.names, (seq + 1).cast("long").alias("_seq")))
+    there = exists(spark, path)
+    if mode == "append" and there:
+        old = spark.read.parquet(path).join(new.select(*PARTS).distinct(), PARTS, "left_semi")
+        new = new.unionByName(old.select(*PARTS, *BARS.names, F.lit(-1).cast("long").alias("_seq")))
     w = Window.partitionBy(*SERIES, "timestamp").orderBy(F.col("_seq").desc(), *[F.col(c).desc() for c in ("close", "open", "high", "low", "volume")])
     merged = new.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank", "_seq")
     merged.write.mode("overwrite").parquet(staging)
-    _write(spark.read.schema(merged.schema).parquet(staging), path)
+    staged = spark.read.schema(merged.schema).parquet(staging)
+    if mode == "overwrite" and there:
+        gone = spark.read.parquet(path).select("*", "_metadata").join(staged.select(*SERIES).distinct(), SERIES, "left_semi").join(staged.select(*PARTS).distinct(), PARTS, "left_anti")
+        _remove(spark, path, gone)
+    _write(staged, path)
     return bad
 
 
+def exists_in(spark: SparkSession, path: str):
+    """The path's own file system."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether the table has files; the question goes to the path's own file system."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return exists_in(spark, path).exists(spark._jvm.org.apache.hadoop.fs.Path(path))
 
 
-def delete_series(spark: SparkSession, path: str, keys: DataFrame, staging: str) -> int:
-    """Remove the bars of the given series; returns how many rows went.
-
-    The rest of the table is staged and swapped in, since a partition without rows would not be overwritten.
-    """
-    bars = spark.read.parquet(path)
-    gone = bars.join(F.broadcast(keys.select(*SERIES).distinct()) if keys.count() <= 10_000 else keys.select(*SERIES).distinct(), SERIES, "left_semi").count()
+def delete_series(spark: SparkSession, path: str, keys: DataFrame) -> int:
+    """Remove the bars of the given series; returns how many rows went. Only their own folders are read and deleted."""
+    own = spark.read.parquet(path).select("*", "_metadata").join(keys.select(*SERIES).distinct(), SERIES, "left_semi")
+    gone = own.count()
     if gone:
-        bars.join(keys.select(*SERIES).distinct(), SERIES, "left_anti").write.mode("overwrite").partitionBy(*SERIES).parquet(staging)
-        kept = spark.read.schema(bars.schema).parquet(staging)
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*SERIES).parquet(path)
+        _remove(spark, path, own)
     return gone
 
 

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.schemas import OHLC, minutes
 
 
-def valid(bars: DataFrame) -> DataFrame:
-    """Rows that keep the OHLC rules; a stream drops the others."""
+def broken_rules() -> Column:
+    """The OHLC rules that a row breaks, and nulls that keep them from being tested."""
     c = F.col
-    return bars.where((c("high") >= c("low")) & (c("high") >= F.greatest("open", "close")) & (c("low") <= F.least("open", "close")) & (c("volume") >= 0))
+    rules = {"null_value": F.greatest(*[c(x).isNull() for x in (*OHLC, "volume", "timestamp")]), "high_lt_low": c("high") < c("low"), "high_lt_open_close": c("high") < F.greatest("open", "close"), "low_gt_open_close": c("low") > F.least("open", "close"), "negative_volume": c("volume") < 0}
+    return F.array_compact(F.array(*[F.when(broken, name) for name, broken in rules.items()]))
+
+
+def valid(bars: DataFrame) -> DataFrame:
+    """Rows that keep the OHLC rules; refused() has the others."""
+    return bars.where(F.size(broken_rules()) == 0)
+
+
+def refused(bars: DataFrame) -> DataFrame:
+    """Rows that valid() leaves out, with errors: a report that a stream of its own writes."""
+    return bars.withColumn("errors", broken_rules()).where(F.size("errors") > 0)
 
 
 def ingest(source: DataFrame, late: str = "1 day", keys: tuple[str, ...] = ("symbol",)) -> DataFrame:
@@ -23,14 +34,24 @@ def ingest(source: DataFrame, late: str = "1 day", keys: tuple[str, ...] = ("sym
 
 
 def roll_up(source: DataFrame, timeframe: str, late: str = "10 minutes", keys: tuple[str, ...] = ("symbol",)) -> DataFrame:
-    """Bars of a coarser timeframe from a stream of bars; a bucket is emitted once the watermark has passed it."""
+    """Bars of a coarser timeframe from a stream of bars.
+
+    In append mode a bucket is emitted once, when the watermark has passed it, so that the last ones stay open. In update
+    mode every batch emits the buckets that it changed, open ones too; latest() takes the last version of each.
+    """
     window = F.window("timestamp", f"{minutes(timeframe)} minutes")
     out = source.withWatermark("timestamp", late).groupBy(*keys, window.alias("w")).agg(F.min_by("open", "timestamp").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "timestamp").alias("close"), F.sum("volume").alias("volume"))
     return out.select(*keys, F.col("w.start").alias("timestamp"), *OHLC, "volume")
 
 
-def run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def latest(log: DataFrame, keys: Sequence[str] = ("symbol",), batch: str = "batch") -> DataFrame:
+    """The last version of each bucket of a log of update batches: what the stream holds once its input has ended."""
+    values = [c for c in log.columns if c not in (*keys, "timestamp", batch)]
+    return log.groupBy(*keys, "timestamp").agg(F.max_by(F.struct(*values), batch).alias("v")).select(*keys, "timestamp", "v.*")
+
+
+def run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Process what is there and stop; sink must accept a repeated batch."""
-    query = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
     query.awaitTermination()
     return query
