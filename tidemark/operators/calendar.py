@@ -162,7 +162,8 @@ def trading_minutes_window(requests: DataFrame, calendar: DataFrame, open_minute
     """requests(end, n) with start: n trading minutes before end, null if the calendar does not reach back so far.
 
     Sessions count [open, close), or [open_minute, close_minute) of New York's day if given. Minutes are numbered by a
-    running sum over sessions, so that both ends are looked up by number and no minute is a row.
+    running sum over sessions, so that both ends are looked up by number and no minute is a row: equi-joins on the
+    date, the session's number and the hour of the running sum.
     """
     cal = calendar
     if open_minute is not None:
@@ -171,13 +172,19 @@ def trading_minutes_window(requests: DataFrame, calendar: DataFrame, open_minute
     length = ((F.unix_seconds("close_ts") - F.unix_seconds("open_ts")) / 60).cast("long")
     w = Window.orderBy("session_no")
     cal = cal.withColumn("_n", length).withColumns({"_before": F.sum("_n").over(w) - F.col("_n")})
-    bounds = F.broadcast(cal.select("open_ts", "close_ts", "_before", "_n", F.lead("open_ts").over(w).alias("_until")))
     end = F.date_trunc("minute", F.col("end").cast("timestamp"))
-    df = requests.withColumn("_id", F.monotonically_increasing_id()).join(bounds, (end > F.col("open_ts")) & (F.col("_until").isNull() | (end <= F.col("_until"))), "left")
+    last_day = calendar.agg(F.max("session_date")).first()[0]
+    index = F.broadcast(_session_index(calendar).select(F.col("day").alias("_day"), "last_no"))
+    opens = F.broadcast(cal.select(F.col("session_no").alias("last_no"), F.col("open_ts").alias("_o")))
+    bounds = F.broadcast(cal.select(F.col("session_no").alias("_no"), "open_ts", "_before", "_n"))
+    day = F.least(F.to_date(F.from_utc_timestamp(end, NEW_YORK)), F.lit(last_day))
+    df = requests.withColumn("_day", day).join(index, "_day", "left").join(opens, "last_no", "left")
+    df = df.withColumn("_no", F.col("last_no") - (end <= F.col("_o")).cast("int")).join(bounds, "_no", "left")
     number = F.col("_before") + F.least(F.col("_n"), ((F.unix_seconds(end) - F.unix_seconds("open_ts")) / 60).cast("long")) - F.col("n")
-    df = df.select(*requests.columns, number.alias("_number"))
-    starts = F.broadcast(cal.select(F.col("open_ts").alias("_open"), F.col("_before").alias("_from"), (F.col("_before") + F.col("_n")).alias("_to")))
-    df = df.join(starts, (F.col("_number") >= F.col("_from")) & (F.col("_number") < F.col("_to")), "left")
+    df = df.select(*requests.columns, number.alias("_number"), F.floor(number / 60).alias("_hour"))
+    starts = cal.select(F.col("open_ts").alias("_open"), F.col("_before").alias("_from"), (F.col("_before") + F.col("_n")).alias("_to"))
+    starts = starts.withColumn("_hour", F.explode(F.sequence(F.floor(F.col("_from") / 60), F.floor((F.col("_to") - 1) / 60))))
+    df = df.join(F.broadcast(starts), (df["_hour"] == starts["_hour"]) & (F.col("_number") >= F.col("_from")) & (F.col("_number") < F.col("_to")), "left")
     return df.select(*requests.columns, F.timestamp_seconds(F.unix_seconds("_open") + (F.col("_number") - F.col("_from")) * 60).alias("start"))
 
 

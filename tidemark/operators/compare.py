@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import OHLC
@@ -39,9 +39,20 @@ def export_comparison(aligned: DataFrame, path: str, fmt: str) -> None:
 
 
 def stats(bars: DataFrame, keys: Sequence[str] = ("symbol",), columns: Sequence[str] = VALUES) -> DataFrame:
-    """mean, min, max, std and count of each numeric column."""
-    long = bars.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot([*keys], [*columns], "column", "value")
-    return long.groupBy(*keys, "column").agg(F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"), F.stddev_samp("value").alias("std"), F.count("value").alias("count"))
+    """mean, min, max, std, count and nulls of each numeric column. Sums of decimals and integers are exact, so that their means do not depend on the order of rows."""
+    return _moments(bars, [*keys], columns)
+
+
+def _moments(bars: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    kinds = dict(bars.dtypes)
+
+    def mean(c: str) -> Column:
+        exact = kinds[c].startswith("decimal") or kinds[c] in ("tinyint", "smallint", "int", "bigint")
+        return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0)) if exact else F.avg(c)
+
+    double = lambda f, c: f(F.col(c).cast("double"))
+    parts = [F.struct(F.lit(c).alias("column"), mean(c).alias("mean"), double(F.min, c).alias("min"), double(F.max, c).alias("max"), double(F.stddev_samp, c).alias("std"), F.count(c).alias("count"), F.count_if(F.col(c).isNull()).alias("nulls")) for c in columns]
+    return bars.groupBy(*keys).agg(F.array(*parts).alias("_s")).select(*keys, F.inline("_s"))
 
 
 def info(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -50,12 +61,14 @@ def info(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     return bars.groupBy(*keys).agg(F.count("*").alias("rows"), F.lit(len(bars.columns)).alias("columns"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), *ranges, F.sum("volume").alias("total_volume"))
 
 
-def yearly_breakdown(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Bars per series and year, and their share of the series in per cent; the total is taken over the yearly rows."""
-    from pyspark.sql import Window
+def yearly_breakdown(bars: DataFrame, keys: Sequence[str] = ("symbol",), columns: Sequence[str] = VALUES) -> DataFrame:
+    """Per series, year and column: bars, their share of the series in per cent, and the column's mean, min, max, std and nulls.
 
-    years = bars.groupBy(*keys, F.year("timestamp").alias("year")).agg(F.count("*").alias("bars"))
-    return years.withColumn("percent", F.col("bars") * 100.0 / F.sum("bars").over(Window.partitionBy(*keys)))
+    The total is taken over the yearly rows, of which a series has few.
+    """
+    years = _moments(bars.withColumn("year", F.year("timestamp")), [*keys, "year"], columns)
+    years = years.withColumn("bars", F.col("count") + F.col("nulls")).drop("count")
+    return years.withColumn("percent", F.col("bars") * 100.0 / F.sum("bars").over(Window.partitionBy(*keys, "column")))
 
 
 def validate_aggregate(local: DataFrame, venue: DataFrame, tolerance: float = 1e-5, keys: Sequence[str] = ("symbol", "date")) -> DataFrame:

@@ -74,15 +74,25 @@ def coverage_summary(symbols: DataFrame, gaps: DataFrame, start: str, end: str)
     return df.agg(F.count("*").alias("n_total"), F.count_if(F.col("n").isNull()).alias("n_covered"), F.count_if(F.col("n").isNotNull() & ~missing).alias("n_partial"), F.count_if(missing).alias("n_missing"), F.round(F.coalesce(F.sum("s"), F.lit(0)) / 86400, 2).alias("gap_symbol_days"))
 
 
-def group_by_gap_pattern(symbols: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Symbols with the same gaps: gaps as an array (empty without any), n_symbols and the symbols, sorted."""
+def gap_pattern_members(symbols: DataFrame, gaps: DataFrame) -> DataFrame:
+    """symbol, gaps (an array, empty without any) and pattern, a SHA-256 of the gaps in microseconds."""
     each = gaps.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("gap_start", "gap_end"))).alias("gaps"))
     df = symbols.distinct().join(each, "symbol", "left").withColumn("gaps", F.coalesce("gaps", F.array().cast("array<struct<gap_start:timestamp,gap_end:timestamp>>")))
-    return df.groupBy("gaps").agg(F.count("*").alias("n_symbols"), F.sort_array(F.collect_list("symbol")).alias("symbols"))
+    listed = F.array_join(F.transform("gaps", lambda g: F.concat_ws("-", F.unix_micros(g["gap_start"]).cast("string"), F.unix_micros(g["gap_end"]).cast("string"))), ",")
+    return df.withColumn("pattern", F.sha2(listed.cast("binary"), 256))
+
+
+def group_by_gap_pattern(symbols: DataFrame, gaps: DataFrame) -> DataFrame:
+    """One row per set of gaps: pattern, gaps, n_symbols and the first symbol; gap_pattern_members() has all symbols, a row each."""
+    return gap_pattern_members(symbols, gaps).groupBy("pattern").agg(F.first("gaps").alias("gaps"), F.count("*").alias("n_symbols"), F.min("symbol").alias("first_symbol"))
 
 
 def coverage_observation(bars: DataFrame, start: str, end: str, keys: Sequence[str] = KEYS) -> DataFrame:
-    """What timestamps alone say, no prices: rows, unique, duplicates, outside the window, first, last and a SHA-256 of them."""
+    """What timestamps alone say, no prices: rows, unique, duplicates, outside the window, first, last and a SHA-256 of them.
+
+    The digest is that of all timestamps of a series in one text, 27 bytes each, so a series must have fewer than about 70
+    million rows. Series are independent.
+    """
     lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     stamp = F.date_format(F.col("timestamp").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     per = bars.groupBy(*keys, F.col("timestamp").cast("timestamp").alias("timestamp")).agg(F.count("*").alias("n"))

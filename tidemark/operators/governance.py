@@ -14,35 +14,46 @@ RESEARCH = PURPOSES[:-1]
 LADDER, MONTH_END, CRYPTO_FUTURES = ("SPY", "QQQ"), ("SPY", "AGG"), ("@MBT", "@MET")
 LEDGER_DAYS = ("discovery_start", "discovery_end", "validation_start", "validation_end", "lockbox_start", "characterization_start", "characterization_end", "forward_accrual_start")
 LEDGER = T.StructType([T.StructField("version", T.StringType()), T.StructField("dataset", T.StringType()), *[T.StructField(c, T.DateType()) for c in LEDGER_DAYS], T.StructField("allowed_purposes", T.ArrayType(T.StringType()))])
-#: First day of discovery by dataset; it ends with 2024, 2025 is for validation, the lockbox opens with 2026.
-DISCOVERY = {
-    "spy_qqq_ladder_tradestation": 2015, "month_end_spy_agg": 2017, "index_recon_sp500": 2017, "tradestation_cohort_1m": 2019, "oanda_fx": 2020, "binance_spot": 2020, "coinbase_spot": 2020, "tradestation_crypto_futures": 2022,
-}
-UNIFORM = ("spy_qqq_ladder_tradestation", "tradestation_cohort_1m", "oanda_fx", "coinbase_spot", "databento_extended_hours", "databento_opra_options", "fred_macro")
-
-
-def _folds(version: str, dataset: str, first_year: int) -> str:
-    return f"('{version}', '{dataset}', date '{first_year}-01-01', date '2024-12-31', date '2025-01-01', date '2025-12-31', date '2026-01-01', null, null, null, null)"
+#: The campaign's ledger: dataset, discovery, validation, lockbox, characterization, forward accrual, purposes.
+CAMPAIGN = """
+spy_qqq_ladder_tradestation | 2015-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+month_end_spy_agg           | 2017-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+index_recon_sp500           | 2017-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+tradestation_cohort_1m      | 2019-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+oanda_fx                    | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+binance_spot                | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+coinbase_spot               | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+tradestation_crypto_futures | 2022-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+short_interest_bar_coverage | | | | | | 2021-06-15 | 2025-12-31 | | characterization
+binance_perp                | | | | | | | | |
+databento_extended_hours    | | | | | | 2023-01-01 | 2025-12-31 | 2026-01-01 | characterization,forward_accrual
+"""
+#: The ledger whose datasets share one set of windows.
+UNIFORM = """
+spy_qqq_ladder_tradestation | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+tradestation_cohort_1m      | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+oanda_fx                    | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+coinbase_spot               | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+databento_extended_hours    | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+databento_opra_options      | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+fred_macro                  | 2020-01-01 | 2024-12-31 | 2025-01-01 | 2025-12-31 | 2026-01-01 | | | |
+"""
 
 
 def campaign_ledger(spark: SparkSession) -> DataFrame:
     """The campaign's datasets and windows."""
-    v = "intraday_campaign_v1.3"
-    rows = [_folds(v, k, y) for k, y in DISCOVERY.items()]
-    rows.append(f"('{v}', 'short_interest_bar_coverage', null, null, null, null, null, date '2021-06-15', date '2025-12-31', null, array('characterization'))")
-    rows.append(f"('{v}', 'binance_perp', null, null, null, null, null, null, null, null, null)")
-    rows.append(f"('{v}', 'databento_extended_hours', null, null, null, null, null, date '2023-01-01', date '2025-12-31', date '2026-01-01', array('characterization', 'forward_accrual'))")
-    return _ledger(spark, rows)
+    return _ledger(spark, "intraday_campaign_v1.3", CAMPAIGN)
 
 
 def uniform_ledger(spark: SparkSession) -> DataFrame:
     """The ledger whose datasets share one set of windows."""
-    return _ledger(spark, [_folds("fce_v1_2020_2026", k, 2020) for k in UNIFORM])
+    return _ledger(spark, "fce_v1_2020_2026", UNIFORM)
 
 
-def _ledger(spark: SparkSession, rows: list[str]) -> DataFrame:
-    df = spark.sql(f"select * from values {', '.join(rows)} as t({', '.join(LEDGER.names)})")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER])
+def _ledger(spark: SparkSession, version: str, table: str) -> DataFrame:
+    rows = [[cell.strip() or None for cell in line.split("|")] for line in table.strip().splitlines()]
+    df = spark.createDataFrame([(version, *r) for r in rows], ", ".join(f"{n} string" for n in LEDGER.names))
+    return df.select(*[(F.split(f.name, ",") if isinstance(f.dataType, T.ArrayType) else F.col(f.name).cast(f.dataType)).alias(f.name) for f in LEDGER])
 
 
 def route_dataset(provider: Column, symbol: Column, asset_class: Column) -> Column:

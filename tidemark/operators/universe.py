@@ -44,16 +44,25 @@ def snapshot_intervals(snapshots: DataFrame) -> DataFrame:
     return snapshots.withColumn("until", F.lead("date").over(Window.partitionBy("source").orderBy("date")))
 
 
+def snapshots_asof(snapshots: DataFrame, as_of: DataFrame) -> DataFrame:
+    """as_of(source, as_of), distinct, with date and tickers of the latest snapshot on or before it; null before the first or for an unknown source.
+
+    A source's snapshot dates, of which there are few, are one array that each date looks itself up in; tickers are joined
+    afterwards by source and date.
+    """
+    dates = snapshots.groupBy("source").agg(F.collect_set("date").alias("_dates"))
+    asked = as_of.select("source", "as_of").distinct().join(dates, "source", "left")
+    found = asked.select("source", "as_of", F.array_max(F.filter("_dates", lambda d: d <= F.col("as_of"))).alias("date"))
+    return found.join(snapshots.select("source", "date", "tickers"), ["source", "date"], "left").select("source", "as_of", "date", "tickers")
+
+
 def members_asof(snapshots: DataFrame, as_of: DataFrame) -> DataFrame:
     """Members at each as_of(source, as_of): those of the latest snapshot on or before it.
 
     A date before the source's first snapshot or an unknown source gives one row with a null symbol and found false.
-    Snapshots and dates of a source are put into one order, and each date takes the last snapshot before it.
     """
-    both = snapshots.select("source", F.col("date").alias("d"), F.lit(0).alias("side"), "tickers").unionByName(as_of.select("source", F.col("as_of").alias("d"), F.lit(1).alias("side")), allowMissingColumns=True)
-    w = Window.partitionBy("source").orderBy("d", "side").rowsBetween(Window.unboundedPreceding, 0)
-    held = both.withColumn("members", F.last("tickers", ignorenulls=True).over(w)).where("side = 1")
-    return held.select("source", F.col("d").alias("as_of"), F.explode_outer("members").alias("symbol"), F.col("members").isNotNull().alias("found"))
+    held = snapshots_asof(snapshots, as_of)
+    return held.select("source", "as_of", F.explode_outer("tickers").alias("symbol"), F.col("date").isNotNull().alias("found"))
 
 
 def composite_universe(snapshots: DataFrame, source: str, as_of: str, pit: bool = True) -> DataFrame:
@@ -73,9 +82,17 @@ def membership_deltas(snapshots: DataFrame) -> DataFrame:
 
 
 def _near(deltas: DataFrame, changes: DataFrame, window_days: int) -> DataFrame:
-    """Changes that a delta of the same symbol and action lies within window_days of: an equi-join on the day, spread over the window."""
-    spread = deltas.select(F.upper("symbol").alias("symbol"), "action", F.explode(F.sequence(F.date_sub("date", window_days), F.date_add("date", window_days))).alias("date")).distinct()
-    return changes.withColumn("_symbol", F.upper("symbol")).join(spread.withColumnRenamed("symbol", "_symbol"), ["_symbol", "action", "date"], "left_semi").drop("_symbol")
+    """Changes that a delta of the same symbol and action lies within window_days of.
+
+    Days are cut into periods that are as long as the window, so a delta falls into one and is looked for in two at most.
+    """
+    day, length = F.unix_date(F.col("date")), 2 * window_days + 1
+    period = lambda d: F.floor(d / F.lit(length))
+    spread = deltas.select(F.upper("symbol").alias("_symbol"), "action", day.alias("_day"), F.explode(F.array_distinct(F.array(period(day - window_days), period(day + window_days)))).alias("_period")).distinct()
+    own = changes.withColumns({"_symbol": F.upper("symbol"), "_period": period(day)})
+    a, b = own.alias("a"), spread.alias("b")
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_symbol", "action", "_period")] + [F.abs(F.unix_date(F.col("a.date")) - F.col("b._day")) <= window_days]
+    return a.join(b, on, "left_semi").drop("_symbol", "_period")
 
 
 def judged_changes(deltas: DataFrame, changes: DataFrame, window_days: int = 7) -> DataFrame:
@@ -110,17 +127,26 @@ def current_members(snapshots: DataFrame, end: str) -> DataFrame:
     return snapshots.where(F.col("date") <= F.lit(end).cast("date")).agg(F.max_by("tickers", "date").alias("t")).select(F.explode(F.transform("t", lambda x: F.upper(x))).alias("symbol")).distinct()
 
 
-def audit_survivorship(snapshots: DataFrame, available: DataFrame, start: str, end: str) -> DataFrame:
-    """Counts of ever, current, delisted members and of those with data, ratios (1 if nothing is asked) and the missing symbols, sorted."""
+def _survivors(snapshots: DataFrame, available: DataFrame, start: str, end: str) -> DataFrame:
+    """symbol, now (a current member) and data (is available) of all that were members in the window."""
     ever, now = ever_members(snapshots, start, end), current_members(snapshots, end).withColumn("now", F.lit(True))
     data = available.select(F.upper("symbol").alias("symbol")).distinct().withColumn("data", F.lit(True))
-    df = ever.join(now, "symbol", "left").join(data, "symbol", "left").select("symbol", F.coalesce("now", F.lit(False)).alias("now"), F.coalesce("data", F.lit(False)).alias("data"))
+    return ever.join(now, "symbol", "left").join(data, "symbol", "left").select("symbol", F.coalesce("now", F.lit(False)).alias("now"), F.coalesce("data", F.lit(False)).alias("data"))
+
+
+def audit_survivorship(snapshots: DataFrame, available: DataFrame, start: str, end: str) -> DataFrame:
+    """Counts of ever, current, delisted members, of those with data and of those without, and ratios (1 if nothing is asked). missing_members() names those without."""
     gone = ~F.col("now")
-    out = df.agg(F.count("*").alias("n_ever"), F.count_if("now").alias("n_current"), F.count_if("data").alias("n_with_data"), F.count_if(gone).alias("n_delisted"), F.count_if(gone & F.col("data")).alias("n_delisted_with_data"), F.sort_array(F.collect_list(F.when(~F.col("data"), F.col("symbol")))).alias("missing"))
+    out = _survivors(snapshots, available, start, end).agg(F.count("*").alias("n_ever"), F.count_if("now").alias("n_current"), F.count_if("data").alias("n_with_data"), F.count_if(gone).alias("n_delisted"), F.count_if(gone & F.col("data")).alias("n_delisted_with_data"), F.count_if(~F.col("data")).alias("n_missing"))
     share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(1.0))
     return out.withColumns({"coverage_ratio": share("n_with_data", "n_ever"), "delisted_coverage_ratio": share("n_delisted_with_data", "n_delisted")})
 
 
+def missing_members(snapshots: DataFrame, available: DataFrame, start: str, end: str) -> DataFrame:
+    """The members of the window without data, a row each, and whether they are delisted."""
+    return _survivors(snapshots, available, start, end).where(~F.col("data")).select("symbol", (~F.col("now")).alias("delisted"))
+
+
 def classify_removal_reason(reason: Column) -> Column:
     """The first class of REASONS that the reason mentions, else other."""
     r, out = F.lower(F.coalesce(reason, F.lit(""))), None
@@ -133,11 +159,17 @@ def classify_removal_reason(reason: Column) -> Column:
 def resolve_symbol(keys: DataFrame, symbology: DataFrame) -> DataFrame:
     """keys(raw_symbol, date) with instrument_id of the mapping that holds at the date, both bounds inclusive, null bounds open.
 
-    Of several the one that began last wins, then the largest identifier. No mapping gives null. Keys are joined once.
+    Of several the one that began last wins, then the largest identifier. No mapping gives null. Keys are joined once, by
+    symbol and year: a mapping is a row for each year of the asked dates that it reaches into.
     """
     own = keys.select("raw_symbol", "date").distinct()
+    span = own.agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
+    lo, hi = span.first()
     m = symbology.select("raw_symbol", "instrument_id", F.coalesce("valid_from", F.lit("0001-01-01").cast("date")).alias("_f"), F.coalesce("valid_to", F.lit("9999-12-31").cast("date")).alias("_t"))
-    hit = own.join(m, "raw_symbol").where(F.col("date").between(F.col("_f"), F.col("_t"))).groupBy("raw_symbol", "date").agg(F.max(F.struct("_f", "instrument_id"))["instrument_id"].alias("instrument_id"))
+    m = m.where((F.col("_f") <= F.lit(hi)) & (F.col("_t") >= F.lit(lo)) & (F.col("_f") <= F.col("_t")))
+    m = m.withColumn("_year", F.explode(F.sequence(F.year(F.greatest("_f", F.lit(lo))), F.year(F.least("_t", F.lit(hi))))))
+    met = own.withColumn("_year", F.year("date")).join(m, ["raw_symbol", "_year"]).where(F.col("date").between(F.col("_f"), F.col("_t")))
+    hit = met.groupBy("raw_symbol", "date").agg(F.max(F.struct("_f", "instrument_id"))["instrument_id"].alias("instrument_id"))
     return keys.join(hit, ["raw_symbol", "date"], "left")
 
 

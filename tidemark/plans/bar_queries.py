@@ -86,9 +86,17 @@ _C1_SQL = f"""with {BARS_SQL}, h as (select symbol, date_trunc('hour', ts) as ts
 _COLS = ("open", "high", "low", "close", "volume")
 
 
+_MEASURED = ("close", "high", "low", "volume")
+
+
+def _exact_days(spark, d):
+    """Daily bars with a decimal close and with highs and lows in whole ticks, whose sums do not depend on the order of rows."""
+    return views.bars_1d(spark, d).withColumns({"close": F.col("close").cast("decimal(18,4)"), **{c: F.floor(F.col(c) * 10_000) for c in ("high", "low")}})
+
+
 def d11(spark, d):
-    s = compare.stats(views.bars_1d(spark, d), columns=("close", "high", "low", "volume"))
-    return s.select("symbol", "column", F.round("mean", 4).alias("mean"), "min", "max", F.round("std", 4).alias("std"), "count")
+    s = compare.stats(_exact_days(spark, d), columns=_MEASURED)
+    return s.select("symbol", "column", "mean", "min", "max", F.round("std", 4).alias("std"), "count", "nulls")
 
 
 def d12(spark, d):
@@ -97,8 +105,8 @@ def d12(spark, d):
 
 
 def d13(spark, d):
-    s = compare.yearly_breakdown(views.bars_1d(spark, d))
-    return s.select("symbol", "year", "bars", F.round("percent", 6).alias("percent"))
+    s = compare.yearly_breakdown(_exact_days(spark, d), columns=_MEASURED)
+    return s.select("symbol", "year", "column", "bars", F.round("percent", 6).alias("percent"), "mean", "min", "max", F.round("std", 4).alias("std"), "nulls")
 
 
 def e7(spark, d):
@@ -144,6 +152,8 @@ QUERIES = {
     "f4_dedup_bars": f4,
 }
 
+_EXACT_SQL = "long as (" + " union all ".join(f"select symbol, ts, '{c}' as \"column\", {f'floor({c} * 10000)::bigint' if c in ('high', 'low') else c}::decimal(22,4) as value from daily" for c in _MEASURED) + ")"
+_MOMENTS_SQL = "(sum(value) * 10000)::bigint::double / 10000.0::double / count(value) as mean, min(value)::double as min, max(value)::double as max, round(stddev_samp(value::double), 4) as std"
 _ALL = "symbol, epoch_us(ts) as ts_us, open::double as open, high::double as high, low::double as low, close::double as close, volume"
 _ISSUES = [("error", "high_below_low", "high < low"), ("error", "high_below_open", "high < open"), ("error", "high_below_close", "high < close"), ("error", "low_above_open", "low > open"), ("error", "low_above_close", "low > close")]
 _ISSUES += [("error", f"negative_{c}", f"{c} < 0") for c in _COLS] + [("error", f"null_{c}", f"{c} is null") for c in _COLS] + [("error", "duplicate_timestamps", "dup > 1"), ("error", "not_sorted", "false"), ("warning", "gaps", "gap > 2 and not gap between 2000 and 5000")]
@@ -164,9 +174,9 @@ ORACLE_SQL = {
     "d9_audit": f"with {BARS_SQL}, m as (select *, {_LEAD} as n from bars) select symbol, count(*) as bars, 0::bigint as nulls, 0::bigint as dups, count(*) filter (epoch_us(n) - epoch_us(ts) > 60000000) as gap_count, min(epoch_us(ts)) filter (epoch_us(n) - epoch_us(ts) > 60000000) as first_gap_us, least(10, count(*) filter (epoch_us(n) - epoch_us(ts) > 60000000))::int as n_first from m group by symbol",
     "c1_align_sources": _C1_SQL + " select epoch_us(ts) as ts_us, " + ", ".join(f"round({c}_1 - {c}_2, 6) as {c}_diff" for c in _COLS) + " from a",
     "d10_compare_stats": _C1_SQL + " " + " union all ".join(f"select '{c}' as \"column\", round(avg({c}_1 - {c}_2), 6) as mean_diff, round(max(abs({c}_1 - {c}_2)), 6) as max_abs_diff, round(stddev_samp({c}_1 - {c}_2), 6) as std_diff, round(corr({c}_1, {c}_2), 6) as correlation, count(*) as matched from a" for c in _COLS),
-    "d11_stats": f"with {DAILY_SQL} " + " union all ".join(f"select symbol, '{c}' as \"column\", round(avg({c}::double), 4) as mean, min({c}::double) as min, max({c}::double) as max, round(stddev_samp({c}::double), 4) as std, count({c}) as count from daily group by symbol" for c in ("close", "high", "low", "volume")),
+    "d11_stats": f"with {DAILY_SQL}, {_EXACT_SQL} select symbol, \"column\", {_MOMENTS_SQL}, count(value) as count, count(*) - count(value) as nulls from long group by symbol, \"column\"",
     "d12_info": f"with {BARS_SQL} select symbol, count(*) as rows, epoch_us(min(ts)) as first_us, epoch_us(max(ts)) as last_us, min(low)::double as min_low, max(high)::double as max_high, sum(volume)::bigint as total_volume from bars group by symbol",
-    "d13_yearly": f"with {DAILY_SQL}, y as (select symbol, year(ts)::int as year, count(*) as bars from daily group by 1, 2) select *, round(bars * 100.0::double / sum(bars) over (partition by symbol), 6) as percent from y",
+    "d13_yearly": f"with {DAILY_SQL}, {_EXACT_SQL}, y as (select symbol, year(ts)::int as year, \"column\", count(*) as bars, {_MOMENTS_SQL}, count(*) - count(value) as nulls from long group by all) select * replace (std as std), round(bars * 100.0::double / sum(bars) over (partition by symbol, \"column\"), 6) as percent from y",
     "c8_validate_aggregate": f"""with {BARS_SQL}, l as (select symbol, date_trunc('day', ts)::date as date, arg_max(close, ts)::double as close, sum(volume)::bigint as volume from bars group by 1, 2),
       v as (select symbol, date, case when day(date) % 5 = 0 then close * 1.01::double else close end as close, case when day(date) % 7 = 0 then volume + 1 else volume end as volume from l where day(date) % 11 <> 0),
       j as (select l.symbol, l.date, v.date is null as gone, abs(l.close - v.close) > 1e-5 * case when (abs(l.close) + abs(v.close)) / 2 = 0 then 1 else (abs(l.close) + abs(v.close)) / 2 end as c, l.volume <> v.volume as vol from l left join v on v.symbol = l.symbol and v.date = l.date)

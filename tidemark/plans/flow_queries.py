@@ -64,6 +64,14 @@ def i8(spark, d):
     return out.select("accession", "corporate_action_type", "ex_date", "effective_date", "record_date", "payment_date", "distribution_date", "split_ratio_from", "split_ratio_to", "cash_amount", "parse_status")
 
 
+def l4(spark, d):
+    """Announcements in attachments whose text has been extracted beforehand."""
+    docs = filings.split_documents(_announcements(spark, d))
+    texts = docs.withColumns({"pdf_text": F.regexp_replace(F.regexp_replace("document", "<[^>]*>", " "), "&nbsp;", " "), "filename": F.lit("a.PDF"), "document": F.lit("%PDF-1.7")})
+    out = filings.corporate_actions(texts)
+    return out.select("accession", "corporate_action_type", "ex_date", "effective_date", "cash_amount", "parse_status")
+
+
 def i11(spark, d):
     out = filings.corporate_actions_query(_filings(spark, d), _announcements(spark, d), "1997-01-01", "1997-06-30")
     return out.select("accession", "corporate_action_type", "match_basis")
@@ -102,7 +110,7 @@ def _landing(spark, d):
 
 
 def _universe(spark, d):
-    return views.table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.concat(F.lit("C"), "c_custkey").alias("symbol"))
+    return views.table(spark, d, "customer").where("c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY')").select(F.concat(F.lit("C"), "c_custkey").alias("symbol"))
 
 
 def _known(spark, d):
@@ -176,9 +184,9 @@ def a1(spark, d):
 
 
 def a3(spark, d):
-    path, staging = _stored(spark, d)
+    path, _ = _stored(spark, d)
     keys = spark.read.parquet(path).where("symbol in ('click', 'view')").select("provider", "symbol", "timeframe").distinct()
-    tables.delete_series(spark, path, keys, f"{staging}/3")
+    tables.delete_series(spark, path, keys)
     return tables.list_series(spark.read.parquet(path))
 
 
@@ -194,9 +202,9 @@ def _stream(spark, d):
     return e.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("timestamp"), *[price.alias(c) for c in ("open", "high", "low", "close")], F.lit(1).cast("long").alias("volume"))
 
 
-def _ran(spark, stream, name):
+def _ran(spark, stream, name, mode="append"):
     out = workdir(spark, name)
-    streams.run(stream, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), workdir(spark, f"{name}-state"))
+    streams.run(stream, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), workdir(spark, f"{name}-state"), mode)
     return spark.read.parquet(out)
 
 
@@ -205,25 +213,32 @@ def k8(spark, d):
     return out.select("symbol", us("timestamp", "ts_us"), F.col("close").cast("double").alias("close"))
 
 
+def k8_refused(spark, d):
+    rough = _stream(spark, d).withColumns({"high": F.when(F.col("close") > 300, F.col("high") - 1).otherwise(F.col("high")), "volume": F.when(F.minute("timestamp") == 7, -1).otherwise(F.col("volume"))})
+    out = _ran(spark, streams.refused(rough), "stream-refused")
+    return out.select("symbol", us("timestamp", "ts_us"), F.array_join("errors", ",").alias("errors"))
+
+
 def k9(spark, d):
-    out = _ran(spark, streams.roll_up(_stream(spark, d), "1h"), "stream-rollup")
+    out = streams.latest(_ran(spark, streams.roll_up(_stream(spark, d), "1h"), "stream-rollup", "update"))
     return out.select("symbol", us("timestamp", "ts_us"), *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")], "volume")
 
 
 QUERIES = {
     "i1_filing_index": lambda s, d: filings.filing_index(_filings(s, d), None, "1996-01-01", "1996-12-31", ["8-K"]).select("cik", "form", _DAY("filing_date", "day"), "accession"),
     "i2_filing_clock": lambda s, d: filings.filing_index(_filings(s, d), None, "1996-01-01", "1996-12-31", None, True).select("cik", "form", "accession", us("accepted_ts", "accepted_us")),
+    "e17_filing_order": lambda s, d: filings.filing_index(_filings(s, d), None, "1996-01-01", "1997-12-31").select("cik", "accession", "form", "ordinal"),
     "i3_events_8k": i3, "i4_earnings": lambda s, d: filings.earnings_events(_filings(s, d), "1996-01-01", "1998-12-31").select("cik", "accession"),
-    "i5_split_documents": i5, "i6_accession_metadata": i6, "i7_form4": i7, "i8_corporate_actions": i8, "i11_corporate_actions_query": i11, "i12_wiki_changes": i12, "i13_wiki_sectors": i13, "b18_edgar_urls": b18, "h7_maintenance": h7,
+    "i5_split_documents": i5, "i6_accession_metadata": i6, "i7_form4": i7, "i8_corporate_actions": i8, "l4_pdf_text": l4, "i11_corporate_actions_query": i11, "i12_wiki_changes": i12, "i13_wiki_sectors": i13, "b18_edgar_urls": b18, "h7_maintenance": h7,
     "i9_html_to_text": lambda s, d: views.table(s, d, "pages").select("page_id", F.sha2(filings.html_to_text(F.col("html")).cast("binary"), 256).alias("text_sha256")),
     "k1_sync": k1, "k1_report": k1_report, "k2_commit": k2, "k3_skipped": k3, "k4_backfill": k4, "k5_update": k5, "k6_update_many": k6, "k7_backfill_gaps": k7, "d22_run_summary": d22,
-    "a1_read_bars": a1, "a3_delete_series": a3, "a4_append_bars": a4, "k8_stream_ingest": k8, "k9_stream_rollup": k9,
+    "a1_read_bars": a1, "a3_delete_series": a3, "a4_append_bars": a4, "k8_stream_ingest": k8, "k8_stream_refused": k8_refused, "k9_stream_rollup": k9,
 }
 
 _ACT = """o as (select lpad(o_orderkey::varchar, 10, '0') as accession, o_orderkey % 3 as m, o_orderkey as k, o_orderdate::date as day from orders),
  acts as (select accession, k, day, 'stock_split' as t, null as ex, strftime(day + 31, '%Y-%m-%d') as ef, null as rd, null as pd, strftime(day + 30, '%Y-%m-%d') as dd, 1 as f, 2 as s, null as amount, 'EXPLICIT_EFFECTIVE_DATE_AND_RATIO' as st from o where m = 0
    union all select accession, k, day, 'cash_dividend', strftime(day + 19, '%Y-%m-%d'), null, strftime(day + 20, '%Y-%m-%d'), strftime(day + 40, '%Y-%m-%d'), null, null, null, '0.' || (k % 90 + 10), 'EXPLICIT_EX_DATE' from o where m = 1)"""
-_W = "w as (select timestamp '1996-01-01' as lo, timestamp '2000-01-01' as hi), part as (select * from coverage where batch_job_id <> 'J0'), u as (select 'C' || c_custkey as symbol from customer where c_custkey % 2 = 0)"
+_W = "w as (select timestamp '1996-01-01' as lo, timestamp '2000-01-01' as hi), part as (select * from coverage where batch_job_id <> 'J0'), u as (select 'C' || c_custkey as symbol from customer where c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY'))"
 _GAPS = """inside as (select symbol, greatest(start_ts, lo) as s, least(end_ts, hi) as e from part, w where end_ts > lo and start_ts < hi union all select distinct symbol, hi, hi from part, w),
  g0 as (select symbol, gap_start, s as gap_end from (select symbol, s, coalesce(max(e) over (partition by symbol order by s, e rows between unbounded preceding and 1 preceding), lo) as gap_start from inside, w) where s > gap_start),
  gaps as (select g0.* from g0 join u using (symbol) union all select symbol, lo, hi from u, w where symbol not in (select symbol from part))"""
@@ -233,30 +248,36 @@ _TICK = "with t as (select event_type as symbol, ts, cast(value as decimal(18,8)
 ORACLE_SQL = {
     "i1_filing_index": f"{_F8} select distinct cik, form, date_diff('day', date '1970-01-01', day)::int as day, accession from f where form = '8-K' and year(day) = 1996",
     "i2_filing_clock": f"{_F8} select distinct cik, form, accession, epoch_us(acc) as accepted_us from f where year(day) = 1996",
+    "e17_filing_order": f"{_F8}, u as (select distinct cik, form, day, accession from f where year(day) in (1996, 1997)) select cik, accession, form, row_number() over (partition by cik order by day desc, accession, form)::int as ordinal from u",
     "i3_events_8k": f"{_F8} select cik, accession, case when items = '7.01' then '7.01' else '2.02' end as matched from f where form = '8-K' and day between date '1996-01-01' and date '1998-12-31'",
     "i4_earnings": f"{_F8} select cik, accession from f where form = '8-K' and items <> '7.01' and day between date '1996-01-01' and date '1998-12-31'",
     "i5_split_documents": "with c as (select *, '<ix:nonNumeric name=\"dei:TradingSymbol\" id=\"a\">' || chr(10) || ' <b>t' || (doc_id % 50) || '</b> </ix:nonNumeric> ' || text as cover from documents) select doc_id::varchar as accession, 0::int as document_no, '8-K' as document_type, 'd' || doc_id || '-1.htm' as filename, len(cover)::int as n from c union all select doc_id::varchar, 1, 'EX-99.1', 'd' || doc_id || '-2.htm', len(text)::int from documents where doc_id % 3 = 0",
     "i6_accession_metadata": "select doc_id::varchar as accession, 'T' || (doc_id % 50) as symbols, doc_id % 3 = 0 as has_ex_99_1, case when doc_id % 3 = 0 then '8-K,EX-99.1' else '8-K' end as types from documents",
     "i7_form4": "with o as (select o_orderkey as k, o_custkey, strftime(o_orderdate, '%Y-%m-%d') as day, o_totalprice from orders where o_orderkey % 11 <> 0 and o_orderkey % 7 <> 0), t as (select *, k as sh from o where k % 2 = 0 union all select *, k + 1 from o where k % 5 = 0) select k as id, 'S' || (k % 30) as symbol, 'C' || o_custkey as owner_name, true as is_director, day as transaction_date, sh::double as shares, o_totalprice::decimal(18,2)::double as price_per_share from t",
     "i8_corporate_actions": f"with {_ACT} select accession, t as corporate_action_type, ex as ex_date, ef as effective_date, rd as record_date, pd as payment_date, dd as distribution_date, f as split_ratio_from, s as split_ratio_to, amount as cash_amount, st as parse_status from acts",
+    "l4_pdf_text": f"with {_ACT} select accession, t as corporate_action_type, ex as ex_date, ef as effective_date, amount as cash_amount, st as parse_status from acts",
     "i11_corporate_actions_query": f"with {_ACT}, q as (select *, case when ex between '1997-01-01' and '1997-06-30' then 'ex_date' when ef between '1997-01-01' and '1997-06-30' then 'effective_date' when rd between '1997-01-01' and '1997-06-30' then 'record_date' when pd between '1997-01-01' and '1997-06-30' then 'payment_date' when dd between '1997-01-01' and '1997-06-30' then 'distribution_date' when strftime(day, '%Y-%m-%d') between '1997-01-01' and '1997-06-30' then 'filing_date' end as match_basis from acts where k % 2 = 0 and day between date '1997-01-01' - 370 and date '1997-06-30') select accession, t as corporate_action_type, match_basis from q where match_basis is not null",
     "i12_wiki_changes": "with o as (select o_custkey as page, date_diff('day', date '1970-01-01', o_orderdate::date)::int as day, o_orderkey as k, case when o_orderkey % 2 = 0 then 'Acquired by Buyer' else 'Market capitalization change' end as reason, case when o_orderkey % 2 = 0 then 'm_and_a' else 'ranking' end as reason_class from orders) select page, day, 'A' || (k % 40) as symbol, 'added' as action, reason, reason_class from o union all select page, day, 'R' || (k % 60), 'removed', reason, reason_class from o",
     "i13_wiki_sectors": "select 'S' || s_suppkey as symbol, 'Sector ' || s_nationkey as sector from supplier",
     "b18_edgar_urls": "select lpad(o_custkey::varchar, 10, '0') as cik10, lpad(o_orderkey::varchar, 10, '0') || '-97-000001' as accession, 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || lpad(o_orderkey::varchar, 10, '0') || '97000001/' || lpad(o_orderkey::varchar, 10, '0') || '-97-000001.txt' as submission_url, 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || lpad(o_orderkey::varchar, 10, '0') || '97000001/a%20b.htm' as document_url from orders",
     "h7_maintenance": "with i as (select 'u' || user_id || '-' || (event_id % 4) as name, max(event_id) filter (event_id % 3 = 0) as s, max(event_id) filter (event_id % 3 = 1) as e from events group by user_id, event_id % 4) select name, s * 1000000 as start_us, e * 1000000 as end_us from i where s is not null and e is not null",
-    "i9_html_to_text": r"select page_id, sha256(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'), '<[A-Za-z/!?][^>]*>', ' ', 'g'), '&nbsp;', ' '), '&#160;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&'), '[\s\x{A0}]+', ' ', 'g'))) as text_sha256 from pages",
+    "i9_html_to_text": """with c as (select page_id, regexp_replace(replace(html, 't="</p>"', 't="' || chr(1) || '/p' || chr(2) || '"'), '<!--[^>]*-->', ' ', 'g') as h from pages),
+      t as (select page_id, list_transform(string_split(h, '<'), lambda x, i: case when i = 1 then x when strpos(x, '>') = 0 then ' ' else ' ' || substr(x, strpos(x, '>') + 1) end) as runs from c),
+      u as (select page_id, array_to_string(runs, '') as x from t)
+      select page_id, sha256(trim(regexp_replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), chr(1), '<'), chr(2), '>'), '\\s+', ' ', 'g'))) as text_sha256 from u""",
     "k1_sync": f"{_SYNC} select symbol, epoch_us(ts) as ts_us, close from rows_in",
     "k1_report": f"{_SYNC} select u.symbol, 'ok' as status, coalesce((select count(*) from rows_in r where r.symbol = u.symbol), 0) as rows, coalesce((select count(*) from gaps g where g.symbol = u.symbol), 0) as gaps from u",
     "k2_commit": f"with {COVERAGE_SQL}, {_W}, {_GAPS}, a as (select symbol, start_ts as s, end_ts as e from part union all select symbol, gap_start, gap_end from gaps where right(symbol, 1) <> '8'), m as (select *, case when s > max(e) over (partition by symbol order by s, e rows between unbounded preceding and 1 preceding) then 1 else 0 end as new from a), i as (select *, sum(new) over (partition by symbol order by s, e rows between unbounded preceding and current row) as island from m) select symbol, epoch_us(min(s)) as start_us, epoch_us(max(e)) as end_us from i group by symbol, island",
-    "k3_skipped": "select distinct 'C' || o_custkey as symbol from orders where o_totalprice > 250000 and o_custkey in (select c_custkey from customer where c_custkey % 2 = 0)",
+    "k3_skipped": "select distinct 'C' || o_custkey as symbol from orders where o_totalprice > 250000 and o_custkey in (select c_custkey from customer where c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY'))",
     "k4_backfill": f"with {BARS_SQL}, e as (select symbol, min(ts) as a, max(ts) as b from bars where hour(ts) % 3 <> 0 and day(ts) > 3 group by symbol) select bars.symbol, epoch_us(ts) as ts_us, close::double as close from bars join e on e.symbol = bars.symbol where ts between a and b or ts::date < a::date or ts::date > b::date",
     "k5_update": f"with {BARS_SQL}, h as (select symbol, max(ts) as last from bars where ts < timestamp '2024-01-15' and symbol <> 'click' group by symbol) select b.symbol, epoch_us(ts) as ts_us from bars b left join h on h.symbol = b.symbol where ts > coalesce(last, timestamp '2024-01-18') and ts <= timestamp '2024-01-25'",
-    "k6_update_many": "with p as (select 'C' || o_custkey as symbol, count(*) as n, bool_or(o_totalprice > 400000) as bad from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1999-12-31' group by 1), u as (select 'C' || c_custkey as symbol from customer where c_custkey % 2 = 0) select u.symbol, case when n is null then 'skipped' when bad then 'failed' else 'ok' end as status, case when n is not null and not bad then n else 0 end::bigint as rows, 0::int as gaps, case when bad then 'close' end as reason from u left join p on p.symbol = u.symbol",
+    "k6_update_many": "with p as (select 'C' || o_custkey as symbol, count(*) as n, bool_or(o_totalprice > 400000) as bad from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1999-12-31' group by 1), u as (select 'C' || c_custkey as symbol from customer where c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY')) select u.symbol, case when n is null then 'skipped' when bad then 'failed' else 'ok' end as status, case when n is not null and not bad then n else 0 end::bigint as rows, 0::int as gaps, case when bad then 'close' end as reason from u left join p on p.symbol = u.symbol",
     "k7_backfill_gaps": f"with {BARS_SQL}, e as (select symbol, min(ts) filter (hour(ts) <> 5) as a, max(ts) filter (hour(ts) <> 5) as b from bars group by symbol) select bars.symbol, epoch_us(ts) as ts_us from bars join e on e.symbol = bars.symbol where ts between a and b",
-    "d22_run_summary": "with p as (select 'C' || o_custkey as symbol, count(*) as n, bool_or(o_totalprice > 400000) as bad from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1999-12-31' group by 1), u as (select 'C' || c_custkey as symbol from customer where c_custkey % 2 = 0), r as (select case when n is null then 'skipped' when bad then 'failed' else 'ok' end as status, case when n is not null and not bad then n else 0 end as rows from u left join p on p.symbol = u.symbol) select count(*) as total, count(*) filter (status = 'ok') as succeeded, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'skipped') as skipped, sum(rows)::bigint as rows, 0::bigint as gaps from r",
+    "d22_run_summary": "with p as (select 'C' || o_custkey as symbol, count(*) as n, bool_or(o_totalprice > 400000) as bad from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1999-12-31' group by 1), u as (select 'C' || c_custkey as symbol from customer where c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY')), r as (select case when n is null then 'skipped' when bad then 'failed' else 'ok' end as status, case when n is not null and not bad then n else 0 end as rows from u left join p on p.symbol = u.symbol) select count(*) as total, count(*) filter (status = 'ok') as succeeded, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'skipped') as skipped, sum(rows)::bigint as rows, 0::bigint as gaps from r",
     "a1_read_bars": f"with {BARS_SQL} select epoch_us(ts) as ts_us, close::double as close from bars where symbol = 'click' and ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-08'",
     "a3_delete_series": f"with {BARS_SQL} select distinct 'vendor' as provider, symbol, '1m' as timeframe from bars where symbol not in ('click', 'view')",
     "a4_append_bars": f"with {BARS_SQL} select 'vendor' as provider, '1m' as timeframe, symbol, epoch_us(ts) as ts_us, (volume + case when hour(ts) >= 8 then 10 else 0 end)::double as volume from bars",
     "k8_stream_ingest": f"{_TICK} select symbol, epoch_us(ts) as ts_us, p::double as close from t",
-    "k9_stream_rollup": f"{_TICK} select symbol, epoch_us(date_trunc('hour', ts)) as ts_us, arg_min(p, ts)::double as open, max(p)::double as high, min(p)::double as low, arg_max(p, ts)::double as close, count(*)::bigint as volume from t where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 10 minute from t) group by symbol, date_trunc('hour', ts)",
+    "k8_stream_refused": f"{_TICK} select * from (select symbol, epoch_us(ts) as ts_us, concat_ws(',', case when p > 300 then 'high_lt_low,high_lt_open_close' end, case when minute(ts) = 7 then 'negative_volume' end) as errors from t) where errors <> ''",
+    "k9_stream_rollup": f"{_TICK} select symbol, epoch_us(date_trunc('hour', ts)) as ts_us, arg_min(p, ts)::double as open, max(p)::double as high, min(p)::double as low, arg_max(p, ts)::double as close, count(*)::bigint as volume from t group by symbol, date_trunc('hour', ts)",
 }

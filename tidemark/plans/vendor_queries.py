@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import calendar, governance, options
@@ -175,10 +177,24 @@ def j2(spark, d):
     return governance.decide_reads(_requests(spark, d), governance.campaign_ledger(spark)).select("request_id", "dataset", "reason", "allowed")
 
 
+def j2_uniform(spark, d):
+    """Reads decided by the ledger whose datasets share their windows."""
+    return governance.decide_reads(_requests(spark, d), governance.uniform_ledger(spark)).groupBy("dataset", "allowed").agg(F.count("*").alias("n"), F.min("request_id").alias("first"), F.max("request_id").alias("last"))
+
+
+def h4_fomc(spark, d):
+    """Events on the days of scheduled statements, by whether they come before it."""
+    e = views.ticks(spark, d).select("event_id", "timestamp", F.to_date(F.from_utc_timestamp("timestamp", calendar.NEW_YORK)).alias("announcement_date"))
+    o = views.table(spark, d, "orders").select(F.col("o_orderkey").alias("event_id"), (F.col("o_orderdate").cast("timestamp") + F.expr("interval 7305 days 19 hours")).alias("timestamp"))
+    o = o.withColumn("announcement_date", F.to_date(F.from_utc_timestamp("timestamp", calendar.NEW_YORK)))
+    both = e.unionByName(o).join(F.broadcast(calendar.fomc(spark, "2015-01-01", "2022-12-31")), "announcement_date")
+    return both.select("event_id", us("timestamp", "ts_us"), us("announcement_utc", "announced_us"), (F.col("timestamp") < F.col("announcement_utc")).alias("before"))
+
+
 def j3(spark, d):
     r = governance.decide_reads(_requests(spark, d), governance.campaign_ledger(spark)).where("dataset is not null")
-    log = r.where("request_id % 2 = 0")
-    return governance.check_validation_reuse(r.where("request_id % 2 = 1"), log).select("request_id", "dataset", "arm_id", "session_id", "reused")
+    early = F.substring("session_id", 2, 1) == "0"  # the first session's reads are in the log already
+    return governance.check_validation_reuse(r.where(~early), r.where(early)).select("request_id", "dataset", "arm_id", "session_id", "reused")
 
 
 def j5(spark, d):
@@ -245,7 +261,7 @@ QUERIES = {
     "a33_open_interest": lambda s, d: options.normalize_open_interest(_statistics(s, d)).select("instrument_id", F.datediff("oi_as_of", F.lit("1970-01-01").cast("date")).alias("day"), "open_interest"),
     "a34_option_mid": lambda s, d: options.normalize_option_mid(_prices(s, d)).select("instrument_id", F.col("mid").cast("double").alias("mid")),
     "d21_latest_oi": lambda s, d: options.latest_open_interest(options.normalize_open_interest(_statistics(s, d)), "2024-01-01", 1).select("instrument_id", F.datediff("oi_as_of", F.lit("1970-01-01").cast("date")).alias("day"), "open_interest"),
-    "c6_gamma_flow": c6, "j2_decide_reads": j2, "j3_validation_reuse": j3, "j5_citable_windows": j5,
+    "c6_gamma_flow": c6, "j2_decide_reads": j2, "j2_uniform_ledger": j2_uniform, "h4_fomc": h4_fomc, "j3_validation_reuse": j3, "j5_citable_windows": j5,
     "b8_fx_sessions": b8, "b10_fx_windows": b10, "b13_closed_hours": b13,
     "b5_symbols": lambda s, d: views.table(s, d, "events").select("event_id", *[payloads.normalize_symbol(F.concat_ws("_", "event_type", F.lit("usd")), v).alias(v) for v in ("coinbase", "binance", "alpaca")]),
     "b9_fx_week": lambda s, d: views.ticks(s, d).select("event_id", calendar.is_fx_trading_week(F.col("timestamp")).alias("open")),
@@ -268,7 +284,7 @@ _REQ = """r as (select o_orderkey as k, lower(['tradestation', 'OANDA', 'binance
  routed as (select *, case when p = 'tradestation' and (a = 'future' or s = '@MBT') then 'tradestation_crypto_futures' when p = 'tradestation' and a = 'month_end_book' and s in ('SPY', 'AGG') then 'month_end_spy_agg' when p = 'tradestation' and a = 'index_recon_book' then 'index_recon_sp500'
    when p = 'tradestation' and a = 'short_interest_book' then 'short_interest_bar_coverage' when p = 'tradestation' and s = 'SPY' then 'spy_qqq_ladder_tradestation' when p = 'tradestation' then 'tradestation_cohort_1m' when p = 'oanda' then 'oanda_fx' when p = 'binance' then 'binance_spot'
    when p = 'databento' and a = 'option' then 'databento_opra_options' when p = 'databento' and a = 'index_recon_book' then 'index_recon_sp500' when p = 'databento' then 'databento_extended_hours' when p = 'alpaca' and a = 'index_recon_book' then 'index_recon_sp500' end as ds from r),
- l(ds, y) as (values """ + ", ".join(f"('{k}', {y})" for k, y in governance.DISCOVERY.items()) + """),
+ l(ds, y) as (values ('spy_qqq_ladder_tradestation', 2015), ('month_end_spy_agg', 2017), ('index_recon_sp500', 2017), ('tradestation_cohort_1m', 2019), ('oanda_fx', 2020), ('binance_spot', 2020), ('coinbase_spot', 2020), ('tradestation_crypto_futures', 2022)),
  j as (select routed.*, case when y is not null then make_date(y, 1, 1) end as d0, case when y is not null then date '2024-12-31' end as d1, case when y is not null then date '2025-01-01' end as v0, case when y is not null then date '2025-12-31' end as v1, case when y is not null then date '2026-01-01' end as lb,
    routed.ds = 'short_interest_bar_coverage' as si, routed.ds = 'databento_extended_hours' as eh, y is not null or routed.ds in ('short_interest_bar_coverage', 'databento_extended_hours') as known from routed left join l on l.ds = routed.ds),
  dec as (select *, case when a = 'short_interest_book' and p <> 'tradestation' then 'short_interest_provider' when a = 'short_interest_book' and pu is null then 'short_interest_purpose' when a = 'short_interest_book' and dk <> 'bar_coverage' then 'short_interest_kind' when a = 'short_interest_book' and tf <> '1d' then 'short_interest_timeframe'
@@ -277,6 +293,10 @@ _REQ = """r as (select o_orderkey as k, lower(['tradestation', 'OANDA', 'binance
    when pu = 'discovery' and d0 is null then 'no_window' when pu = 'discovery' and (st < d0 or en > d1) then 'outside_window' when pu = 'validation' and v0 is null then 'no_window' when pu = 'validation' and (st < v0 or en > v1) then 'outside_window'
    when pu = 'characterization' and not (si or eh) then 'purpose_not_admitted' when pu = 'characterization' and (st < case when si then date '2021-06-15' else date '2023-01-01' end or en > date '2025-12-31') then 'outside_window'
    when pu = 'forward_accrual' and not eh then 'no_window' when pu = 'forward_accrual' and st < date '2026-01-01' then 'outside_window' else 'allowed' end as reason from j)"""
+_UNIFORM_REQ = re.sub(r"l\(ds, y\) as \(values .*?\)\),", "l(ds, y) as (values ('spy_qqq_ladder_tradestation', 2020), ('tradestation_cohort_1m', 2020), ('oanda_fx', 2020), ('coinbase_spot', 2020), ('databento_extended_hours', 2020), ('databento_opra_options', 2020), ('fred_macro', 2020)),", _REQ)
+for _special in ("short_interest_bar_coverage' as si", "databento_extended_hours' as eh"):
+    _UNIFORM_REQ = _UNIFORM_REQ.replace(f"routed.ds = '{_special}", f"false as {_special[-2:]}")
+_UNIFORM_REQ = _UNIFORM_REQ.replace("y is not null or routed.ds in ('short_interest_bar_coverage', 'databento_extended_hours') as known", "y is not null as known")
 ORACLE_SQL = {
     "a9_oanda": f"with {BARS_SQL} select {_BARS_OUT} from bars where minute(ts) % 10 <> 0",
     "a10_binance": f"with {BARS_SQL} select {_BARS_OUT} from bars", "a12_polygon": f"with {BARS_SQL} select {_BARS_OUT} from bars", "a13_alpaca": f"with {BARS_SQL} select {_BARS_OUT} from bars",
@@ -299,7 +319,11 @@ ORACLE_SQL = {
     "d21_latest_oi": f"with {_LATEST} select instrument_id, day::int as day, oi as open_interest from k",
     "c6_gamma_flow": f"{_DEF}, {_LATEST} select c.instrument_id, t as option_type, {_STRIKE}::double as strike, round((e - 19723) / 365.25::double, 8) as tte_years, oi as open_interest, ((p_retailprice * 100)::bigint - 1) / 100.0::double as mid, m::int as contract_multiplier, 'E' as exercise_style from c join k using (instrument_id) join part on p_partkey = c.instrument_id where t <> 'M' and e > 19723",
     "j2_decide_reads": f"with {_REQ} select k as request_id, ds as dataset, reason, reason in ('allowed', 'ungoverned') as allowed from dec",
-    "j3_validation_reuse": f"with {_REQ}, v as (select *, first_value(sess) over (partition by ds, arm order by k) as f from dec where ds is not null and pu = 'validation') select k as request_id, ds as dataset, arm as arm_id, sess as session_id, sess <> f as reused from v where k % 2 = 1",
+    "j2_uniform_ledger": f"with {_UNIFORM_REQ} select ds as dataset, reason in ('allowed', 'ungoverned') as allowed, count(*) as n, min(k) as first, max(k) as last from dec group by all",
+    "h4_fomc": f"""with e as (select event_id, ts from events union all select o_orderkey, o_orderdate + interval 7305 day + interval 19 hour from orders),
+      f as (select d::date as day, timezone('UTC', timezone('America/New_York', d::date + interval 14 hour)) as said from (select unnest({calendar.FOMC}) as d))
+      select event_id, epoch_us(ts) as ts_us, epoch_us(said) as announced_us, ts < said as before from e join f on {_NY('ts')}::date = f.day""",
+    "j3_validation_reuse": f"with {_REQ}, v as (select *, first_value(sess) over (partition by ds, arm order by k) as f from dec where ds is not null and pu = 'validation') select k as request_id, ds as dataset, arm as arm_id, sess as session_id, sess <> f as reused from v where sess <> 's0'",
     "j5_citable_windows": f"with {_REQ} select strftime(st, '%Y-%m-%d') as start, strftime(en, '%Y-%m-%d') as \"end\" from dec where reason = 'allowed' and ds = 'oanda_fx' and arm = 'arm1' and pu in ('discovery', 'validation', 'characterization', 'forward_accrual')",
     "b5_symbols": "select event_id, upper(event_type) || '-USD' as coinbase, replace(upper(event_type), '_', '') || 'USD' as binance, upper(event_type) || '_USD' as alpaca from events",
     "b8_fx_sessions": f"select event_id, date_diff('day', date '1970-01-01', ({_LONDON})::date)::int as session_day, hour({_LONDON}) < 8 as in_asian_window, hour({_LONDON}) = 8 and minute({_LONDON}) < 15 as in_london_open_window, hour({_LONDON}) >= 8 as is_post_open from events",

@@ -12,9 +12,10 @@ BARS_SQL = """
 ticks as (select event_type as symbol, ts, event_id, cast(value as decimal(18,8)) as price from events),
 bars as (select symbol, date_trunc('minute', ts) as ts, arg_min(price, row(ts, event_id)) as open, max(price) as high, min(price) as low,
   arg_max(price, row(ts, event_id)) as close, count(*)::bigint as volume from ticks group by 1, 2)"""
-#: Daily bars of the lineitem table by supplier: price aggregates without an order, so ties do not matter.
+#: Daily bars of the lineitem table by supplier: the close is the average price in whole ticks, from sums of whole cents, so
+#: that neither the order of rows nor ties matter.
 DAILY_SQL = """
-daily as (select 'S' || l_suppkey as symbol, l_shipdate as ts, cast(avg(l_extendedprice / l_quantity) as decimal(18,4))::double as close,
+daily as (select 'S' || l_suppkey as symbol, l_shipdate as ts, floor(sum(round(l_extendedprice * 100)::bigint)::double / sum(l_quantity)::double * 100) / 10000.0::double as close,
   max(l_extendedprice / l_quantity) as high, min(l_extendedprice / l_quantity) as low, sum(l_quantity)::bigint as volume from lineitem group by 1, 2)"""
 COVERAGE_SQL = """
 coverage as (select 'C' || o_custkey as symbol, o_orderdate as start_ts, o_orderdate + to_days(cast(o_orderkey % 30 + 1 as integer)) as end_ts,
@@ -58,7 +59,7 @@ def bars_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("l_extendedprice") / F.col("l_quantity")
     out = table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), F.col("l_shipdate").cast("timestamp").alias("timestamp"))
-    return out.agg(F.avg(p).cast("decimal(18,4)").cast("double").alias("close"), F.max(p).alias("high"), F.min(p).alias("low"), F.sum("l_quantity").cast("long").alias("volume"))
+    return out.agg((F.floor(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).cast("double") / F.sum("l_quantity").cast("double") * 100) / F.lit(10_000.0)).alias("close"), F.max(p).alias("high"), F.min(p).alias("low"), F.sum("l_quantity").cast("long").alias("volume"))
 
 
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +70,7 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    return o.groupBy(F.last_day(F.col("o_orderdate").cast("date")).alias("date")).agg(F.sort_array(F.collect_set(F.concat(F.lit("C"), "o_custkey"))).alias("tickers")).withColumn("source", F.lit("orders"))
+    return o.groupBy(F.last_day(F.col("o_orderdate").cast("date")).alias("date")).agg(F.sort_array(F.collect_set(F.concat(F.lit("C"), "o_custkey"))).alias("tickers"), F.min(F.lit("orders")).alias("source"))
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
