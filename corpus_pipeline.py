@@ -1,4 +1,10 @@
-"""A corpus from documents: language, near-duplicates, contamination, mixture, shards."""
+"""A corpus from documents: language, near-duplicates, contamination, mixture, shards.
+
+Only the columns of documents pass through; others are dropped, so that they can't clash. A text that is null or has no
+letter is rejected by the first stage, so later ones see none. Of repeated rows and other copies one class is one group of
+the second stage, in which the rows with the smallest identifier (null: lowest) stay; ties go the same way in every run. Long
+texts are handled whole. Empty tables give an empty corpus.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, language, mixing, near_dedup, sharding
-from tidemark.llm.common import count_words, scratch
+from tidemark.llm.common import count_words, materialise, scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,10 +35,19 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    sized = mixing.quality_weight(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet")).withColumn("size", count_words(F.col("text")))
-    taken = mixing.mix(sized).where("copies > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+    """Each document as often as the mix takes it.
+
+    The mix is made of narrow rows: a hash of the whole row, identifier, source and size. Texts are moved once, to the
+    rows that are taken.
+    """
+    own = docs.select(*COLUMNS)
+    row = [F.xxhash64(*COLUMNS).alias("_row"), F.xxhash64(F.lit(1), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in COLUMNS]).alias("_row2")]
+    narrow = materialise(own.select(*row, "doc_id", "source", count_words(F.col("text")).alias("size")), "pipeline-sizes")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    taken = mixing.mix(materialise(mixing.quality_weight(narrow, labels), "pipeline-weights")).where("copies > 0")
+    taken = materialise(taken.select("_row", "_row2", "copies"), "pipeline-taken")
+    texts = own.select("*", *row).dropDuplicates(["_row", "_row2"]).hint("merge")
+    return taken.join(texts, ["_row", "_row2"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
 def place(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

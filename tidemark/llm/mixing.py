@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import count_words, documents, join_groups, materialise
+from tidemark.llm.common import count_words, documents, join_groups, materialise, packed, unpacked
 
 #: Weights of the sources in code point order, repeating; no document is taken more often than MAX_EPOCHS.
 CYCLE, MAX_EPOCHS = (5, 2, 1), 3
 #: Sources up to this number are broadcast; rows of a source that one bucket of keys holds on average.
 MANY_SOURCES, BUCKET_ROWS = 100_000, 500
+#: Buckets whose sums are added first, so that no source's buckets are summed in one task.
+GROUP_BUCKETS = 4096
 #: Weights of documents by quality label.
 GOOD, BAD, UNKNOWN = 2.0, 0.5, 1.0
 
@@ -35,15 +37,18 @@ def mix(docs: DataFrame, source: str = "source", size: str = "size", weight: str
     """docs with source_size, target and copies: how often the mix takes each row.
 
     A source takes floor(target / source_size) whole epochs. The rest of its target is filled in the order of
-    exponential keys -ln(u) / weight, u from a hash of ident: those keys are monotonically bucketed, sums per bucket
-    find the bucket in which the target falls, and only that bucket is sorted and prefix-summed. The row at the end is
-    taken if that brings the source nearer to its target. Weights must be positive.
+    exponential keys -ln(u) / weight, u from a hash of ident: those keys are monotonically bucketed, sums per group of
+    buckets and then per bucket find the bucket in which the target falls, and only that one is sorted and prefix-summed, in
+    runs of rows with the same key and size from one partition, so that a repeated row gathers in no task. The row at the
+    end is taken if that brings the source nearer to its target. Weights must be positive.
 
     A null source is a source; null size counts as 0, null weight as 1. Rows with equal ident and size are
-    interchangeable. Reruns agree. An empty input gives an empty result.
+    interchangeable (ties), so repeated rows may be taken in part. Texts are not read. Reruns agree. An empty input gives
+    an empty result. Columns of docs that are called source_size, target or copies are replaced; others may have any name.
     """
-    u = (F.conv(F.substring(F.md5(F.coalesce(F.col(ident).cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(2.0**52)
-    keyed = docs.withColumns({"_key": -F.log(u) / F.coalesce(F.col(weight), F.lit(1.0)), "_size": F.coalesce(F.col(size), F.lit(0)).cast("long"), "_src": F.struct(F.col(source).isNull().alias("no"), F.coalesce(F.col(source), F.lit("")).alias("s"))})
+    u = (F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{ident}`").cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(2.0**52)
+    of = lambda c: F.col(f"`{c}`")
+    keyed = docs.select(packed(docs), (-F.log(u) / F.coalesce(of(weight), F.lit(1.0))).alias("_key"), F.coalesce(of(size), F.lit(0)).cast("long").alias("_size"), F.struct(of(source).isNull().alias("no"), F.coalesce(of(source), F.lit("")).alias("s")).alias("_src"))
     narrow = materialise(keyed.select("_src", "_size", "_key"), "mix-keys")
     sizes = narrow.groupBy("_src").agg(F.count("*").alias("n"), F.sum("_size").alias("source_size"))
     named = sizes.select(F.when(~F.col("_src.no"), F.col("_src.s")).alias("source"), "n", "source_size")
@@ -57,25 +62,40 @@ def mix(docs: DataFrame, source: str = "source", size: str = "size", weight: str
         df = df.join(F.broadcast(of), "_src", "left") if few else join_groups(df, of, "_src", "n", "left")
         return df.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * F.col("_buckets")))
 
-    by_source = Window.partitionBy("_src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    sums = with_plan(narrow, plan).groupBy("_src", "_bucket").agg(F.sum("_size").alias("b"), F.first("_rest").alias("_rest"))
-    sums = sums.withColumn("end", F.sum("b").over(by_source)).where("end > _rest")
-    crossing = sums.groupBy("_src").agg(F.min(F.struct("_bucket", (F.col("end") - F.col("b")).alias("_before"))).alias("c")).select("_src", F.col("c._bucket").alias("_cross"), F.col("c._before").alias("_before"))
-    plan = materialise(plan.join(crossing, "_src", "left"), "mix-crossing")
+    def crossing(parts: DataFrame, at: str) -> DataFrame:
+        """Per source the part in which the sum of the parts so far passes _rest, and the sum before it; parts: _src, at, b, _rest, _from."""
+        so_far = Window.partitionBy("_src").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+        ends = parts.withColumn("_end", F.col("_from") + F.sum("b").over(so_far)).where("_end > _rest")
+        return ends.groupBy("_src").agg(F.min(F.struct(F.col(at), (F.col("_end") - F.col("b")).alias("_from"))).alias("c")).select("_src", F.col(f"c.{at}").alias(at), F.col("c._from").alias("_from"))
+
+    sums = materialise(with_plan(narrow, plan).groupBy("_src", "_bucket").agg(F.sum("_size").alias("b"), F.first("_rest").alias("_rest")).withColumn("_group", F.floor(F.col("_bucket") / GROUP_BUCKETS)), "mix-sums")
+    groups = crossing(sums.groupBy("_src", "_group").agg(F.sum("b").alias("b"), F.first("_rest").alias("_rest")).withColumn("_from", F.lit(0)), "_group")
+    cross = crossing(sums.join(materialise(groups, "mix-groups"), ["_src", "_group"]), "_bucket").withColumnRenamed("_bucket", "_cross")
+    plan = materialise(plan.join(cross, "_src", "left"), "mix-crossing")
 
     rows = with_plan(keyed, plan)
     inside = F.coalesce(F.col("_bucket") == F.col("_cross"), F.lit(False))
-    prefix = F.col("_before") + F.sum("_size").over(Window.partitionBy("_src", "_bucket").orderBy("_key", "_size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size") / 2
     clear = rows.where(~inside).withColumn("_more", F.coalesce(F.col("_bucket") < F.col("_cross"), F.lit(True)))
-    cut = rows.where(inside).withColumn("_more", prefix <= F.col("_rest"))
-    return clear.unionByName(cut).select(*docs.columns, "source_size", "target", F.least(F.col("_epochs") + F.col("_more").cast("long"), F.lit(max_epochs)).alias("copies"))
+    cut = materialise(rows.where(inside).withColumn("_tie", F.monotonically_increasing_id()), "mix-cut").withColumn("_part", F.shiftright("_tie", 33))
+    run = ["_src", "_key", "_size", "_part"]
+    before = F.sum("_run").over(Window.partitionBy("_src").orderBy("_key", "_size", "_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_run")
+    runs = cut.groupBy(*run).agg(F.sum("_size").alias("_run")).withColumn("_before", before).drop("_run")
+    middle = F.col("_from") + F.col("_before") + F.col("_size") * (F.row_number().over(Window.partitionBy(*run).orderBy("_tie")) - 0.5)
+    cut = cut.join(runs, run).withColumn("_more", middle <= F.col("_rest"))
+    both = clear.unionByName(cut.select(*clear.columns))
+    return both.select("row", "source_size", "target", F.least(F.col("_epochs") + F.col("_more").cast("long"), F.lit(max_epochs)).alias("copies")).select(*unpacked(docs, "source_size", "target", "copies"))
 
 
 def quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with weight: GOOD or BAD by the best quality label of its doc_id, else UNKNOWN."""
+    """docs with weight: GOOD or BAD by the best quality label of its doc_id, else UNKNOWN (also for a null doc_id).
+
+    Repeated labels count once, repeated rows have equal weights. A column weight is replaced. docs should be narrow:
+    it is joined to labels by doc_id.
+    """
     best = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("_quality"))
     w = F.when(F.col("_quality") >= 1, F.lit(GOOD)).when(F.col("_quality") < 1, F.lit(BAD)).otherwise(F.lit(UNKNOWN))
-    return docs.join(best, "doc_id", "left").withColumn("weight", w).drop("_quality")
+    out = docs.select(packed(docs), "doc_id").join(best, "doc_id", "left").select("row", w.alias("weight"))
+    return out.select(*unpacked(docs, "weight"))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
