@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, documents
+from tidemark.llm.common import bounded_batches, documents, free_names, without
 
 #: n-grams of bytes of these lengths share DIMS hashed dimensions.
 LENGTHS, DIMS = (2, 3, 4), 8192
@@ -109,22 +109,28 @@ def _length_class(n: np.ndarray | int):
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", fit_texts: int = FIT_TEXTS) -> Model | None:
     """Fit on train's rows that have a text and a language; None without any.
 
-    IDF weights come from all of them. Centroids come from a sample of about fit_texts per language, chosen by a hash
-    of key, so that the driver and a task never hold more: spherical k-means with a fixed start splits each language's
-    vectors into CENTROIDS clusters. The rejection floor of each length class is SLACK times the QUANTILE of the
-    sample's cosines with its own language, and 0 for texts of fewer than 2 ** SHORT n-grams.
+    IDF weights come from all of them. Centroids come from a sample of about fit_texts distinct rows per language,
+    chosen by a hash of key and text, so that the driver and a task never hold more: spherical k-means with a fixed
+    start splits each language's vectors into CENTROIDS clusters. The rejection floor of each length class is SLACK times
+    the QUANTILE of the sample's cosines with its own language, and 0 for texts of fewer than 2 ** SHORT n-grams.
+
+    Null keys are equal keys, told apart by their texts; a row that is repeated is sampled once. Null texts and languages
+    are left out; texts without letters count for IDF only. Long texts count whole. Ties between vectors go to the first in
+    the order of key and text. An empty table gives None. Other columns are not read.
     """
     bounded_batches(train.sparkSession)
-    rows = train.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), lowered(F.col(text)).alias("t"), F.col(key).alias("k"))
+    of = lambda c: F.col(f"`{c}`")
+    rows = train.where(of(text).isNotNull() & of(lang).isNotNull()).select(of(lang).alias("lang"), lowered(of(text)).alias("t"), of(key).alias("k"))
+    own = F.xxhash64(F.coalesce(F.col("k").cast("string"), F.lit("")), "t", F.lit(5))
     df, n = document_frequency(rows.select("t"))
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.approx_count_distinct(own, 0.02)).collect()}
     if not counts:
         return None
     idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
     share = F.lit(0.0)
     for name, c in counts.items():
         share = F.when(F.col("lang") == name, F.lit(min(1.0, fit_texts / c))).otherwise(share)
-    sample = rows.where(F.pmod(F.xxhash64("k", F.lit(5)), F.lit(1 << 30)) < share * F.lit(1 << 30))
+    sample = rows.where(F.pmod(own, F.lit(1 << 30)) < share * F.lit(1 << 30)).dropDuplicates(["lang", "k", "t"])
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["k", "t"])
@@ -169,11 +175,11 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     """docs with lang_pred, score (cosine with the nearest centroid) and rejected.
 
     A text that is null or has no letter is und with score 0 and is rejected. Any other text gets the language of the
-    nearest centroid, and is rejected if its cosine is below the floor of its length class. Without a model, all is und.
+    nearest centroid (ties: the first), and is rejected if its cosine is below the floor of its length class. Without a
+    model, all is und. Texts are read whole. Repeated rows have equal results, an empty table has none. Columns of docs
+    that are called lang_pred, score or rejected are replaced; others may have any names.
     """
     spark = docs.sparkSession
-    if {"lang_pred", "score", "rejected"} & {c.lower() for c in docs.columns}:
-        raise ValueError("the input already has a column lang_pred, score or rejected")
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
@@ -193,9 +199,10 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                 rows.append((m.langs[m.owner[j]], score, bool(score < m.floors[_length_class(int(c.sum()))])))
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "rejected"])
 
-    letters = F.when(F.col(text).rlike(r"\p{L}"), lowered(F.col(text))).otherwise(F.lit(""))
-    out = docs.withColumn("_guess", nearest(letters))
-    return out.select(*docs.columns, "_guess.lang_pred", "_guess.score", "_guess.rejected")
+    letters = F.when(F.col(f"`{text}`").rlike(r"\p{L}"), lowered(F.col(f"`{text}`"))).otherwise(F.lit(""))
+    (guess,) = free_names(docs, "_guess")
+    names = ("lang_pred", "score", "rejected")
+    return docs.withColumn(guess, nearest(letters)).select(*without(docs, *names), *[F.col(f"{guess}.{n}").alias(n) for n in names])
 
 
 def remainder(ident: Column, by: int) -> Column:

@@ -48,7 +48,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     The sampled labels are bounded, so they are broadcast to the scan of docs. FTRL-proximal is sequential: one task runs
     it over the sample, with a learning rate per coordinate, L1, and only coordinates that SEEN texts have. Weights that
-    are 0, nearly all, are not sent. Without labelled rows, all weights are 0. A key with several labels has the greatest; nulls are left out.
+    are 0, nearly all, are not sent.
+
+    A key with several labels has the greatest; one with several rows is learnt once, from the text with the least hash, so
+    that repeated rows do not add to the sample. Null keys and labels are left out; a null text is an empty one, which has
+    the intercept only. Long texts count whole; a coordinate counts once per text. Without labelled rows or documents, all
+    weights are 0. Other columns are not read.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg((F.max(label) > 0).cast("int").alias("_y"))
     n = known.count()
@@ -56,7 +61,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         return np.zeros(DIMS)
     even = F.pmod(F.xxhash64("_key", F.lit(9)), F.lit(1 << 30))
     known = known.where(even < F.lit(min(1.0, fit_rows / n) * (1 << 30)))
-    rows = docs.join(F.broadcast(known), F.col(key) == F.col("_key")).select("_key", F.xxhash64("_key", F.lit(3)).alias("_o"), "_y", F.transform(words(F.lower(F.col(text))), lambda x: F.xxhash64(x)).alias("h"))
+    own = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).join(F.broadcast(known), "_key")
+    least = F.min(F.struct(F.xxhash64("_text").alias("t"), "_y", F.transform(words(F.lower(F.col("_text"))), lambda x: F.xxhash64(x)).alias("h")))
+    rows = own.groupBy("_key").agg(least.alias("r")).select("_key", F.xxhash64("_key", F.lit(3)).alias("_o"), F.col("r._y").alias("_y"), F.col("r.h").alias("h"))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_o", "_key"])
@@ -90,9 +97,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> Column:
-    """The probability that a text is toxic; a null or empty text has the intercept's.
+    """The probability that a text is toxic; a null or empty text has the intercept's, repeated rows have equal ones.
 
-    The weights are broadcast as the coordinates that are not zero: at most DIMS, whatever the input.
+    The weights are broadcast as the coordinates that are not zero: at most DIMS, whatever the input. Texts are scored
+    whole, in time that grows with their length. The result is a column, so no column of docs is replaced.
     """
     bounded_batches(docs.sparkSession)
     at = np.flatnonzero(weights)
@@ -105,7 +113,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> Column:
         for hashes in batches:
             yield pd.Series([_logistic(w[x] @ v) for x, v in map(features, hashes)], dtype=float)
 
-    return apply(F.transform(words(F.lower(F.col(text))), lambda x: F.xxhash64(x)))
+    return apply(F.transform(words(F.lower(F.col(f"`{text}`"))), lambda x: F.xxhash64(x)))
 
 
 def op9_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
