@@ -18,6 +18,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+#: Bits of the bitmap of digests with several rows: 16 MB at most.
+BITS = 1 << 27
 #: What an identifier that is null sorts as.
 _LAST = 2**63 - 1
 
@@ -64,30 +66,45 @@ def stream_state(keys_path: str, schema, spark: SparkSession, checkpoint: str, l
     return last.select("digest", F.col("first.ident").alias("keep_id"), F.col("first.locator").alias("keep_at"), "group_size")
 
 
+def maybe_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose binary key is in keys, and a few others: those that share a bit of a bitmap of BITS bits with one that is.
+
+    The bitmap is made of chunks of 32,768 bits and broadcast; it has at most BITS / 8 bytes, however many keys there are.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
+    bitmap = keys.select(F.bitmap_bucket_number(place).alias("_chunk"), F.bitmap_bit_position(place).alias("_bit")).groupBy("_chunk").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    marked = rows.withColumns({"_chunk": F.bitmap_bucket_number(place), "_bit": F.bitmap_bit_position(place)}).join(F.broadcast(bitmap), "_chunk")
+    byte = F.conv(F.hex(F.substr("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return marked.where(F.getbit(byte, F.pmod(F.col("_bit"), F.lit(8)).cast("int")) == 1).select(*rows.columns)
+
+
 def dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] | None = None, files_per_batch: int | None = None) -> DataFrame:
     """One row per row of docs: ident, keep_id, group_size, kept, text_sha256, locator.
 
     Digests of normalised texts, identifiers and content locators (file and row) pass through a stream whose keyed
-    state never expires. Full bytes are compared too: the least and the greatest text of a digest must be the same, which
-    differs for hits only, and which partial aggregates find without gathering a group in one task. If a digest holds
-    different texts, its rows are grouped by the text itself.
+    state never expires. On hits, digests of several rows, full bytes are compared: the least and the greatest text of
+    such a digest must be the same, which partial aggregates find without gathering a group in one task. Other texts stay
+    where they are: a bitmap of the hits lets few of them through. If a digest holds different texts, its rows are grouped
+    by the text itself.
 
     A null text is an empty text. A null identifier sorts last, and its row is kept only if no other row has its text.
-    Repeated rows with the smallest identifier are all kept. An empty table gives no rows. digest: how to make the
-    binary digest of a text, sha256 unless given.
+    Repeated rows with the smallest identifier are all kept. Long texts are hashed and compared whole. An empty table gives
+    no rows. Other columns are not read, whatever their names. digest: how to make the binary digest of a text, sha256
+    unless given.
     """
     spark = docs.sparkSession
     make = digest or (lambda c: F.unhex(F.sha2(c, 256)))
-    norm = normalised(F.col(text))
+    norm = normalised(F.col(f"`{text}`"))
     at = F.col("_metadata") if "_metadata" in docs.columns else None
     locator = F.concat_ws("#", F.input_file_name(), F.monotonically_increasing_id().cast("string")) if at is None else F.concat_ws("#", at["file_path"], at["row_index"].cast("string"))
-    rows = docs.select(F.coalesce(F.col(ident).cast("long"), F.lit(_LAST)).alias("ident"), locator.alias("locator"), norm.alias("_norm"))
+    rows = docs.select(F.coalesce(F.col(f"`{ident}`").cast("long"), F.lit(_LAST)).alias("ident"), locator.alias("locator"), norm.alias("_norm"))
     keys = scratch(spark, "dedup-keys")
     rows.select("ident", "locator", make(F.col("_norm").cast("binary")).alias("digest"), F.sha2(F.col("_norm").cast("binary"), 256).alias("text_sha256")).write.parquet(keys)
     seen = spark.read.parquet(keys)
     state = materialise(stream_state(keys, seen.schema, spark, scratch(spark, "dedup-state"), scratch(spark, "dedup-log"), files_per_batch), "dedup-groups")
 
     content = docs.select(norm.alias("_norm")).select(make(F.col("_norm").cast("binary")).alias("digest"), "_norm")
+    content = maybe_in(content, state.where("group_size > 1").select("digest"), "digest")
     bytes_of = content.groupBy("digest").agg(F.min("_norm").alias("a"), F.max("_norm").alias("b"))
     clash = materialise(bytes_of.where("a != b").select("digest"), "dedup-clashes")
 
