@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, documents, materialise, words
+from tidemark.llm.common import ascii_lower, documents, materialise, packed, unpacked, words
 
 #: A window of SPAN words that document and item share is found; fingerprints are hashes of K words, one per SPAN - K + 1.
 SPAN, K = 10, 4
@@ -18,7 +19,7 @@ _POSITION_BITS = 30
 
 def _grams(h: Column, first: Column, k: int) -> Column:
     """Hash of the k word hashes from position first (from 0)."""
-    return F.xxhash64(*[F.element_at(h, (first + 1 + i).cast("int")) for i in range(k)])
+    return F.xxhash64(*[F.get(h, first + i) for i in range(k)])
 
 
 def _starts(h: Column, k: int) -> Column:
@@ -27,28 +28,34 @@ def _starts(h: Column, k: int) -> Column:
     return F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
 
 
-def fingerprints(df: DataFrame, k: int, window: int) -> DataFrame:
-    """df(h, the hashes of a text's words) with one row per fingerprint: at (from 0) and gram.
+def fingerprints(df: DataFrame, forms: Sequence[tuple[int, int, int]]) -> DataFrame:
+    """df(h, the hashes of a text's words) with one row per fingerprint instead of h: k, more, at (from 0), gram and around.
 
-    Per window of consecutive k-grams the one with the smallest (hash, position) is kept, so texts that share window
-    consecutive k-grams share a fingerprint at the same place of them. Hash and position are one number each, and the
-    sliding minimum is taken over those.
+    forms: (k, window, more). Per window of consecutive k-grams the one with the smallest (hash, position) is kept, so
+    texts that share window consecutive k-grams share a fingerprint at the same place of them. around holds the k words
+    there and more on either side, null beyond the text. Hash and position are one number each, and the sliding minimum is
+    taken over those. Work grows with the length of a text: no step reads more of an array than it uses.
     """
+    keys = [c for c in df.columns if c != "h"]
     mask = F.lit((1 << _POSITION_BITS) - 1).cast("long")
-    ranked = lambda i: F.shiftleft(F.shiftrightunsigned(_grams(F.col("h"), i, k), _POSITION_BITS), _POSITION_BITS).bitwiseOR(i.cast("long"))
-    df = df.withColumn("_ranked", F.transform(_starts(F.col("h"), k), ranked))
-    least = F.transform(_starts(F.col("_ranked"), window), lambda i: F.array_min(F.slice(F.col("_ranked"), i + 1, window))) if window > 1 else F.col("_ranked")
-    df = df.withColumn("_chosen", F.explode(F.array_distinct(least)))
-    df = df.withColumn("at", F.col("_chosen").bitwiseAND(mask).cast("int"))
-    return df.withColumn("gram", _grams(F.col("h"), F.col("at"), k)).drop("_ranked", "_chosen")
 
+    def ranked(k: int):
+        return lambda i: F.shiftleft(F.shiftrightunsigned(_grams(F.col("h"), i, k), _POSITION_BITS), _POSITION_BITS).bitwiseOR(i.cast("long"))
 
-def _around(h: Column, at: Column, k: int, more: int) -> Column:
-    """The k words at a place and up to more on either side, nulls beyond the text."""
-    padding = F.array_repeat(F.lit(None).cast("long"), more)
-    low = F.greatest(at - more, F.lit(0))
-    before, after = F.array_repeat(F.lit(None).cast("long"), low - (at - more)), padding
-    return F.slice(F.concat(before, F.slice(h, low + 1, k + 2 * more), after), 1, k + 2 * more)
+    def least(ranks: Column, window: int):
+        return lambda i: F.least(*[F.get(ranks, i + j) for j in range(window)]) if window > 1 else F.get(ranks, i)
+
+    def printed(k: int, more: int):
+        def one(c: Column) -> Column:
+            at = c.bitwiseAND(mask).cast("int")
+            return F.struct(F.lit(k).alias("k"), F.lit(more).alias("more"), at.alias("at"), F.xxhash64(F.lit(k), _grams(F.col("h"), at, k)).alias("gram"), F.array(*[F.get("h", at + j) for j in range(-more, k + more)]).alias("around"))
+
+        return one
+
+    names = [f"_{i}" for i in range(len(forms))]
+    df = df.select(*keys, "h", *[F.transform(_starts(F.col("h"), k), ranked(k)).alias(n) for n, (k, _, _) in zip(names, forms, strict=True)])
+    df = df.select(*keys, "h", *[F.array_distinct(F.transform(_starts(F.col(n), window), least(F.col(n), window))).alias(n) for n, (_, window, _) in zip(names, forms, strict=True)])
+    return df.select(*keys, F.inline(F.concat(*[F.transform(n, printed(k, more)) for n, (k, _, more) in zip(names, forms, strict=True)])))
 
 
 def _items(benchmark: DataFrame, ident: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -64,38 +71,45 @@ def spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
 
     _d is the doc_id (null: lowest) and _t a hash of the text. A stretch holds at least SPAN words, or is a whole item
     of fewer. Fingerprints are joined, then a hit is extended over the words around it, as far as a window reaches.
-    The benchmark is the query set: it meets all documents in broadcast blocks of a set number of fingerprints.
+    The benchmark is the query set: it meets all documents in broadcast blocks of a set number of fingerprints, and all
+    documents are read once per block.
+
+    Null and empty texts have no words, so no stretches; nor has anything if there are no items or no documents. Long
+    texts are handled whole, in time and memory that grow with their length. Ties between hashes in a window go to the
+    first position. Repeated rows have the same stretches, listed once. Other columns are not read.
     """
     classes, items = _items(benchmark, item_id, item_text)
     classes = materialise(classes.withColumn("n", F.size("h")), "decontam-classes")
     short = sorted(r[0] for r in classes.where(F.col("n") < SPAN).select("n").distinct().collect())
-    hashed = docs.select(*row_key(text), words(ascii_lower(F.col(text))).alias("w")).where(F.size("w") > 0)
-    hashed = hashed.select("_d", "_t", F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
+    long, brief = (K, SPAN - K + 1, SPAN - K), [(n, 1, 0) for n in short]
+    hashed = docs.select(*row_key(text), F.transform(words(ascii_lower(F.col(f"`{text}`"))), lambda x: F.xxhash64(x)).alias("h"))
 
     found = []
-    for k, window, more, of in [(K, SPAN - K + 1, SPAN - K, classes.where(F.col("n") >= SPAN)), *((n, 1, 0, classes.where(F.col("n") == n)) for n in short)]:
-        prints = materialise(fingerprints(of, k, window).select("cls", "gram", _around(F.col("h"), F.col("at"), k, more).alias("theirs")), "decontam-prints")
-        blocks = -(-prints.count() // block)
-        for i in range(blocks):
-            part = prints if blocks == 1 else prints.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == i)
-            hits = fingerprints(hashed, k, window).join(F.broadcast(part), "gram")
-            same = F.zip_with(_around(F.col("h"), F.col("at"), k, more), F.col("theirs"), lambda a, b: F.coalesce(a == b, F.lit(False)))
-            hits = hits.select("_d", "_t", "at", "cls", same.alias("same"))
-            run = lambda flags: F.when(F.array_contains(flags, False), F.array_position(flags, False) - 1).otherwise(F.lit(more)).cast("int")
-            left = run(F.reverse(F.slice("same", 1, more))) if more else F.lit(0)
-            right = run(F.slice("same", more + k + 1, more)) if more else F.lit(0)
-            hits = hits.where(~F.array_contains(F.slice("same", more + 1, k), False)).select("_d", "_t", "cls", (F.col("at") - left).alias("start"), (F.col("at") + k + right).alias("end"))
-            found.append(hits.where(F.col("end") - F.col("start") >= min(SPAN, k if not more else SPAN)))
+    own = [fingerprints(classes.where(F.col("n") >= SPAN).select("cls", "h"), [long])] + [fingerprints(classes.where(F.col("n") == form[0]).select("cls", "h"), [form]) for form in brief]
+    prints = reduce(DataFrame.unionByName, own).select("cls", F.col("k").alias("n"), "gram", F.col("around").alias("theirs"))
+    prints = materialise(prints, "decontam-prints")
+    forms = ([long] if not prints.where(F.size("theirs") > F.col("n")).isEmpty() else []) + brief
+    blocks = -(-prints.count() // block)
+    for i in range(blocks):
+        part = prints if blocks == 1 else prints.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == i)
+        hits = fingerprints(hashed, forms).join(F.broadcast(part), "gram")
+        same = F.zip_with("around", "theirs", lambda a, b: F.coalesce(a == b, F.lit(False)))
+        hits = hits.where((F.col("k") == F.col("n")) & (F.size("around") == F.size("theirs"))).select("_d", "_t", "at", "cls", "k", "more", same.alias("same"))
+        run = lambda flags: F.when(F.array_contains(flags, False), F.array_position(flags, False) - 1).otherwise(F.col("more")).cast("int")
+        left, right = run(F.reverse(F.slice("same", 1, F.col("more")))), run(F.slice("same", F.col("more") + F.col("k") + 1, F.col("more")))
+        whole = ~F.array_contains(F.slice("same", F.col("more") + 1, F.col("k")), False)
+        hits = hits.where(whole).select("_d", "_t", "cls", (F.col("at") - left).alias("start"), (F.col("at") + F.col("k") + right).alias("end"), F.when(F.col("more") > 0, SPAN).otherwise(F.col("k")).alias("least"))
+        found.append(hits.where(F.col("end") - F.col("start") >= F.col("least")).drop("least"))
     none = docs.sparkSession.createDataFrame([], "_d long, _t long, cls string, start int, end int")
     return reduce(DataFrame.unionByName, found, none).distinct(), items
 
 
 def row_key(text: str = "text", ident: str = "doc_id") -> list[Column]:
-    return [F.coalesce(F.col(ident).cast("long"), F.lit(-(2**63))).alias("_d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_t")]
+    return [F.coalesce(F.col(f"`{ident}`").cast("long"), F.lit(-(2**63))).alias("_d"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_t")]
 
 
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """_d, _t, n_hit, n_items, items_sha256 for the documents that share a window with an item."""
+    """_d, _t, n_hit, n_items, items_sha256 for the documents that share a window with an item; see spans() for awkward rows."""
     found, items = spans(docs, benchmark, text)
     found = materialise(found, "decontam-spans")
     earlier = Window.partitionBy("_d", "_t").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
@@ -110,11 +124,11 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows that share SPAN consecutive words, or all of a shorter item, with a benchmark item.
 
-    Null and empty texts have no words and stay, as does everything if there are no items.
+    Null and empty texts have no words and stay, as does everything if there are no items. Repeated rows go or stay
+    together. All columns are returned as they were, whatever their names. See spans() for long texts and ties.
     """
-    hit = spans(docs, benchmark)[0].select("_d", "_t").distinct()
-    d, t = row_key()
-    return docs.withColumns({"_d": d, "_t": t}).join(materialise(hit, "decontam-hit"), ["_d", "_t"], "left_anti").select(*docs.columns)
+    hit = materialise(spans(docs, benchmark)[0].select("_d", "_t").distinct(), "decontam-hit")
+    return docs.select(packed(docs), *row_key()).join(hit, ["_d", "_t"], "left_anti").select(*unpacked(docs))
 
 
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
