@@ -1,5 +1,6 @@
 """Plain versions of what the text operators compute."""
 
+import bisect
 import collections
 import hashlib
 import re
@@ -78,9 +79,119 @@ def near_classes(docs, least=0.8):
     return {d: root(d) for d, _ in docs}
 
 
+def labelled(text):
+    """Five-word shingles in order, each with how often it has come before."""
+    w, seen, out = tuple(WORD.findall((text or "").lower())), collections.Counter(), []
+    for i in range(max(1, len(w) - 4) if w else 0):
+        out.append((w[i : i + 5], seen[w[i : i + 5]]))
+        seen[w[i : i + 5]] += 1
+    return out
+
+
+def aligned(a, b):
+    """The longest common subsequence of two texts' labelled shingles over those that either has."""
+    x, place = labelled(a), {s: i for i, s in enumerate(labelled(b))}
+    ends = []
+    for s in x:
+        if s in place:
+            at = bisect.bisect_left(ends, place[s])
+            ends[at : at + 1] = [place[s]]
+    return len(ends) / (len(x) + len(place) - len(ends)) if x and place else 0.0
+
+
+def near_links(docs, least=0.8):
+    """(doc_id, text) as {doc_id: (class, number of different texts of aligned similarity least)}: all pairs."""
+    words = {d: tuple(WORD.findall((t or "").lower())) or ("\n", t or "") for d, t in docs}
+    texts = {}
+    for d, t in docs:
+        texts.setdefault(words[d], (d, t))
+    reps = list(texts.values())
+    near = {d: set() for d, _ in reps}
+    for i, (a, x) in enumerate(reps):
+        for b, y in reps[:i]:
+            if aligned(x, y) >= least - 1e-9:
+                near[a].add(b)
+                near[b].add(a)
+    classes = {}
+    for d in sorted(near):
+        todo = [d]
+        while todo:
+            e = todo.pop()
+            if e not in classes:
+                classes[e] = d
+                todo += near[e]
+    smallest = {}
+    for d, _ in docs:
+        c = classes[texts[words[d]][0]]
+        smallest[c] = min(smallest.get(c, d), d)
+    return {d: (smallest[classes[texts[words[d]][0]]], len(near[texts[words[d]][0]])) for d, _ in docs}
+
+
 PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
+def proposals(text):
+    """Each kind's proposals (start, end, kind, found) by the patterns of the operator's generators."""
+    from tidemark.llm import pii as own
+
+    return [(m.start(), m.end(), k, m[0]) for k in own.PROPOSED for m in re.finditer(own.WIDE[k], text or "")]
+
+
+def plausible(kind, found):
+    """Whether a proposal, normalised, passes its kind's check."""
+    from tidemark.llm import pii as own
+
+    digits = re.sub("[^0-9]", "", found)
+    if kind == "email":
+        x = re.sub(r" ?[\(\[]at[\)\]] ?", "@", found.lower())
+        x = re.sub(r" ?[\(\[]dot[\)\]] ?", ".", x).replace(" ", "").rsplit("@", 1)[-1]
+        return "." in x and ".." not in x and bool(re.fullmatch("[a-z]{2,24}", x.rsplit(".", 1)[-1]))
+    if kind == "ip":
+        return all(int(x) <= 255 for x in re.sub(r"[\[\] ]", "", found).split("."))
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        x = digits.removeprefix("00")
+        return 10 <= len(x) <= 15 and (bool(re.search(own.CALLING_CODES, x)) or len(x) == 10)
+    return "0a0a0a0a" in re.sub("[^0a]", "", re.sub("[A-Za-z]+", "a", re.sub("[0-9]+", "0", found)))
+
+
+def features(text, start, end, kind, found):
+    """The features of a proposal."""
+    from tidemark.llm import pii as own
+
+    near = lambda c: 0 if not c or c.isspace() else 1 if re.match(r"[^\W_]", c) else 2
+    has = [x in found for x in (" ", "-", ".", "(")]
+    before = text[max(0, start - 24) : start]
+    context = lambda k: re.search(own.CONTEXT[k], before, re.IGNORECASE)
+    return {
+        "kind": own.PROPOSED.index(kind), "length": sum(len(found) > e for e in (8, 12, 16, 20, 32)), "signs": 5 if sum(has) > 1 else has.index(True) + 1 if any(has) else 0, "groups": min(len(re.split("[^A-Za-z0-9]+", found)) - 1, 4),
+        "spelt": int(bool(re.search(r"(?i)[\(\[](?:at|dot|\.)[\)\]]| [.@]|@ ", found))), "prefix": 1 if re.match(r"\+|00", found) else 2 if found[0] == "(" else 0,
+        "before": near(text[start - 1 : start] if start else ""), "after": near(text[end : end + 1]), "context": 2 if context(kind) else 1 if any(context(k) for k in own.PROPOSED if k != kind) else 0,
+    }
+
+
+def added(text, trees):
+    """Accepted proposals that overlap no base span, the earliest and then the longest of those that overlap: kind:start:end."""
+    from math import exp
+
+    from tidemark.llm import pii as own
+
+    text = text or ""
+    base = [tuple(map(int, x.split(":")[1:])) for x in pii(text).split(",") if x]
+    value = lambda tree, f: tree if isinstance(tree, float) else value(tree[2] if f[tree[0]] <= tree[1] else tree[3], f)
+    out, reached = [], 0
+    for a, b, kind, found in sorted(proposals(text), key=lambda x: (x[0], -x[1], own.PROPOSED.index(x[2]))):
+        f = features(text, a, b, kind, found)
+        if a < reached or any(x < b and a < y for x, y in base) or not plausible(kind, found):
+            continue
+        score = 1 / (1 + exp(-(trees.prior + sum(value(t, f) for t in trees.trees))))
+        if score >= trees.thresholds[f["kind"]]:
+            out.append(f"{kind}:{a}:{b}")
+            reached = b
+    return out
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):

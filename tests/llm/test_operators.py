@@ -1,6 +1,7 @@
 """Text operators on awkward rows and against plain versions."""
 
 import random
+import time
 import zlib
 
 import pytest
@@ -67,9 +68,48 @@ def test_shards_of_nothing(empty):
     assert sharding.shard(sized(empty), F.col("size"), F.col("text"), F.col("doc_id")).count() == 0
 
 
-def test_shard_column_must_be_free(docs):
-    with pytest.raises(ValueError):
-        sharding.shard(sized(docs).withColumn("slot", F.lit(0)), F.col("size"), F.col("text"), F.col("doc_id"))
+CLASHES = ("row", "_g", "_size", "_key", "_src", "_d", "_t", "_id", "_th", "base", "wide", "digest", "shard", "slot", "target", "copies", "lang_pred", "h", "k")
+
+
+@pytest.fixture(scope="session")
+def clashing(docs):
+    """docs with columns named like the operators' own."""
+    return docs.withColumns({c: F.lit(f"own {c}") for c in CLASHES})
+
+
+def kept_columns(out, *results):
+    rows = out.select(*[c for c in CLASHES if c not in results]).distinct().collect()
+    return len(rows) == 1 and all(rows[0][c] == f"own {c}" for c in CLASHES if c not in results)
+
+
+def test_columns_of_the_input_are_returned(spark, clashing):
+    own = clashing.where("doc_id < 40").withColumns({"size": common.count_words(F.col("text")), "weight": F.lit(1.0)})
+    n = own.count()
+    out = sharding.shard(own, F.col("size"), F.col("text"), F.col("doc_id"), shards=3)
+    assert kept_columns(out, "shard", "slot") and out.count() == n
+    assert kept_columns(mixing.mix(own), "target", "copies") and kept_columns(mixing.quality_weight(own, spark.createDataFrame([(1, 1)], "doc_id long, quality int")))
+    none = spark.createDataFrame([(0, "zz")], "item_id long, text string")
+    assert kept_columns(decontamination.decontaminate(own, none)) and kept_columns(near_dedup.dedup(own))
+    assert kept_columns(pii.redact(own, pii.grow([]))) and kept_columns(language.predict(own, None), "lang_pred")
+    assert exact_dedup.dedup(own).count() == n and near_dedup.classes(own).count() == n
+
+
+def test_shards_of_one_repeated_row(spark):
+    df = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text")).withColumn("size", F.lit(8))
+    rows = sharding.shard(df, F.col("size"), F.col("text"), F.col("doc_id"), shards=4).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last")).collect()
+    assert len(rows) == 4 and all(r.n == r.slots == r.last + 1 and abs(r.n - 750) <= 2 for r in rows)
+
+
+def test_shards_query(spark, sf_dir):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = queries.QUERIES["op1_sampled_splitters"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts) and all(r.size == len((texts[r.doc_id] or "").encode()) + 8 and r.text_crc32 == (zlib.crc32(texts[r.doc_id].encode()) if texts[r.doc_id] is not None else None) for r in rows)
+    shards = {}
+    for r in rows:
+        shards.setdefault(r.shard, []).append(r)
+    even = sum(r.size for r in rows) / 24
+    assert all(sorted(r.slot for r in mine) == list(range(len(mine))) and abs(sum(r.size for r in mine) - even) <= 1.02 * max(r.size for r in rows) for mine in shards.values())
+    assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
 
 
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 200, "c": 30, None: 5}, {"a": 1, "b": 1}, {"a": 0, "b": 7}, {"a": 5}])
@@ -94,6 +134,18 @@ def test_mix_comes_near_its_targets(docs):
     assert sorted((r.doc_id or 0, r.copies) for r in mixing.mix(df).collect()) == sorted((r.doc_id or 0, r.copies) for r in rows)
 
 
+def test_mix_of_repeated_rows_and_weights(spark):
+    """A row that is a third of its source is taken in part; good documents are taken before bad ones."""
+    rows = [(7, "a", 10, 1.0)] * 600 + [(100 + i, "a", 10, 4.0 if i % 2 else 0.25) for i in range(1200)] + [(5000 + i, "b", 10, 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, weight double")
+    out = mixing.mix(df, cycle=(1, 2)).collect()
+    want = brute.targets({"a": 18000, "b": 2000}, (1, 2))
+    for s in want:
+        assert abs(sum(r.size * r.copies for r in out if r.source == s) - want[s]) <= 10
+    taken = [sum(r.copies for r in out if r.source == "a" and r.weight == w) for w in (4.0, 0.25)]
+    assert taken[0] > taken[1]
+
+
 def test_mix_of_nothing(empty):
     assert mixing.mix(empty.withColumn("size", F.lit(1)).withColumn("weight", F.lit(1.0))).count() == 0
 
@@ -128,10 +180,64 @@ PII_FORMS = {
 def test_hints_let_every_form_through(spark):
     df = spark.createDataFrame([(f"see {x} now",) for forms in PII_FORMS.values() for x in forms], "text string")
     for patterns in (pii.BASE, pii.WIDE):
-        both = [F.struct(pii._spans(F.col("text"), patterns[k], pii.HINTS[k]).alias("hinted"), pii._spans(F.col("text"), patterns[k], "").alias("all")).alias(k) for k in pii.KINDS]
-        for r in df.select("text", *both).collect():
-            assert all(r[k].hinted == r[k].all for k in pii.KINDS if k != "card" or patterns is pii.WIDE), r.text
-            assert patterns is pii.BASE or any(r[k].all for k in pii.KINDS)
+        kinds = [k for k in PII_FORMS if k != "card" or patterns is pii.WIDE]
+        wanted = {f"{k}_{n}": (patterns[k], hint) for k in kinds for n, hint in (("hinted", pii.HINTS[k]), ("all", ""))}
+        for r in pii._spans(df, "text", wanted).collect():
+            assert all(r[f"{k}_hinted"] == r[f"{k}_all"] for k in kinds), r.text
+            assert patterns is pii.BASE or any(r[f"{k}_all"] for k in kinds)
+
+
+def planted(rng, n):
+    """Texts of words without digits and one thing each: (text, kind and place of what must be found or None)."""
+    out = []
+    plain = lambda k: " ".join("".join(rng.choice("aeionrst") for _ in range(5)) for _ in range(k))
+    luhn = lambda d: next(d + str(x) for x in range(10) if brute.luhn(d + str(x)))
+    for i in range(n):
+        digits = luhn("4" + "".join(rng.choice("0123456789") for _ in range(14)))
+        name = f"u{rng.randrange(999)}"
+        ip = [rng.randrange(1, 255) for _ in range(4)]
+        forms = [
+            ("email", f"{name}@mail{i % 7}.example.com"), ("email", f"{name} (at) mail (dot) example (dot) com"), ("email", f"{name}[at]mail.example.com"), ("ip", ".".join(map(str, ip))), ("ip", "[.]".join(map(str, ip))), ("card", digits), ("card", ".".join(digits[j : j + 4] for j in (0, 4, 8, 12))),
+            ("phone", f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"), ("phone", f"0044 20 {rng.randrange(1000, 9999)} {rng.randrange(1000, 9999)}"), ("secret", "".join(rng.choice("0123456789abcdef") for _ in range(40))),
+            (None, "the year 2024"), (None, "version 1.2.3"), (None, str(rng.randrange(10**15, 10**16))), (None, "pages 12-14 and 20"), (None, "x" * 30),
+        ]
+        kind, form = forms[i % len(forms)]
+        lead = plain(8) + {"secret": " token = "}.get(kind, " ")
+        out.append((f"{lead}{form} {plain(5)}", kind and f"{kind}:{len(lead)}:{len(lead) + len(form)}"))
+    return out
+
+
+def test_planted_spans(spark):
+    cases = planted(random.Random(23), 900)
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = common.materialise(pii.candidates(df).drop("text"), "test-planted")
+    trees = pii.fit(found)
+    got = {r.doc_id: set(filter(None, r.spans.split(","))) for r in pii.detect(found, trees).select("doc_id", pii.listed(F.concat("base", "added")).alias("spans")).collect()}
+    real = [i for i, (_, x) in enumerate(cases) if x]
+    right = sum(cases[i][1] in got[i] for i in real)
+    claimed = sum(len(got[i]) for i in got)
+    missed = {cases[i][0] for i in real if cases[i][1] not in got[i]}
+    assert right >= 0.9 * len(real) and right >= 0.9 * claimed, (right, len(real), claimed, sorted(missed)[:8])
+
+
+def test_spans_of_documents(spark, sf_dir):
+    """All spans of the table against a plain version with the same trees."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = common.materialise(pii.candidates(docs.select("doc_id", "text")).drop("text"), "test-spans")
+    trees = pii.fit(found)
+    got = {r.doc_id: r for r in pii.detect(found, trees).select("doc_id", pii.listed(F.col("base")).alias("base"), pii.listed(F.col("added")).alias("added")).collect()}
+    for r in docs.collect():
+        assert got[r.doc_id].base == brute.pii(r.text) and got[r.doc_id].added == ",".join(brute.added(r.text, trees)), r.doc_id
+    assert sum(bool(r.added) for r in got.values()) > 5
+
+
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"a{i}@b.co or c{i}(at)d.co" for i in range(8000))
+    df = spark.createDataFrame([(1, text), (1, text), (2, None)], "doc_id long, text string")
+    began = time.time()
+    found = common.materialise(pii.candidates(df), "test-many")
+    rows = pii.detect(found, pii.Trees(0.0, [], [0.0] * 5)).select("doc_id", F.size("base").alias("n"), F.size("added").alias("m")).collect()
+    assert sorted((r.doc_id, r.n, r.m) for r in rows) == [(1, 8000, 8000), (1, 8000, 8000), (2, 0, 0)] and time.time() - began < 60
 
 
 def test_pii_of_nothing(empty):
@@ -189,6 +295,17 @@ def test_winnowing_finds_every_window(spark):
     assert kept == {x for x in docs if not brute.contaminated([x], items)[x[0]][1]}
 
 
+def test_winnowing_of_long_and_repeated_texts(spark):
+    rng = random.Random(29)
+    item = words(rng, 20, 5000)
+    long = words(rng, 200_000, 5000) + item + words(rng, 200_000, 5000)
+    df = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(item)), (2, " ".join(item)), (2, "other"), (None, " ".join(item))], "doc_id long, text string")
+    began = time.time()
+    got = {(r._d, r._t): r.n_hit for r in decontamination.contaminated_words(df, spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()}
+    assert len(got) == 3 and set(got.values()) == {20} and time.time() - began < 60
+    assert [r.text for r in decontamination.decontaminate(df, spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()] == ["other"]
+
+
 def test_no_items(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.decontaminate(docs, none).count() == docs.count()
@@ -312,6 +429,25 @@ def test_near_classes_of_short_texts(spark):
     assert not {i: want[i] for i in want if got[i] != want[i]}
 
 
+def test_near_links(spark):
+    """Classes and numbers of links against all pairs by alignment: an edited text, one with its halves exchanged, copies."""
+    rng, rows = random.Random(31), []
+    for _ in range(25):
+        w = words(rng, 120, 9000)
+        rows += [" ".join(w), " ".join(edited(rng, w, 0.05)), " ".join(w[60:] + w[:60]), " ".join(w)]
+    rows = list(enumerate(rows))
+    out = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").withColumn("_node", F.lit("x"))).collect()
+    assert {r._id: (r.class_id, r.links) for r in out} == brute.near_links(rows)
+
+
+def test_recall_of_near_classes(spark):
+    """Rows whose identifier is divisible by 20 against all rows: similar ones are in their class."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    got = {r._id: r.class_id for r in near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    pairs = [(a, b) for a, x in docs if a % 20 == 0 for b, y in docs if a != b and brute.aligned(x, y) >= 0.8]
+    assert len(pairs) > 10 and sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
+
+
 def test_near_classes_of_nothing(empty):
     assert near_dedup.classes(empty).count() == 0 and near_dedup.dedup(empty).count() == 0
 
@@ -337,6 +473,50 @@ def test_snapshots_collapse(spark):
     assert chat.render(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_snapshots_with_repeated_and_long_turns(spark):
+    long = "x" * 300_000
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (3, 0, "user", long), (3, 1, "assistant", long)]
+    out = {r.conv_id: r for r in chat.render(spark.createDataFrame(rows, TURNS)).collect()}
+    assert set(out) == {1, 3} and out[1].n_turns == 2 and len(out[3].chat) > 600_000
+
+
+def test_toxicity_of_nothing_and_of_repeated_rows(spark):
+    d = spark.createDataFrame([(1, "vile words here")] * 400 + [(2, "kind words here"), (2, "other words"), (None, "null"), (3, None)], "doc_id long, text string")
+    y = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (3, 0)], "doc_id long, toxic int")
+    assert not toxicity.fit(d.limit(0), y).any()
+    w = toxicity.fit(d, y)
+    assert (w == toxicity.fit(d.distinct(), y)).all()
+    assert d.select(toxicity.score(d, w).alias("s")).where("s between 0 and 1").count() == d.count()
+
+
+def test_toxicity_against_a_plain_fit(spark, sf_dir):
+    """Weights and scores on labelled rows of the table against FTRL-proximal in plain Python."""
+    import math
+    from collections import Counter
+
+    import numpy as np
+
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    w = toxicity.fit(docs, labels)
+    y = {r.doc_id: int(r.toxic > 0) for r in labels.where("toxic is not null").collect()}
+    rows = docs.select("doc_id", F.xxhash64("doc_id", F.lit(3)).alias("o"), F.transform(common.words(F.lower(F.col("text"))), lambda x: F.xxhash64(x)).alias("h")).collect()
+    sample = [(list(zip(*(v.tolist() for v in toxicity.features(np.array(r.h, dtype=np.int64))), strict=True)), y[r.doc_id]) for r in sorted(rows, key=lambda r: (r.o, r.doc_id)) if r.doc_id in y]
+    seen = Counter(i for x, _ in sample for i in {i for i, _ in x})
+    z, n = Counter(), Counter()
+    weight = lambda i: 0.0 if abs(z[i]) <= toxicity.L1 else (math.copysign(toxicity.L1, z[i]) - z[i]) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA)
+    for _ in range(toxicity.PASSES):
+        for x, label in sample:
+            x = [(i, v) for i, v in x if i == 0 or seen[i] >= toxicity.SEEN]
+            own = {i: (weight(i), z[i], n[i]) for i, _ in x}
+            p = 1 / (1 + math.exp(-max(-35, min(35, sum(own[i][0] * v for i, v in x)))))
+            for i, v in x:  # of a word and a pair with one coordinate the pair counts
+                w0, z0, n0 = own[i]
+                g = (p - label) * v
+                z[i], n[i] = z0 + g - (math.sqrt(n0 + g * g) - math.sqrt(n0)) / toxicity.ALPHA * w0, n0 + g * g
+    want = {i: weight(i) for i in n if weight(i)}
+    assert set(want) == set(np.flatnonzero(w).tolist()) and all(abs(w[i] - v) < 1e-6 for i, v in want.items())
+
+
 def test_toxicity_learns_words(spark):
     rng = random.Random(11)
     rows, labels = [], []
@@ -371,6 +551,34 @@ def test_language(spark, docs):
     assert {r.lang_pred for r in language.predict(odd, None).collect()} == {"und"}
 
 
+def test_language_of_null_and_repeated_identifiers(spark):
+    rng = random.Random(4)
+    text = lambda k: " ".join("".join(rng.choice(LETTERS[k]) for _ in range(5)) for _ in range(30))
+    rows = [(None, text(k), k) for k in ["aa", "zz"] * 1500] + [(5, "abcdef " * 20, "aa")] * 3000
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(d)
+    out = language.predict(d.distinct(), model).collect()
+    assert model.langs == ["aa", "zz"] and all(r.lang_pred == r.lang for r in out)
+
+
+def test_language_against_a_plain_comparison(spark):
+    """Predictions and scores of the table against cosines in plain Python with the same model."""
+    import numpy as np
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(docs)
+    for r in language.predict(docs, model).collect():
+        counts = language._counts(np.frombuffer((r.text or "").lower().encode(), dtype=np.uint8))
+        if counts is None or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        v = [(c**0.5) * float(i) for c, i in zip(counts.tolist(), model.idf, strict=True)]
+        norm = sum(x * x for x in v) ** 0.5
+        cosines = [sum(x * float(y) for x, y in zip(v, c, strict=True) if x) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert abs(r.score - min(1, cosines[best])) < 1e-4 and r.lang_pred == model.langs[model.owner[best]]
+
+
 def test_held_out_accuracy(spark):
     out = queries.QUERIES["op10_nearest_centroid"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert all((zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in out)
