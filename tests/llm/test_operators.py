@@ -3,6 +3,7 @@
 import random
 import time
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -441,11 +442,22 @@ def test_near_links(spark):
 
 
 def test_recall_of_near_classes(spark):
-    """Rows whose identifier is divisible by 20 against all rows: similar ones are in their class."""
-    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
-    got = {r._id: r.class_id for r in near_dedup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    pairs = [(a, b) for a, x in docs if a % 20 == 0 for b, y in docs if a != b and brute.aligned(x, y) >= 0.8]
-    assert len(pairs) > 10 and sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
+    """Rows whose identifier is divisible by 20 against all rows: similar ones are in their class. Similar texts share shingles, so those are looked up first."""
+    table = "/root/testdata/sf0.1/documents.parquet"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(table).collect()}
+    got = {r._id: r.class_id for r in near_dedup.classes(spark.read.parquet(table)).collect()}
+    asked = {d: set(brute.labelled(t)) for d, t in docs.items() if d % 20 == 0}
+    holders = {}
+    for d, own in asked.items():
+        for x in own:
+            holders.setdefault(x, []).append(d)
+    pairs = []
+    for d, t in docs.items():
+        own = set(brute.labelled(t))
+        both = Counter(a for x in own for a in holders.get(x, ()))
+        pairs += [(a, d) for a, n in both.items() if a != d and n / (len(own) + len(asked[a]) - n) >= 0.8 and brute.aligned(t, docs[a]) >= 0.8]
+    right = sum(got[a] == got[b] for a, b in pairs)
+    assert len(pairs) > 50 and right >= 0.99 * len(pairs), (right, len(pairs))
 
 
 def test_near_classes_of_nothing(empty):
@@ -492,7 +504,6 @@ def test_toxicity_of_nothing_and_of_repeated_rows(spark):
 def test_toxicity_against_a_plain_fit(spark, sf_dir):
     """Weights and scores on labelled rows of the table against FTRL-proximal in plain Python."""
     import math
-    from collections import Counter
 
     import numpy as np
 
