@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import archives, chat, decontamination, exact_dedup, language, mixing, near_dedup, pii, sharding, toxicity
+from tidemark.llm import archives, chat, decontamination, exact_dedup, language, merkle, mixing, near_dedup, negatives, pii, quality, sharding, toxicity
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_snapshot_collapse": chat.op8_snapshot_collapse,
     "op9_ftrl": toxicity.op9_ftrl,
     "op10_nearest_centroid": language.op10_nearest_centroid,
+    "op11_bond_negatives": negatives.op11_bond_negatives,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_subword_embeddings": quality.op13_subword_embeddings,
 }
 ORACLE_SQL = {
     "op2_mix_sources": mixing.OP2_SQL,
@@ -22,4 +25,6 @@ ORACLE_SQL = {
     "op5_winnowing": decontamination.OP5_SQL,
     "op6_stream_dedup": exact_dedup.OP6_SQL,
     "op8_snapshot_collapse": chat.OP8_SQL,
+    "op11_bond_negatives": negatives.OP11_SQL,
+    "op12_merkle_manifest": merkle.OP12_SQL,
 }
