@@ -64,7 +64,7 @@ def test_hourly_grid(spark):
 
 def test_zero_close_gives_no_move(spark):
     df = spark.createDataFrame([("A", at(2024, 1, 1, 0, i), 0.0, 1.0, 0.0, c, 1.0) for i, c in enumerate((0.0, 5.0))], BAR)
-    assert [r.m for r in df.select("timestamp", quality.pct_move().alias("m")).orderBy("timestamp").collect()] == [None, None]
+    assert [r.m for r in quality.pct_move(df, "m").orderBy("timestamp").collect()] == [None, None]
 
 
 @pytest.mark.parametrize("broken", [dict(high=0.5), dict(low=9.0), dict(volume=-1.0)])

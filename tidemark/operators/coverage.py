@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.segments import carried, reach
 from tidemark.schemas import minutes
 
 KEYS = ("symbol",)
@@ -15,12 +16,13 @@ KEYS = ("symbol",)
 def merge_ranges(cov: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Overlapping or touching ranges as one: the latest fetched_at, and batch_job_id if all have the same.
 
-    Two windows over one order number the islands, so there is one shuffle and one sort.
+    A range that begins beyond all ends before it begins an island, whose start is carried on to its other ranges. Ranges
+    are ordered within a series' month of their start; how far earlier months reach, and the island that they end in, comes
+    from a row per month, so that no task has a whole series. A range's end must not be before its start.
     """
-    w = Window.partitionBy(*keys).orderBy("start_ts", "end_ts")
-    reach = F.max("end_ts").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    df = cov.withColumn("_new", F.coalesce(F.col("start_ts") > reach, F.lit(True)).cast("int"))
-    df = df.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    df = reach(cov, keys, "start_ts", "end_ts", "_before", "end_ts")
+    df = df.withColumn("_head", F.when(F.coalesce(F.col("start_ts") > F.col("_before"), F.lit(True)), F.col("start_ts"))).drop("_before")
+    df = carried(df, keys, "_head", "_island", "start_ts")
     aggs = [F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts")]
     if "fetched_at" in cov.columns:
         aggs.append(F.max("fetched_at").alias("fetched_at"))
@@ -40,8 +42,7 @@ def coverage_gaps(cov: DataFrame, start: str, end: str, keys: Sequence[str] = KE
         raise ValueError("the window is empty")
     inside = cov.where((F.col("end_ts") > lo) & (F.col("start_ts") < hi)).select(*keys, F.greatest("start_ts", lo).alias("s"), F.least("end_ts", hi).alias("e"))
     ends = cov.select(*keys).distinct().select(*keys, hi.alias("s"), hi.alias("e"))
-    w = Window.partitionBy(*keys).orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
-    df = inside.unionByName(ends).withColumn("gap_start", F.coalesce(F.max("e").over(w), lo))
+    df = reach(inside.unionByName(ends), keys, "s", "e", "gap_start", "e").withColumn("gap_start", F.coalesce("gap_start", lo))
     return df.where(F.col("s") > F.col("gap_start")).select(*keys, "gap_start", F.col("s").alias("gap_end"))
 
 
@@ -104,16 +105,15 @@ def coverage_observation(bars: DataFrame, start: str, end: str, keys: Sequence[s
 def inside_any(rows: DataFrame, ranges: DataFrame, start: str = "gap_start", end: str = "gap_end", keys: Sequence[str] = KEYS, at: str = "timestamp") -> DataFrame:
     """Rows whose time is in one of their series' ranges [start, end).
 
-    Both sides are bucketed by day, ranges one row per day that they touch, so the join is an equi-join.
+    Rows and ranges are put in one order within a series' month: a row is inside if the ranges that begin before or with
+    it reach beyond it. A range is one row, however long, and there is one shuffle, on (series, month) of rows and range
+    starts. Ranges may overlap. A row without a time is in none.
     """
-    day = lambda c: F.to_date(c)
-    days = F.sequence(day(F.col(start)), day(F.col(end) - F.expr("interval 1 microsecond")))
-    spread = ranges.where(F.col(start) < F.col(end)).select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), F.explode(days).alias("_day"))
-    on = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys] + [day(F.col(f"l.{at}")) == F.col("r._day"), F.col(f"l.{at}") >= F.col("r._s"), F.col(f"l.{at}") < F.col("r._e")]
-    return rows.alias("l").join(spread.alias("r"), on, "left_semi")
+    own = rows.where(F.col(at).isNotNull()).withColumns({"_from": F.col(at).cast("timestamp"), "_until": F.lit(None).cast("timestamp"), "_row": F.lit(1)})
+    spans = ranges.where(F.col(start) < F.col(end)).select(*keys, F.col(start).cast("timestamp").alias("_from"), F.col(end).cast("timestamp").alias("_until"), F.lit(0).alias("_row"))
+    df = reach(own.unionByName(spans, allowMissingColumns=True), keys, "_from", "_until", "_reach", "_row")
+    return df.where((F.col("_row") == 1) & (F.col("_reach") > F.col("_from"))).select(*rows.columns)
 
 
 def date_range(bars: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return bars.groupBy(*keys).agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
-
-

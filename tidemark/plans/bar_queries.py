@@ -140,7 +140,7 @@ QUERIES = {
     "c1_align_sources": c1_out, "d10_compare_stats": d10, "d11_stats": d11, "d12_info": d12, "d13_yearly": d13, "c8_validate_aggregate": c8,
     "e1_classify_gaps": lambda s, d: quality.classify_gaps(views.bars_1d(s, d), 1440).select("symbol", us("timestamp", "ts_us"), "delta_s", "gap"),
     "e2_detect_gaps": lambda s, d: quality.detect_gaps(views.bars_1m(s, d), 5).select("symbol", us("timestamp", "ts_us"), us("next_ts", "next_us")),
-    "e3_pct_move": lambda s, d: views.bars_1m(s, d).select("symbol", us("timestamp", "ts_us"), F.round(quality.pct_move(), 6).alias("move")),
+    "e3_pct_move": lambda s, d: quality.pct_move(views.bars_1m(s, d), "move").select("symbol", us("timestamp", "ts_us"), F.round("move", 6).alias("move")),
     "e4_internal_gaps": lambda s, d: quality.detect_internal_gaps(views.bars_1d(s, d), "1d", True).select("symbol", us("gap_start"), us("gap_end")),
     "e5_is_monotonic": lambda s, d: quality.is_monotonic(views.table(s, d, "events").select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("timestamp"), (F.col("event_id") % 1000 + F.col("event_id")).alias("seq")), "seq"),
     "e6_has_duplicates": lambda s, d: quality.has_duplicates(views.table(s, d, "lineitem").select(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), F.col("l_shipdate").alias("timestamp"))),
