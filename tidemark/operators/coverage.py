@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.segments import carried, reach
+from tidemark.operators.segments import carried, reach, stacked
 from tidemark.schemas import minutes
 
 KEYS = ("symbol",)
@@ -32,26 +32,24 @@ def merge_ranges(cov: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return df.groupBy(*keys, "_island").agg(*aggs).drop("_island")
 
 
-def coverage_gaps(cov: DataFrame, start: str, end: str, keys: Sequence[str] = KEYS) -> DataFrame:
+def coverage_gaps(cov: DataFrame, start: str, end: str, keys: Sequence[str] = KEYS, series: DataFrame | None = None) -> DataFrame:
     """The parts of [start, end) that no range of a series covers: series, gap_start, gap_end.
 
-    Ranges need not be merged. A range of no length at the end closes the last gap.
+    series are those to look at, each once; default those with coverage. Ranges need not be merged. A range of no length at the end closes the last gap.
     """
     lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     if not start < end:
         raise ValueError("the window is empty")
     inside = cov.where((F.col("end_ts") > lo) & (F.col("start_ts") < hi)).select(*keys, F.greatest("start_ts", lo).alias("s"), F.least("end_ts", hi).alias("e"))
-    ends = cov.select(*keys).distinct().select(*keys, hi.alias("s"), hi.alias("e"))
-    df = reach(inside.unionByName(ends), keys, "s", "e", "gap_start", "e").withColumn("gap_start", F.coalesce("gap_start", lo))
+    ends = (cov.select(*keys).distinct() if series is None else series).select(*keys, hi.alias("s"), hi.alias("e"))
+    df = reach(stacked(inside, ends), keys, "s", "e", "gap_start", "e").withColumn("gap_start", F.coalesce("gap_start", lo))
     return df.where(F.col("s") > F.col("gap_start")).select(*keys, "gap_start", F.col("s").alias("gap_end"))
 
 
 def per_symbol_gaps(symbols: DataFrame, cov: DataFrame, start: str, end: str) -> DataFrame:
     """coverage_gaps of the given symbols; a symbol without coverage lacks the whole window."""
-    known = cov.join(symbols.distinct(), "symbol", "left_semi")
-    whole = symbols.distinct().join(cov.select("symbol").distinct(), "symbol", "left_anti")
-    whole = whole.select("symbol", F.lit(start).cast("timestamp").alias("gap_start"), F.lit(end).cast("timestamp").alias("gap_end"))
-    return coverage_gaps(known, start, end).unionByName(whole)
+    asked = symbols.select("symbol").distinct()
+    return coverage_gaps(cov.join(asked, "symbol", "left_semi"), start, end, series=asked)
 
 
 def edge_gaps(ranges: DataFrame, start: str, end: str, timeframe: str, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -111,7 +109,7 @@ def inside_any(rows: DataFrame, ranges: DataFrame, start: str = "gap_start", end
     """
     own = rows.where(F.col(at).isNotNull()).withColumns({"_from": F.col(at).cast("timestamp"), "_until": F.lit(None).cast("timestamp"), "_row": F.lit(1)})
     spans = ranges.where(F.col(start) < F.col(end)).select(*keys, F.col(start).cast("timestamp").alias("_from"), F.col(end).cast("timestamp").alias("_until"), F.lit(0).alias("_row"))
-    df = reach(own.unionByName(spans, allowMissingColumns=True), keys, "_from", "_until", "_reach", "_row")
+    df = reach(stacked(own, spans), keys, "_from", "_until", "_reach", "_row")
     return df.where((F.col("_row") == 1) & (F.col("_reach") > F.col("_from"))).select(*rows.columns)
 
 

@@ -84,9 +84,14 @@ def load_or_rollup(base: DataFrame, cached: DataFrame, timeframe: str, keys: Seq
 
     Only series whose base ends after their cached last bar are rolled up again; full spans only.
     """
+    rebuilt = aggregate_bars(base.join(stale_series(base, cached, timeframe, keys), [*keys], "left_semi"), timeframe, keys)
+    return splice_history(cached, rebuilt.select(*keys, "timestamp", *OHLC, "volume"), keys)
+
+
+def stale_series(base: DataFrame, cached: DataFrame, timeframe: str, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Series whose base ends a bucket or more behind their cached last bar, or of which nothing is cached."""
     step = minutes(timeframe)
     newest = base.groupBy(*keys).agg(F.max("timestamp").alias("base_end"))
     have = cached.groupBy(*keys).agg(F.max("timestamp").alias("cached_end"))
-    stale = newest.join(have, [*keys], "left").where(F.col("cached_end").isNull() | (F.col("base_end") >= F.col("cached_end") + F.make_interval(mins=F.lit(step)))).select(*keys)
-    rebuilt = aggregate_bars(base.join(stale, [*keys], "left_semi"), timeframe, keys)
-    return splice_history(cached, rebuilt.select(*keys, "timestamp", *OHLC, "volume"), keys)
+    stale = newest.join(have, [*keys], "left").where(F.col("cached_end").isNull() | (F.col("base_end") >= F.col("cached_end") + F.make_interval(mins=F.lit(step))))
+    return stale.select(*keys)

@@ -12,6 +12,15 @@ from pyspark.sql import types as T
 SPAN = 1 << 20
 
 
+def stacked(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """rows and few more, by name; columns that one lacks are null.
+
+    few is dealt out anew: a union of two sides that are partitioned alike keeps their partitions, and fails when one side
+    turns out to be empty at run time and is planned again with another number of them.
+    """
+    return rows.unionByName(few.hint("rebalance"), allowMissingColumns=True)
+
+
 def segment(df: DataFrame, by: str) -> Column:
     """The segment of a row, ascending with by: months since year 0 of a time, SPAN numbers otherwise; null stays null."""
     kind = df.schema[by].dataType
@@ -46,7 +55,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], before: dict[str, str] | None
     rows = df.withColumns({"_segment": segment(df, by), "_by": F.col(by), "_value": value, "_side": F.lit(0)})
     edges = _edges(rows, keys)
     ghosts = edges.select(*keys, "_segment", F.inline(F.array(F.struct(F.lit(-1).alias("_side"), F.col("_before").alias("_value")), F.struct(F.lit(1).alias("_side"), F.col("_after").alias("_value")))))
-    both = rows.unionByName(ghosts, allowMissingColumns=True)
+    both = stacked(rows, ghosts)
     w = Window.partitionBy(*keys, "_segment").orderBy("_side", "_by", "_value")
     found = {"_lag": F.lag("_value").over(w)} if before else {}
     found |= {"_lead": F.lead("_value").over(w)} if after else {}
@@ -71,7 +80,7 @@ def carried(df: DataFrame, keys: Sequence[str], column: str, name: str, by: str
     rows = df.withColumns({"_segment": segment(df, by), "_by": F.col(by), "_side": F.lit(0), "_held": F.when(F.col(column).isNotNull(), F.struct(F.col(by).alias("at"), F.col(column).alias("value")))})
     ghosts = _prefixes(rows, keys, F.col("_held"), "_held").withColumn("_side", F.lit(-1))
     w = Window.partitionBy(*keys, "_segment").orderBy("_side", "_by").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    out = rows.unionByName(ghosts, allowMissingColumns=True).withColumn("_last", F.max("_held").over(w)).where("_side = 0")
+    out = stacked(rows, ghosts).withColumn("_last", F.max("_held").over(w)).where("_side = 0")
     return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], F.col("_last.value").alias(name))
 
 
@@ -80,5 +89,5 @@ def reach(df: DataFrame, keys: Sequence[str], at: str, end: str, name: str, *tie
     rows = df.withColumns({"_segment": segment(df, at), "_at": F.col(at), "_side": F.lit(0), "_end": F.col(end)})
     ghosts = _prefixes(rows, keys, F.col("_end"), "_end").withColumn("_side", F.lit(-1))
     w = Window.partitionBy(*keys, "_segment").orderBy("_side", "_at", *ties).rowsBetween(Window.unboundedPreceding, -1)
-    out = rows.unionByName(ghosts, allowMissingColumns=True).withColumn("_reach", F.max("_end").over(w)).where("_side = 0")
+    out = stacked(rows, ghosts).withColumn("_reach", F.max("_end").over(w)).where("_side = 0")
     return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], F.col("_reach").alias(name))

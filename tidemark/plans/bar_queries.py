@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import compare, quality, rollup
 from tidemark.plans import views
 from tidemark.plans.views import BARS_SQL, DAILY_SQL, us
+from tidemark.session import workdir
+from tidemark.sources import tables
 
 def _out(df, *more):
     prices = [F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")]
@@ -31,6 +33,20 @@ _LEAD = "lead(ts) over (partition by symbol order by ts)"
 
 
 def d3(spark, d):
+    """Hourly bars from the bar table: cached while half of the minutes were there, gone on with, then found complete."""
+    path, staging = workdir(spark, "rollup"), workdir(spark, "rollup-staging")
+    base = views.bars_1m(spark, d).withColumns({"provider": F.lit("vendor"), "timeframe": F.lit("1m")})
+    early = F.col("timestamp") < F.lit("2024-01-16 09:30:00").cast("timestamp")
+    for k, part in enumerate((base.where(early), base.where(~early))):
+        tables.write_bars(part, path, f"{staging}/{k}")
+        tables.cached_rollup(spark, path, f"{staging}/{k}-1h", "vendor", "1h")
+    out, again = tables.cached_rollup(spark, path, f"{staging}/none", "vendor", "1h")
+    if again:
+        raise AssertionError("a complete roll-up was made again")
+    return _out(out)
+
+
+def d3_splice(spark, d):
     base = views.bars_1m(spark, d)
     cached = rollup.aggregate_bars(base.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")), "1h").select("symbol", "timestamp", "open", "high", "low", "close", "volume")
     return _out(rollup.load_or_rollup(base, cached, "1h"))
@@ -136,7 +152,7 @@ QUERIES = {
     "d1_rollup_1h": _rollup("1h"), "d1_rollup_7m": _rollup("7m"), "d1_rollup_12h": _rollup("12h"), "d1_rollup_1d": _rollup("1d"),
     "d1_rollup_3d": lambda s, d: _out(rollup.aggregate_bars(views.bars_1m(s, d), "3d", allow_multiday=True)),
     "d2_rollup_15m": lambda s, d: _out(rollup.aggregate_bars_by_symbol(views.bars_1m(s, d), "15m")),
-    "d3_load_or_rollup": d3, "d4_bar_qa": d4, "d5_validate_ohlc": d5, "d6_validate_series": d6, "d7_validation_issues": d7, "d8_health_report": d8, "d9_audit": d9,
+    "d3_load_or_rollup": d3, "d3_splice": d3_splice, "d4_bar_qa": d4, "d5_validate_ohlc": d5, "d6_validate_series": d6, "d7_validation_issues": d7, "d8_health_report": d8, "d9_audit": d9,
     "c1_align_sources": c1_out, "d10_compare_stats": d10, "d11_stats": d11, "d12_info": d12, "d13_yearly": d13, "c8_validate_aggregate": c8,
     "e1_classify_gaps": lambda s, d: quality.classify_gaps(views.bars_1d(s, d), 1440).select("symbol", us("timestamp", "ts_us"), "delta_s", "gap"),
     "e2_detect_gaps": lambda s, d: quality.detect_gaps(views.bars_1m(s, d), 5).select("symbol", us("timestamp", "ts_us"), us("next_ts", "next_us")),
@@ -161,7 +177,7 @@ ORACLE_SQL = {
     "d1_rollup_1h": _rollup_sql("date_trunc('hour', ts)"), "d1_rollup_7m": _rollup_sql(_day_bucket(7)), "d1_rollup_12h": _rollup_sql(_day_bucket(720)), "d1_rollup_1d": _rollup_sql("date_trunc('day', ts)"),
     "d1_rollup_3d": _rollup_sql("make_timestamp((epoch_us(ts) // 259200000000) * 259200000000)"),
     "d2_rollup_15m": _rollup_sql("make_timestamp((epoch_us(ts) // 900000000) * 900000000)"),
-    "d3_load_or_rollup": _rollup_sql("date_trunc('hour', ts)"),
+    "d3_load_or_rollup": _rollup_sql("date_trunc('hour', ts)"), "d3_splice": _rollup_sql("date_trunc('hour', ts)"),
     "d4_bar_qa": f"""with {BARS_SQL}, m as (select *, abs(close::double / nullif(lag(close::double) over (partition by symbol order by ts), 0) - 1) as move from bars)
       select symbol, round(count(*) filter (volume = 0) / count(*), 6) as zero_volume_ratio, count(*) filter (high < low or high < open or high < close or low > open or low > close) as ohlc_inconsistencies,
       count(*) filter (move > 0.1) as extreme_moves, count(*) filter (volume < 0) as negative_volume, 0::bigint as non_monotonic_ts, 0.0::double as missing_ratio from m group by symbol""",

@@ -117,21 +117,39 @@ def _known(spark, d):
     return views.coverage(spark, d).where(F.col("batch_job_id") != "J0")
 
 
-def _sync(spark, d):
-    return ingest.sync(_universe(spark, d), _landing(spark, d), _known(spark, d), "1996-01-01", "1999-12-31")
+def _synced(spark, d, universe=None, **how):
+    """The root of a synced table, in which the known coverage was left by an earlier run; and the run's report."""
+    root = workdir(spark, "sync")
+    _known(spark, d).select("symbol", "start_ts", "end_ts").write.parquet(f"{root}/coverage/00000000-known")
+    landing = _landing(spark, d).groupBy("symbol", "timestamp").agg(F.max("close").alias("close"))
+    bars = landing.select("*", *[F.col("close").alias(c) for c in ("open", "high", "low")], F.lit(1).alias("volume"))
+    report = ingest.run_sync(universe or _universe(spark, d), how.pop("change", lambda x: x)(bars), root, "run", "1996-01-01", "1999-12-31", "vendor", "1d", **how)
+    return root, report
 
 
 def k1(spark, d):
-    return _sync(spark, d)[0].select("symbol", us("timestamp", "ts_us"), "close")
+    """The bars that a sync has written to the table."""
+    return tables.bar_table(spark, f"{_synced(spark, d)[0]}/bars").select("symbol", us("timestamp", "ts_us"), F.col("close").cast("double").alias("close"))
 
 
 def k1_report(spark, d):
-    return _sync(spark, d)[2]
+    return _synced(spark, d)[1]
+
+
+def k1_forced(spark, d):
+    """A forced run over a symbol's whole window, after one that loaded gaps only: its bars are replaced."""
+    root, _ = _synced(spark, d)
+    some = _universe(spark, d).where(F.substring("symbol", -1, 1) == "5")
+    landing = _landing(spark, d).groupBy("symbol", "timestamp").agg(F.max("close").alias("close")).withColumn("close", F.col("close") + 1)
+    ingest.run_sync(some, landing.select("*", *[F.col("close").alias(c) for c in ("open", "high", "low")], F.lit(1).alias("volume")), root, "again", "1997-01-01", "1997-12-31", "vendor", "1d", force=True)
+    return tables.bar_table(spark, f"{root}/bars").select("symbol", us("timestamp", "ts_us"), F.col("close").cast("double").alias("close"))
 
 
 def k2(spark, d):
-    failed = _universe(spark, d).where(F.substring("symbol", -1, 1) == "8")
-    return ingest.commit(_sync(spark, d)[1], _known(spark, d), failed).select("symbol", us("start_ts", "start_us"), us("end_ts", "end_us"))
+    """Coverage after a sync whose bars of some symbols are refused: they claim nothing."""
+    spoil = lambda b: b.withColumn("volume", F.when(F.substring("symbol", -1, 1) == "8", -1).otherwise(F.col("volume")))
+    root, _ = _synced(spark, d, change=spoil)
+    return ingest.read_coverage(spark, root).select("symbol", us("start_ts", "start_us"), us("end_ts", "end_us"))
 
 
 def k3(spark, d):
@@ -154,7 +172,8 @@ def k5(spark, d):
 
 def k6(spark, d):
     landing = _landing(spark, d).withColumn("quarantine", F.when(F.col("close") > 400_000, "close"))
-    return ingest.update_many(_universe(spark, d), landing, "1996-01-01", "1999-12-31")
+    stored = views.table(spark, d, "orders").where("o_orderkey % 3 != 0").select(F.concat(F.lit("C"), "o_custkey").alias("symbol"), F.col("o_orderdate").cast("timestamp").alias("timestamp")).distinct()
+    return ingest.update_many(_universe(spark, d), landing, "1996-01-01", "1999-12-31", stored)
 
 
 def k7(spark, d):
@@ -175,7 +194,7 @@ def _stored(spark, d):
 
 def a4(spark, d):
     path, _ = _stored(spark, d)
-    return spark.read.parquet(path).select("provider", "timeframe", "symbol", us("timestamp", "ts_us"), F.col("volume").cast("double").alias("volume"))
+    return tables.bar_table(spark, path).select("provider", "timeframe", "symbol", us("timestamp", "ts_us"), F.col("volume").cast("double").alias("volume"))
 
 
 def a1(spark, d):
@@ -185,21 +204,24 @@ def a1(spark, d):
 
 def a3(spark, d):
     path, _ = _stored(spark, d)
-    keys = spark.read.parquet(path).where("symbol in ('click', 'view')").select("provider", "symbol", "timeframe").distinct()
+    keys = tables.bar_table(spark, path).where("symbol in ('click', 'view')").select("provider", "symbol", "timeframe").distinct()
     tables.delete_series(spark, path, keys)
-    return tables.list_series(spark.read.parquet(path))
+    return tables.list_series(tables.bar_table(spark, path))
 
 
 def d22(spark, d):
     return quality.run_summary(k6(spark, d))
 
 
-def _stream(spark, d):
+def _stream(spark, d, files=1):
+    """Ticks as bars from a folder, in a batch per file, and a last row that closes the stream."""
     events, landing = views.table(spark, d, "events"), workdir(spark, "landing")
-    events.write.parquet(landing)  # a stream reads folders
-    e = spark.readStream.schema(events.schema).parquet(landing)
     price = F.col("value").cast("decimal(18,8)")
-    return e.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("timestamp"), *[price.alias(c) for c in ("open", "high", "low", "close")], F.lit(1).cast("long").alias("volume"))
+    rows = events.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("timestamp"), *[price.alias(c) for c in ("open", "high", "low", "close")], F.lit(1).cast("long").alias("volume"), F.lit(False).alias("closing"))
+    for k in range(files):
+        rows.where(F.dayofmonth("timestamp") % files == k).coalesce(8).write.mode("append").parquet(landing)
+    streams.closing(spark, rows.schema).write.mode("append").parquet(landing)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(landing)
 
 
 def _ran(spark, stream, name, mode="append"):
@@ -208,19 +230,34 @@ def _ran(spark, stream, name, mode="append"):
     return spark.read.parquet(out)
 
 
+def _into_bars(spark, stream, name, timeframe):
+    """The bar table that a stream has written."""
+    path, state = workdir(spark, name), workdir(spark, f"{name}-state")
+    streams.run(stream, streams.bar_sink(path, f"{state}/staging", name, {"provider": "stream", "timeframe": timeframe}), f"{state}/checkpoint")
+    return tables.bar_table(spark, path)
+
+
 def k8(spark, d):
-    out = _ran(spark, streams.ingest(_stream(spark, d)), "stream-ingest")
+    stream = _stream(spark, d)
+    out = _into_bars(spark, streams.ingest(stream.where("not closing").drop("closing")), "stream-ingest", "tick")
     return out.select("symbol", us("timestamp", "ts_us"), F.col("close").cast("double").alias("close"))
 
 
 def k8_refused(spark, d):
-    rough = _stream(spark, d).withColumns({"high": F.when(F.col("close") > 300, F.col("high") - 1).otherwise(F.col("high")), "volume": F.when(F.minute("timestamp") == 7, -1).otherwise(F.col("volume"))})
+    rough = _stream(spark, d).where("not closing").drop("closing").withColumns({"high": F.when(F.col("close") > 300, F.col("high") - 1).otherwise(F.col("high")), "volume": F.when(F.minute("timestamp") == 7, -1).otherwise(F.col("volume"))})
     out = _ran(spark, streams.refused(rough), "stream-refused")
     return out.select("symbol", us("timestamp", "ts_us"), F.array_join("errors", ",").alias("errors"))
 
 
 def k9(spark, d):
-    out = streams.latest(_ran(spark, streams.roll_up(_stream(spark, d), "1h"), "stream-rollup", "update"))
+    """Bars of an hour as a stream has left them in the bar table: whole buckets and corrections, no pass over them afterwards."""
+    out = _into_bars(spark, streams.corrected_roll_up(_stream(spark, d), "1h", corrections="40 days"), "stream-rollup", "1h")
+    return out.select("symbol", us("timestamp", "ts_us"), *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")], F.col("volume").cast("long").alias("volume"))
+
+
+def k9_versions(spark, d):
+    """The last version of each bucket of a stream that writes every version."""
+    out = streams.latest(_ran(spark, streams.roll_up(_stream(spark, d).where("not closing").drop("closing"), "1h"), "stream-versions", "update"))
     return out.select("symbol", us("timestamp", "ts_us"), *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")], "volume")
 
 
@@ -231,8 +268,8 @@ QUERIES = {
     "i3_events_8k": i3, "i4_earnings": lambda s, d: filings.earnings_events(_filings(s, d), "1996-01-01", "1998-12-31").select("cik", "accession"),
     "i5_split_documents": i5, "i6_accession_metadata": i6, "i7_form4": i7, "i8_corporate_actions": i8, "l4_pdf_text": l4, "i11_corporate_actions_query": i11, "i12_wiki_changes": i12, "i13_wiki_sectors": i13, "b18_edgar_urls": b18, "h7_maintenance": h7,
     "i9_html_to_text": lambda s, d: views.table(s, d, "pages").select("page_id", F.sha2(filings.html_to_text(F.col("html")).cast("binary"), 256).alias("text_sha256")),
-    "k1_sync": k1, "k1_report": k1_report, "k2_commit": k2, "k3_skipped": k3, "k4_backfill": k4, "k5_update": k5, "k6_update_many": k6, "k7_backfill_gaps": k7, "d22_run_summary": d22,
-    "a1_read_bars": a1, "a3_delete_series": a3, "a4_append_bars": a4, "k8_stream_ingest": k8, "k8_stream_refused": k8_refused, "k9_stream_rollup": k9,
+    "k1_sync": k1, "k1_report": k1_report, "k1_forced": k1_forced, "k2_commit": k2, "k3_skipped": k3, "k4_backfill": k4, "k5_update": k5, "k6_update_many": k6, "k7_backfill_gaps": k7, "d22_run_summary": d22,
+    "a1_read_bars": a1, "a3_delete_series": a3, "a4_append_bars": a4, "k8_stream_ingest": k8, "k8_stream_refused": k8_refused, "k9_stream_rollup": k9, "k9_stream_versions": k9_versions,
 }
 
 _ACT = """o as (select lpad(o_orderkey::varchar, 10, '0') as accession, o_orderkey % 3 as m, o_orderkey as k, o_orderdate::date as day from orders),
@@ -242,7 +279,13 @@ _W = "w as (select timestamp '1996-01-01' as lo, timestamp '2000-01-01' as hi),
 _GAPS = """inside as (select symbol, greatest(start_ts, lo) as s, least(end_ts, hi) as e from part, w where end_ts > lo and start_ts < hi union all select distinct symbol, hi, hi from part, w),
  g0 as (select symbol, gap_start, s as gap_end from (select symbol, s, coalesce(max(e) over (partition by symbol order by s, e rows between unbounded preceding and 1 preceding), lo) as gap_start from inside, w) where s > gap_start),
  gaps as (select g0.* from g0 join u using (symbol) union all select symbol, lo, hi from u, w where symbol not in (select symbol from part))"""
-_SYNC = f"with {COVERAGE_SQL}, {_W}, {_GAPS}, l as (select 'C' || o_custkey as symbol, o_orderdate as ts, o_totalprice as close from orders), rows_in as (select l.* from l where exists (select 1 from gaps g where g.symbol = l.symbol and ts >= gap_start and ts < gap_end))"
+_SYNC = f"with {COVERAGE_SQL}, {_W}, {_GAPS}, l as (select 'C' || o_custkey as symbol, o_orderdate as ts, max(o_totalprice) as close from orders group by all), rows_in as (select l.* from l where symbol in (select symbol from u) and exists (select 1 from gaps g where g.symbol = l.symbol and ts >= gap_start and ts < gap_end))"
+_UPDATED = """with p as (select 'C' || o_custkey as symbol, count(*) as n, bool_or(o_totalprice > 400000) as bad from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1999-12-31' group by 1),
+  u as (select 'C' || c_custkey as symbol from customer where c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY')),
+  s as (select distinct 'C' || o_custkey as symbol, o_orderdate::timestamp as ts from orders where o_orderkey % 3 <> 0),
+  b as (select symbol, ts, lag(ts) over (partition by symbol order by ts) as before from s),
+  k as (select symbol, case when count(*) < 2 then 1 else (min(ts) > timestamp '1996-01-01')::int + (max(ts) < timestamp '1999-12-31')::int end + count(*) filter (epoch(ts) - epoch(before) > 1.1 * 86400) as lacks from b group by symbol),
+  r as (select u.symbol, case when n is null then 'skipped' when bad then 'failed' else 'ok' end as status, case when n is not null and not bad then n else 0 end::bigint as rows, case when n is not null and not bad then coalesce(lacks, 1) else 0 end::bigint as gaps, case when bad then 'close' end as reason from u left join p on p.symbol = u.symbol left join k on k.symbol = u.symbol)"""
 _F8 = "with f as (select o_custkey::varchar as cik, case when o_orderkey % 2 = 0 then '8-K' else '10-Q' end as form, o_orderdate::date as day, lpad(o_orderkey::varchar, 10, '0') as accession, case when o_orderkey % 4 = 0 then '2.02,9.01' else '7.01' end as items, o_orderdate::date::timestamp + interval 750 minute as acc from orders)"
 _TICK = "with t as (select event_type as symbol, ts, cast(value as decimal(18,8)) as p from events)"
 ORACLE_SQL = {
@@ -265,19 +308,21 @@ ORACLE_SQL = {
       t as (select page_id, list_transform(string_split(h, '<'), lambda x, i: case when i = 1 then x when strpos(x, '>') = 0 then ' ' else ' ' || substr(x, strpos(x, '>') + 1) end) as runs from c),
       u as (select page_id, array_to_string(runs, '') as x from t)
       select page_id, sha256(trim(regexp_replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), chr(1), '<'), chr(2), '>'), '\\s+', ' ', 'g'))) as text_sha256 from u""",
-    "k1_sync": f"{_SYNC} select symbol, epoch_us(ts) as ts_us, close from rows_in",
+    "k1_sync": f"{_SYNC} select symbol, epoch_us(ts) as ts_us, close::double as close from rows_in",
+    "k1_forced": f"{_SYNC}, n as (select l.* from l join u using (symbol) where right(symbol, 1) = '5' and year(ts) = 1997) select symbol, epoch_us(ts) as ts_us, close from rows_in where symbol not in (select symbol from n) union all select symbol, epoch_us(ts), close + 1 from n",
     "k1_report": f"{_SYNC} select u.symbol, 'ok' as status, coalesce((select count(*) from rows_in r where r.symbol = u.symbol), 0) as rows, coalesce((select count(*) from gaps g where g.symbol = u.symbol), 0) as gaps from u",
-    "k2_commit": f"with {COVERAGE_SQL}, {_W}, {_GAPS}, a as (select symbol, start_ts as s, end_ts as e from part union all select symbol, gap_start, gap_end from gaps where right(symbol, 1) <> '8'), m as (select *, case when s > max(e) over (partition by symbol order by s, e rows between unbounded preceding and 1 preceding) then 1 else 0 end as new from a), i as (select *, sum(new) over (partition by symbol order by s, e rows between unbounded preceding and current row) as island from m) select symbol, epoch_us(min(s)) as start_us, epoch_us(max(e)) as end_us from i group by symbol, island",
+    "k2_commit": f"{_SYNC}, a as (select symbol, start_ts as s, end_ts as e from part union all select symbol, gap_start, gap_end from gaps where right(symbol, 1) <> '8' or symbol not in (select symbol from rows_in)), m as (select *, case when s > max(e) over (partition by symbol order by s, e rows between unbounded preceding and 1 preceding) then 1 else 0 end as new from a), i as (select *, sum(new) over (partition by symbol order by s, e rows between unbounded preceding and current row) as island from m) select symbol, epoch_us(min(s)) as start_us, epoch_us(max(e)) as end_us from i group by symbol, island",
     "k3_skipped": "select distinct 'C' || o_custkey as symbol from orders where o_totalprice > 250000 and o_custkey in (select c_custkey from customer where c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY'))",
     "k4_backfill": f"with {BARS_SQL}, e as (select symbol, min(ts) as a, max(ts) as b from bars where hour(ts) % 3 <> 0 and day(ts) > 3 group by symbol) select bars.symbol, epoch_us(ts) as ts_us, close::double as close from bars join e on e.symbol = bars.symbol where ts between a and b or ts::date < a::date or ts::date > b::date",
     "k5_update": f"with {BARS_SQL}, h as (select symbol, max(ts) as last from bars where ts < timestamp '2024-01-15' and symbol <> 'click' group by symbol) select b.symbol, epoch_us(ts) as ts_us from bars b left join h on h.symbol = b.symbol where ts > coalesce(last, timestamp '2024-01-18') and ts <= timestamp '2024-01-25'",
-    "k6_update_many": "with p as (select 'C' || o_custkey as symbol, count(*) as n, bool_or(o_totalprice > 400000) as bad from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1999-12-31' group by 1), u as (select 'C' || c_custkey as symbol from customer where c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY')) select u.symbol, case when n is null then 'skipped' when bad then 'failed' else 'ok' end as status, case when n is not null and not bad then n else 0 end::bigint as rows, 0::int as gaps, case when bad then 'close' end as reason from u left join p on p.symbol = u.symbol",
+    "k6_update_many": f"{_UPDATED} select * from r",
     "k7_backfill_gaps": f"with {BARS_SQL}, e as (select symbol, min(ts) filter (hour(ts) <> 5) as a, max(ts) filter (hour(ts) <> 5) as b from bars group by symbol) select bars.symbol, epoch_us(ts) as ts_us from bars join e on e.symbol = bars.symbol where ts between a and b",
-    "d22_run_summary": "with p as (select 'C' || o_custkey as symbol, count(*) as n, bool_or(o_totalprice > 400000) as bad from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1999-12-31' group by 1), u as (select 'C' || c_custkey as symbol from customer where c_mktsegment in ('BUILDING', 'FURNITURE', 'MACHINERY')), r as (select case when n is null then 'skipped' when bad then 'failed' else 'ok' end as status, case when n is not null and not bad then n else 0 end as rows from u left join p on p.symbol = u.symbol) select count(*) as total, count(*) filter (status = 'ok') as succeeded, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'skipped') as skipped, sum(rows)::bigint as rows, 0::bigint as gaps from r",
+    "d22_run_summary": f"{_UPDATED} select count(*) as total, count(*) filter (status = 'ok') as succeeded, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'skipped') as skipped, sum(rows)::bigint as rows, sum(gaps)::bigint as gaps from r",
     "a1_read_bars": f"with {BARS_SQL} select epoch_us(ts) as ts_us, close::double as close from bars where symbol = 'click' and ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-08'",
     "a3_delete_series": f"with {BARS_SQL} select distinct 'vendor' as provider, symbol, '1m' as timeframe from bars where symbol not in ('click', 'view')",
     "a4_append_bars": f"with {BARS_SQL} select 'vendor' as provider, '1m' as timeframe, symbol, epoch_us(ts) as ts_us, (volume + case when hour(ts) >= 8 then 10 else 0 end)::double as volume from bars",
     "k8_stream_ingest": f"{_TICK} select symbol, epoch_us(ts) as ts_us, p::double as close from t",
     "k8_stream_refused": f"{_TICK} select * from (select symbol, epoch_us(ts) as ts_us, concat_ws(',', case when p > 300 then 'high_lt_low,high_lt_open_close' end, case when minute(ts) = 7 then 'negative_volume' end) as errors from t) where errors <> ''",
     "k9_stream_rollup": f"{_TICK} select symbol, epoch_us(date_trunc('hour', ts)) as ts_us, arg_min(p, ts)::double as open, max(p)::double as high, min(p)::double as low, arg_max(p, ts)::double as close, count(*)::bigint as volume from t group by symbol, date_trunc('hour', ts)",
+    "k9_stream_versions": f"{_TICK} select symbol, epoch_us(date_trunc('hour', ts)) as ts_us, arg_min(p, ts)::double as open, max(p)::double as high, min(p)::double as low, arg_max(p, ts)::double as close, count(*)::bigint as volume from t group by symbol, date_trunc('hour', ts)",
 }

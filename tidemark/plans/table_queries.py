@@ -15,14 +15,14 @@ _EPOCH = lambda c, name: F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).
 
 def a2(spark, d):
     path, _ = flow_queries._stored(spark, d)
-    return tables.list_series(spark.read.parquet(path), "vendor")
+    return tables.list_series(tables.bar_table(spark, path), "vendor")
 
 
 def a5(spark, d):
     path, staging = flow_queries._stored(spark, d)
-    again = spark.read.parquet(path).where("symbol = 'click' and hour(timestamp) < 3")
+    again = tables.bar_table(spark, path).where("symbol = 'click' and hour(timestamp) < 3")
     tables.write_bars(again, path, f"{staging}/3", "overwrite")
-    return spark.read.parquet(path).select("symbol", us("timestamp", "ts_us"))
+    return tables.bar_table(spark, path).select("symbol", us("timestamp", "ts_us"))
 
 
 def a8(spark, d):
