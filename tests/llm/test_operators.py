@@ -345,8 +345,7 @@ def test_near_classes(docs):
     assert {r.doc_id for r in kept} == set(want.values())
 
 
-def test_near_classes_of_many_families(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SMALL", 3)
+def test_near_classes_of_many_families(spark):
     rng = random.Random(5)
     passage, rows = words(rng, 60), []
     for family in range(12):
@@ -431,14 +430,63 @@ def test_near_classes_of_short_texts(spark):
 
 
 def test_near_links(spark):
-    """Classes and numbers of links against all pairs by alignment: an edited text, one with its halves exchanged, copies."""
+    """Classes and links against all pairs by alignment: an edited text, one with its halves exchanged, copies."""
     rng, rows = random.Random(31), []
     for _ in range(25):
         w = words(rng, 120, 9000)
         rows += [" ".join(w), " ".join(edited(rng, w, 0.05)), " ".join(w[60:] + w[:60]), " ".join(w)]
     rows = list(enumerate(rows))
-    out = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").withColumn("_node", F.lit("x"))).collect()
-    assert {r._id: (r.class_id, r.links) for r in out} == brute.near_links(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_node", F.lit("x"))
+    assert_links(df, rows)
+
+
+def assert_links(df, rows):
+    """Classes, and the number of different texts that each is linked to."""
+    want = brute.near_links(rows)
+    assert {r._id: r.class_id for r in near_dedup.classes(df).collect()} == {d: c for d, (c, _) in want.items()}
+    n = Counter()
+    for a, b in near_dedup.links(df).collect():
+        n[a] += 1
+        n[b] += 1
+    first = {}
+    for d, t in rows:
+        first.setdefault(t, d)
+    assert {d: n[first[t]] for d, t in rows} == {d: k for d, (_, k) in want.items()}
+
+
+def test_links_of_families_of_any_size(spark):
+    """Copies of a text with one word replaced each: all are similar to all."""
+    rng, rows = random.Random(37), []
+    for size in (8, 9, 12, 50, 300):
+        base = words(rng, 120, 9000)
+        for k in range(size):
+            w = list(base)
+            w[k * 7 % 120] = f"x{size}y{k}"
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    n, sizes, at = Counter(), (8, 9, 12, 50, 300), 0
+    for a, b in near_dedup.links(df).collect():
+        n[a] += 1
+        n[b] += 1
+    classes = {r._id: r.class_id for r in near_dedup.classes(df).collect()}
+    for size in sizes:
+        own = range(at, at + size)
+        assert {classes[i] for i in own} == {at} and {n[i] for i in own} == {size - 1}, size
+        at += size
+
+
+def test_reordered_texts_make_few_candidates(spark, monkeypatch):
+    """The same twelve sentences in other orders have nearly the same shingles, but do not align; about 1 % of pairs have the marks of two texts in order by chance."""
+    rng = random.Random(41)
+    sentences = [words(rng, 30, 9000) for _ in range(12)]
+    made, remaining = [], near_dedup._remaining
+    monkeypatch.setattr(near_dedup, "_remaining", lambda *x: made.append((out := remaining(*x)).count()) or out)
+    for n in (200, 400):
+        texts = [" ".join(w for s in rng.sample(sentences, 12) for w in s) for _ in range(n)]
+        texts[-1] = texts[0].replace(texts[0].split()[100], "other")
+        out = near_dedup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert {r._id: r.class_id for r in out}[n - 1] == 0
+    assert all(m <= 0.015 * n * (n - 1) / 2 for m, n in zip(made, (200, 400), strict=True)), made
 
 
 def test_recall_of_near_classes(spark):
@@ -485,6 +533,14 @@ def test_snapshots_collapse(spark):
     assert chat.render(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_a_null_conversation_is_not_an_empty_one(spark):
+    rows = [(c, t, "user", f"{c} {t}") for c in (None, "", "7") for t in (0, 1)]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string").withColumn("n_turns", F.lit("own"))
+    got = {r.conv_id: (r.n_turns, r.copies) for r in chat.render(df).collect()}
+    assert got == {None: (2, 1), "": (2, 1), "7": (2, 1)}
+    assert chat.render(df.limit(0)).count() == 0
+
+
 def test_snapshots_with_repeated_and_long_turns(spark):
     long = "x" * 300_000
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (3, 0, "user", long), (3, 1, "assistant", long)]

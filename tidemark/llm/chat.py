@@ -11,16 +11,20 @@ from tidemark.llm.common import materialise
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
+def _conversation():
+    """What tells conversations apart: a null conv_id is one of its own, and another than the empty one."""
+    return F.when(F.col("conv_id").isNull(), "0").otherwise(F.concat(F.lit("1"), F.col("conv_id").cast("string"))).alias("_conv")
+
+
 def turn_prefixes(turns: DataFrame) -> DataFrame:
     """Per turn: _conv, _idx (from 1), _n (turns of its conversation), _p and _q (128 bits of hash of the turns up to it).
 
     The hash of a prefix is the exclusive or of hashes of (position, role, text), so that it rolls with a running
     aggregate; the order counts because the position is hashed too. Turns are put in the order of turn, role and text.
     """
-    conv = F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
     by_turn = Window.partitionBy("_conv").orderBy("turn", "role", "text")
     so_far = by_turn.rowsBetween(Window.unboundedPreceding, 0)
-    df = turns.select(conv.alias("_conv"), "turn", "role", "text").withColumn("_idx", F.row_number().over(by_turn).cast("long"))
+    df = turns.select(_conversation(), "turn", "role", "text").withColumn("_idx", F.row_number().over(by_turn).cast("long"))
     content = [F.col("_idx"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text")]
     df = df.withColumns({"_p": F.bit_xor(F.xxhash64(F.lit(1), *content)).over(so_far), "_q": F.bit_xor(F.xxhash64(*content, F.lit(2))).over(so_far)})
     return df.select("_conv", "_idx", "_p", "_q", F.count("*").over(Window.partitionBy("_conv")).alias("_n"))
@@ -34,7 +38,7 @@ def collapse(turns: DataFrame) -> DataFrame:
     a number; null first) stays. Hashes are made distinct before the join, so a common first turn is one row of it.
     """
     prefixes = materialise(turn_prefixes(turns), "chat-prefixes")
-    whole = prefixes.where("_idx = _n").groupBy("_n", "_p", "_q").agg(F.min(F.struct(F.try_to_number("_conv", F.lit("S9999999999999999999")).alias("number"), F.col("_conv").alias("conv"))).alias("least"), F.count("*").alias("copies"))
+    whole = prefixes.where("_idx = _n").groupBy("_n", "_p", "_q").agg(F.min(F.struct(F.try_to_number(F.substring("_conv", 2, 2**30), F.lit("S9999999999999999999")).alias("number"), F.col("_conv").alias("conv"))).alias("least"), F.count("*").alias("copies"))
     proper = prefixes.where("_idx < _n").select(F.col("_idx").alias("_n"), "_p", "_q").distinct()
     kept = whole.join(proper, ["_n", "_p", "_q"], "left_anti")
     return kept.select(F.col("least.conv").alias("_conv"), F.col("_n").alias("n_turns"), "copies")
@@ -43,12 +47,12 @@ def collapse(turns: DataFrame) -> DataFrame:
 def render(turns: DataFrame) -> DataFrame:
     """conv_id, n_turns, copies, chat: one rendered text per maximal conversation, turns in order, nulls as empty.
 
-    A null conv_id is a conversation of its own. An empty input gives no rows. A conversation is one value of the
-    result, so that its turns must fit into one row.
+    All turns without a conv_id are one conversation, an empty conv_id is another. Repeated turns stay, next to each other.
+    Long turns are hashed and rendered whole; a conversation is one value of the result, so that its turns must fit into
+    one row. An empty input gives no rows. Columns but conv_id, turn, role and text are not read.
     """
     kept = materialise(collapse(turns), "chat-kept")
-    conv = F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
-    own = turns.select(conv.alias("_conv"), "conv_id", "turn", "role", "text").join(kept, "_conv")
+    own = turns.select(_conversation(), "conv_id", "turn", "role", "text").join(kept, "_conv")
     line = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(CLOSE))
     rows = own.groupBy("_conv").agg(F.first("conv_id").alias("conv_id"), F.first("n_turns").alias("n_turns"), F.first("copies").alias("copies"), F.sort_array(F.collect_list(F.struct("turn", "role", "text", line.alias("line")))).alias("turns"))
     return rows.select("conv_id", "n_turns", "copies", F.array_join(F.col("turns.line"), "").alias("chat"))

@@ -18,8 +18,8 @@ SHINGLE, SIMILAR = 5, 0.8
 SKETCHES, ORDERED = 28, 5
 #: Two texts of at most SHORT shingles are found by exact keys, without sketches.
 SHORT = 25
-#: In a bucket of at most SMALL texts each meets each; in a larger one each meets the centre first.
-SMALL = 8
+#: Shingles of a centre whose order tells texts apart before they are aligned, how many of them both must have for that, and the share in order that is enough.
+MARKS, ENOUGH, IN_ORDER = 32, 20, 0.6
 #: Pairs in large groups are made in squares of about this many texts a side, so that no group gathers in one task.
 SIDE = 256
 #: Texts of similarity SIMILAR differ in at most this share of the shingles of both: 1 in 9.
@@ -151,11 +151,32 @@ def _aligned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
         yield pd.Series([alignment(np.asarray(a), np.asarray(b)) for a, b in zip(left, right, strict=True)], dtype=float)
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _differences(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """The shingles that one of two texts has and the other has not."""
+def marks(text: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Where a text has MARKS shingles that a hash chooses of the centre's; -1 for those it lacks."""
+    chosen = np.sort(centre[np.argsort(_mixed(centre.astype(np.int64).view(np.uint64) * _MULTIPLY), kind="stable")[:MARKS]])
+    order = np.argsort(text, kind="stable")
+    at = np.searchsorted(text[order], chosen)
+    at = np.minimum(at, len(text) - 1)
+    return np.where(text[order][at] == chosen, order[at], -1).astype(np.int32)
+
+
+@F.pandas_udf(T.StructType([T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("apart", "marks")]))
+def _differences(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """The shingles that one of a text and its centre has and the other has not, and the text's marks."""
     for left, right in batches:
-        yield pd.Series([np.setxor1d(np.asarray(a), np.asarray(b), assume_unique=True) for a, b in zip(left, right, strict=True)])
+        pairs = [(np.asarray(a), np.asarray(b)) for a, b in zip(left, right, strict=True)]
+        yield pd.DataFrame({"apart": [np.setxor1d(a, b, assume_unique=True) for a, b in pairs], "marks": [marks(a, b) for a, b in pairs]})
+
+
+def _in_order(p: Column, q: Column, n: Column, m: Column) -> Column:
+    """Whether two texts of n and m shingles can have the similarity SIMILAR by where they have their centre's marks.
+
+    What an alignment of that similarity matches is at places that differ by at most what it leaves unmatched of the longer
+    text. It matches 8 of 9 shingles, so of the marks that both have, which a hash chose, hardly ever fewer than IN_ORDER.
+    """
+    slack = F.greatest(n, m) - (n + m) * F.lit(SIMILAR / (1 + SIMILAR)) + 1
+    both = F.filter(F.zip_with(p, q, lambda a, b: F.when((a >= 0) & (b >= 0), F.abs(a - b))), lambda x: x.isNotNull())
+    return (F.size(both) < ENOUGH) | (F.size(F.filter(both, lambda x: x <= slack)) >= F.lit(IN_ORDER) * F.size(both))
 
 
 def keys(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> list[Column]:
@@ -196,22 +217,8 @@ def components(links: DataFrame) -> DataFrame:
         release(spread)
 
 
-def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """One row per row of docs: _id, _th, _node, class_id, links, kept.
-
-    Texts with equal words form one node. Nodes that agree in a sketch, or short ones in a key, share a bucket. In a bucket of at most SMALL
-    nodes each meets each; in a larger one every node meets the centre, the node that shares most buckets with others.
-    Then each node that is not yet in the centre's class meets those of the bucket that its differences from the centre
-    show to be possibly similar (see _remaining): every two similar nodes that share a bucket end in one class.
-    Candidates are verified by alignment and linked from SIMILAR on. Classes are the connected components, named after
-    their smallest identifier; links counts a row's verified links to other nodes, not its copies. Nodes of a large bucket
-    that are in one class already are not compared, so there links is a lower bound of the similar nodes.
-
-    Texts without words are only linked to equal texts; null counts as empty. A null identifier is the lowest. The row
-    with the smallest identifier of its class is kept, with its repetitions. Long texts are sketched and aligned whole, in
-    time that grows with their length. Ties between sketches or centres are broken by node, so reruns agree. An empty
-    table gives no rows. Only the text and the identifier are read, so other columns may have any names.
-    """
+def _met(docs: DataFrame, text: str, ident: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, nodes, shingles, met, links to centres): what classes() and links() both begin with."""
     bounded_batches(docs.sparkSession)
     hashed = _hashed(docs, text, ident)
     rows = materialise(hashed.select("_id", "_th", "_node", "n_words", _sketch("h").alias("sketch")), "near-rows")
@@ -220,33 +227,64 @@ def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataF
     live = _shared(nodes.where(F.size("sketch") > 0).select("_node", "n_words", F.explode("sketch").alias("bucket")))
     popular = materialise(live.groupBy("_node").agg(F.sum("size").alias("popular")), "near-popular")
     shingles = _shingle_table(docs, nodes, popular, text, ident)
-    small = live.where(F.col("size") <= SMALL).select("bucket", "_node", "n_words")
-    other = small.select("bucket", F.col("_node").alias("b"), F.col("n_words").alias("m"))
-    pairs = small.withColumnRenamed("_node", "a").join(other, "bucket").where((F.col("a") < F.col("b")) & _fits(F.col("n_words"), F.col("m"))).select("a", "b")
-    large = materialise(live.where(F.col("size") > SMALL).join(popular, "_node"), "near-large")
-    centres = materialise(large.groupBy("bucket").agg(F.max(F.struct("popular", "_node", "n_words")).alias("c"), F.count("*").alias("_n")), "near-centres")
-    met = join_groups(large.select("_node", "n_words", "bucket"), centres, "bucket", "_n").where("_node != c._node")
+    members = materialise(live.join(popular, "_node"), "near-shared")
+    centres = materialise(members.groupBy("bucket").agg(F.max(F.struct("popular", "_node", "n_words")).alias("c"), F.count("*").alias("_n")), "near-centres")
+    met = join_groups(members.select("_node", "n_words", "bucket"), centres, "bucket", "_n").where("_node != c._node")
     met = materialise(met.select("_node", "n_words", F.col("c._node").alias("to"), F.col("c.n_words").alias("m")).distinct(), "near-met")
     star = met.where(_fits(F.col("n_words"), F.col("m"))).select(F.least("_node", "to").alias("a"), F.greatest("_node", "to").alias("b"))
-    candidates = materialise(pairs.union(star).distinct(), "near-pairs")
-    release(live, popular, large, centres)
-    links = _verified(shingles, candidates)
-    first = components(links)
+    candidates = materialise(star.distinct(), "near-pairs")
+    release(live, popular, members, centres)
+    found = _verified(shingles, candidates)
+    release(candidates)
+    return rows, nodes, shingles, met, found
+
+
+def links(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """All pairs (a, b) of different texts, as the identifiers of one row that stands for each, that are similar and share a bucket.
+
+    Members of one class are compared too, by the same filter, so a family of n texts that are all similar gives all its
+    n (n - 1) / 2 pairs: as many rows as there are links. classes() needs only enough of them to connect each family.
+    """
+    rows, nodes, shingles, met, star = _met(docs, text, ident)
+    every = _remaining(shingles, met, star.limit(0).select(F.col("a").alias("_node"), F.col("b").alias("_root")))
+    more = _verified(shingles, every)
+    name = lambda side: nodes.select(F.col("_node").alias(side), F.col("rep._id").alias(f"{side}_id"))
+    out = materialise(star.union(more).distinct().join(name("a"), "a").join(name("b"), "b").select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), "near-all-links")
+    release(rows, nodes, shingles, met, star, every, more)
+    return out
+
+
+def classes(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """One row per row of docs: _id, _th, _node, class_id, kept.
+
+    Texts with equal words form one node. Nodes that agree in a sketch, or short ones in a key, share a bucket. In every
+    bucket, of whatever size, each node meets the centre, the node that shares most buckets with others. Then each node
+    that is not yet in the centre's class meets those of the bucket that its differences from the centre show to be
+    possibly similar (see _remaining): every two similar nodes that share a bucket end in one class. Candidates are
+    verified by alignment and linked from SIMILAR on. Classes are the connected components, named after their smallest
+    identifier. links() has all pairs.
+
+    Texts without words are only linked to equal texts; null counts as empty. A null identifier is the lowest. The row
+    with the smallest identifier of its class is kept, with its repetitions. Long texts are sketched and aligned whole, in
+    time that grows with their length. Ties between sketches or centres are broken by node, so reruns agree. An empty
+    table gives no rows. Only the text and the identifier are read, so other columns may have any names.
+    """
+    rows, nodes, shingles, met, star = _met(docs, text, ident)
+    first = components(star)
     remaining = _remaining(shingles, met, first)
     more = _verified(shingles, remaining)
-    found = materialise(links.union(more).distinct(), "near-found")
-    release(shingles, candidates, met, links, first, remaining, more)
+    found = materialise(star.union(more).distinct(), "near-found")
+    release(shingles, met, star, first, remaining, more)
 
-    degree = found.select(F.col("a").alias("_node")).union(found.select("b")).groupBy("_node").agg(F.count("*").alias("links"))
     roots = components(found)
-    named = nodes.select("_node", "rep", "copies").join(roots, "_node", "left").join(degree, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
+    named = nodes.select("_node", "rep", "copies").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
     named = materialise(named, "near-named")
     heads = named.groupBy("_root").agg(F.min(F.struct("rep", "_node")).alias("head"), F.count("*").alias("_n"))
-    named_classes = materialise(join_groups(named, heads, "_root", "_n").select("_node", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "head"), "near-classes")
+    named_classes = materialise(join_groups(named, heads, "_root", "_n").select("_node", "copies", "head"), "near-classes")
     release(nodes, found, roots, named)
     out = join_groups(rows.select("_id", "_th", "_node"), named_classes, "_node", "copies")
     kept = (F.col("_node") == F.col("head._node")) & (F.struct("_id", "_th") == F.col("head.rep"))
-    return out.select("_id", "_th", "_node", F.col("head.rep._id").alias("class_id"), "links", kept.alias("kept"))
+    return out.select("_id", "_th", "_node", F.col("head.rep._id").alias("class_id"), kept.alias("kept"))
 
 
 def _shingle_count(n: Column) -> Column:
@@ -259,19 +297,19 @@ def _fits(n: Column, m: Column, least: float = SIMILAR) -> Column:
 
 
 def _crowds(shingles: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
-    """The nodes that have met a centre of which some node is in another class: to (the centre), _node, _root, open (not in the centre's class), size, n_apart and apart (the shingles that tell it from the centre)."""
+    """The nodes that have met a centre of which some node is in another class: to (the centre), _node, _root, open (not in the centre's class), size, n_apart, apart (the shingles that tell it from the centre) and marks. A centre that only one node has met is left out."""
     known = met.select("_node", "to").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
     named = met.groupBy("to").agg(F.count("*").alias("_n")).join(roots.withColumnRenamed("_node", "to"), "to", "left").select("to", "_n", F.coalesce("_root", "to").alias("_centre"))
     named = materialise(named, "near-named-centres")
     known = materialise(join_groups(known, named, "to", "_n").select("to", "_node", "_root", (F.col("_root") != F.col("_centre")).alias("open")), "near-known")
-    sides = materialise(known.groupBy("to").agg(F.count("*").alias("_n"), F.count_if("open").alias("_open")).where("_open > 0"), "near-sides")
+    sides = materialise(known.groupBy("to").agg(F.count("*").alias("_n"), F.count_if("open").alias("_open")).where("_open > 0 and _n > 1"), "near-sides")
     rows = join_groups(known, sides.select("to", "_n"), "to", "_n").drop("_n")
     own = rows.join(shingles.hint("merge"), "_node")
     theirs = sides.select("to", "_n").join(shingles.select(F.col("_node").alias("to"), F.col("s").alias("c")).hint("merge"), "to")
     centres = materialise(theirs, "near-centre-shingles")
     both = join_groups(own, centres, "to", "_n", hot_share=0.005)
-    apart = both.select("to", "_node", "_root", "open", F.size("s").alias("size"), _differences("s", "c").alias("apart"))
-    out = materialise(apart.withColumn("n_apart", F.size("apart")), "near-apart")
+    apart = both.select("to", "_node", "_root", "open", F.size("s").alias("size"), _differences("s", "c").alias("d"))
+    out = materialise(apart.select("to", "_node", "_root", "open", "size", F.size("d.apart").alias("n_apart"), "d.apart", "d.marks"), "near-apart")
     release(named, known, sides, centres)
     return out
 
@@ -284,17 +322,18 @@ def _remaining(shingles: DataFrame, met: DataFrame, roots: DataFrame) -> DataFra
     d = DIFFER (n + m) members, so X and Y share at least t = (|X| + |Y| - d) / 2. If both are sorted alike, their first
     |X| - t + 1 and |Y| - t + 1 members then have one in common. The order puts what few nodes of the crowd have first, so
     that passages that many share make no pairs. If t is not positive, a stand-in that all have takes the place of the
-    common member. No pair of similar nodes is lost.
+    common member. No pair of similar nodes is lost. Of these pairs those go on whose order fits too (see _in_order): texts
+    of the same sentences in other orders have nearly the same shingles.
     """
     crowd = _crowds(shingles, met, roots)
-    members = crowd.select("to", "_node", "_root", "open", "size", "n_apart", F.explode("apart").alias("x"))
+    members = crowd.select("to", "_node", "_root", "open", "size", "n_apart", "marks", F.explode("apart").alias("x"))
     often = materialise(members.groupBy("to", "x").agg(F.count("*").alias("often")).where("often > 1"), "near-often")
     by_node = Window.partitionBy("to", "_node")
     ranked = members.join(often, ["to", "x"]).withColumns({"_n": F.count("*").over(by_node), "_at": F.row_number().over(by_node.orderBy("often", "x"))})
     ranked = ranked.withColumn("rank", F.col("n_apart") - F.col("_n") + F.col("_at"))  # members that no other node has come first
     longest = F.col("size") * (1 + 1 / SIMILAR) * DIFFER + 1e-6
-    columns = ["to", "x", "_node", "_root", "open", "size", "n_apart", "rank"]
-    stand_in = crowd.where(F.col("n_apart") <= longest).select("to", F.lit(None).cast("int").alias("x"), "_node", "_root", "open", "size", "n_apart", F.lit(0).cast("long").alias("rank"))
+    columns = ["to", "x", "_node", "_root", "open", "size", "n_apart", "marks", "rank"]
+    stand_in = crowd.where(F.col("n_apart") <= longest).select("to", F.lit(None).cast("int").alias("x"), "_node", "_root", "open", "size", "n_apart", "marks", F.lit(0).cast("long").alias("rank"))
     entries = materialise(ranked.where(F.col("rank") <= longest + 1).select(*columns).union(stand_in).withColumn("x", F.coalesce(F.col("x").cast("long"), F.lit(2**40))), "near-entries")
     sides = entries.groupBy("to", "x").agg(F.count("*").alias("_all"), F.count_if("open").alias("_open"), F.count_if(F.col("rank") <= longest / 2 + 1).alias("_short"), F.min("_root").alias("_lo"), F.max("_root").alias("_hi"))
     sides = sides.where("_open > 0 and _short > 0 and _lo != _hi").select("to", "x", F.ceil(F.col("_all") / SIDE).cast("int").alias("_all_sides"), F.ceil(F.col("_open") / SIDE).cast("int").alias("_open_sides"))
@@ -302,13 +341,13 @@ def _remaining(shingles: DataFrame, met: DataFrame, roots: DataFrame) -> DataFra
     rows = materialise(entries.join(postings, ["to", "x"]), "near-open")
     own = lambda n: F.pmod(F.xxhash64("_node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rows.where("open").select("to", "x", F.col("_node").alias("p"), F.col("_root").alias("rp"), F.col("size").alias("n"), F.col("n_apart").alias("np"), F.col("rank").alias("kp"), own("_open_sides").alias("i"), every("_all_sides").alias("j"))
-    right = rows.select("to", "x", F.col("_node").alias("q"), F.col("_root").alias("rq"), F.col("size").alias("m"), F.col("n_apart").alias("nq"), F.col("rank").alias("kq"), "open", own("_all_sides").alias("j"), every("_open_sides").alias("i"))
+    left = rows.where("open").select("to", "x", F.col("_node").alias("p"), F.col("_root").alias("rp"), F.col("size").alias("n"), F.col("n_apart").alias("np"), F.col("rank").alias("kp"), F.col("marks").alias("mp"), own("_open_sides").alias("i"), every("_all_sides").alias("j"))
+    right = rows.select("to", "x", F.col("_node").alias("q"), F.col("_root").alias("rq"), F.col("size").alias("m"), F.col("n_apart").alias("nq"), F.col("rank").alias("kq"), F.col("marks").alias("mq"), "open", own("_all_sides").alias("j"), every("_open_sides").alias("i"))
     d = (F.col("n") + F.col("m")) * DIFFER + 1e-6
     prefix = (F.col("kp") <= (F.col("np") - F.col("nq") + d) / 2 + 1) & (F.col("kq") <= (F.col("nq") - F.col("np") + d) / 2 + 1)
     near = F.when(F.col("x") == 2**40, F.col("np") + F.col("nq") <= d).otherwise(prefix)
     alike = F.least("n", "m") >= F.lit(SIMILAR - 1e-9) * F.greatest("n", "m")
-    pairs = left.join(right, ["to", "x", "i", "j"]).where((~F.col("open") | (F.col("p") < F.col("q"))) & (F.col("rp") != F.col("rq")) & alike & near)
+    pairs = left.join(right, ["to", "x", "i", "j"]).where((~F.col("open") | (F.col("p") < F.col("q"))) & (F.col("rp") != F.col("rq")) & alike & near & _in_order(F.col("mp"), F.col("mq"), F.col("n"), F.col("m")))
     out = materialise(pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct(), "near-remaining")
     release(crowd, often, entries, postings, rows)
     return out
@@ -353,4 +392,4 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near-duplicates of every document."""
     out = classes(documents(spark, sf_dir, "doc_id", "text"))
     lowest = lambda c: F.when(F.col(c) != F.lit(-(2**63)), F.col(c))
-    return out.select(lowest("_id").alias("doc_id"), lowest("class_id").alias("class_id"), "links", "kept")
+    return out.select(lowest("_id").alias("doc_id"), lowest("class_id").alias("class_id"), "kept")
