@@ -221,6 +221,31 @@ def test_planted_spans(spark):
     assert right >= 0.9 * len(real) and right >= 0.9 * claimed, (right, len(real), claimed, sorted(missed)[:8])
 
 
+def test_trees_refuse_look_alikes(spark):
+    """Order numbers in a form of their own pass Luhn one time in ten; the trees tell them from cards, the check alone does not."""
+    rng, texts, orders = random.Random(43), [], []
+    for i in range(600):
+        digits = "".join(rng.choice("0123456789") for _ in range(16))
+        groups = [digits[j : j + 4] for j in (0, 4, 8, 12)]
+        card = next("4" + digits[:14] + str(x) for x in range(10) if brute.luhn("4" + digits[:14] + str(x)))
+        texts += [f"order {'/'.join(groups)} of item {'abcdef'[i % 6]}", f"pay by card {'.'.join(card[j : j + 4] for j in (0, 4, 8, 12))} now, {'abcdef'[i % 6]}"]
+        orders += [len(texts) - 2] if brute.luhn(digits) else []
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = common.materialise(pii.candidates(df).drop("text"), "test-look-alikes")
+    trees = pii.fit(found)
+    added = lambda t: {r.doc_id for r in pii.detect(found, t).where(F.size("added") > 0).select("doc_id").collect()}
+    with_trees, without = added(trees), added(pii.Trees(0.0, [], [0.0] * 5))
+    assert len(orders) > 30 and set(orders) <= without and not set(orders) & with_trees
+    assert len(with_trees) > 0.95 * 600 and all(d % 2 for d in with_trees)
+
+
+@pytest.mark.parametrize("n", [20, 200, 201, 5000])
+def test_tokens_of_any_length(spark, n):
+    token = ("a1B2" * n)[:n]
+    row = pii.candidates(spark.createDataFrame([(f"key {token} end",)], "text string")).first()
+    assert [(c.name, c.start, c.end) for c in row.wide] == [("secret", 4, 4 + n)]
+
+
 def test_spans_of_documents(spark, sf_dir):
     """All spans of the table against a plain version with the same trees."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

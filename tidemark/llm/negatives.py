@@ -231,8 +231,8 @@ def mine(rows: DataFrame, ident: str = "vec_id", label: str = "label", vector: s
 
     Rows with a null identifier, label or vector, or with a null or non-finite component, take no part. Of rows with one
     identifier the one with the least label and vector counts, so repeated rows change nothing. A vector that is shorter
-    than another counts as filled with 0. Scores that doubles can't hold exactly are added up as Python's integers and end
-    at the limits of a long. An empty table, an anchor without other rows of its label and a window without rows give no
+    than another counts as filled with 0. Scores that doubles can't hold exactly are added up as Python's integers; one beyond
+    a long, from components beyond about a million, ends at its limits, and so does its window. An empty table, an anchor without other rows of its label and a window without rows give no
     rows. Only the three columns are read, so others may have any names.
     """
     spark = rows.sparkSession

@@ -27,7 +27,7 @@ WIDE = {
     "ip": r"(?<![0-9.])[0-9]{1,4}+(?:(?:\.|\[\.\]|\x20\.\x20)[0-9]{1,4}+){3}+",
     "card": r"(?<![0-9])[0-9](?:[\x20._/-]?[0-9]){11,22}+",
     "phone": r"(?<![0-9A-Za-z+])(?:\+|00)?\(?[0-9]{1,4}+\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}+\)?){1,5}+(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,200}+(?![A-Za-z0-9_+/=-])",
+    "secret": r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,}+",
 }
 #: What a text must contain for a generator or base rule to match anything in it.
 HINTS = {"email": r"[@\]\)]", "ip": r"[0-9](?:\[|\x20)?\.", "card": r"[0-9](?:[\x20._/-]?[0-9]){11}", "phone": r"[0-9][\x20()./-]{1,4}[0-9]|\+[0-9]", "secret": r"[A-Za-z0-9_+/=-]{20}"}
