@@ -37,8 +37,8 @@ CONTEXT = {"email": r"mail|e-post|courriel|correo|contact", "ip": r"\bip\b|host|
 CALLING_CODES = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|21|22|23|24|25|26|29|35|37|38|42|50|59|67|68|69|80|85|87|88|96|97|99)"
 #: Boosting: trees, their depth, the step.
 TREES, DEPTH, STEP = 24, 2, 0.4
-#: A kind's threshold is the least score from which this share of the proposals that pass the kind's check is real.
-PRECISION = 0.9
+#: A kind's threshold is the least score from which this share of the proposals that pass the kind's check is real, and in each band of scores most are.
+PRECISION, LIKELY = 0.9, 0.5
 #: How many of the look-alikes of a kind pass its check by chance (one digit in ten makes a number pass Luhn).
 CHANCE = {"email": 0.5, "ip": 0.3, "card": 0.1, "phone": 0.5, "secret": 0.05}
 #: One document in so many calibrates the thresholds; the others grow the trees.
@@ -257,12 +257,34 @@ class Trees:
         return c["passes"] & (self.score(c) >= F.element_at(F.lit([float(x) for x in self.thresholds]), c["kind"] + 1))
 
 
+def _threshold(scores: np.ndarray, right: np.ndarray, n: np.ndarray, chance: float) -> float:
+    """The least score with PRECISION among all proposals from it on, and LIKELY in each band of scores; 2 without one.
+
+    Bands are those of isotonic regression: scores are pooled until the share that passes falls from band to band. They are
+    judged apart too, so that many real ones with high scores don't carry along those that pass by chance.
+    """
+    bands: list[list[float]] = []  # passed, all, least score
+    for score, p, t in zip(scores, right, n, strict=True):
+        bands.append([float(p), float(t), float(score)])
+        while len(bands) > 1 and (bands[-2][2] == bands[-1][2] or bands[-1][0] * bands[-2][1] >= bands[-2][0] * bands[-1][1]):
+            p2, t2, low = bands.pop()
+            bands[-1] = [bands[-1][0] + p2, bands[-1][1] + t2, low]
+    found, passed, total = 2.0, 0.0, 0.0
+    precise = lambda p, t, least: p > 0 and p - chance * t >= least * p * (1 - chance)
+    for p, t, low in bands:
+        passed, total = passed + p, total + t
+        if not precise(p, t, LIKELY):
+            break
+        found = low - 1e-9 if precise(passed, total, PRECISION) else found
+    return found
+
+
 def grow(table: list[tuple]) -> Trees:
     """Trees from rows of feature values, calibrates, how many pass and how many there are: one row per distinct combination.
 
     Gradient boosting with logistic loss; a leaf's value is a damped Newton step. With p of the calibrating proposals
     from a score on passing, c of which do so by chance among those that are not real, (p - c) / (p (1 - c)) of those that
-    pass are real. A kind's threshold is the least score with PRECISION. A kind without calibrating proposals is not added.
+    pass are real. _threshold sets a kind's. A kind without calibrating proposals is not added.
     """
     names = list(FEATURES)
     x = np.array([r[: len(names)] for r in table], dtype=int).reshape(len(table), len(names))
@@ -299,11 +321,7 @@ def grow(table: list[tuple]) -> Trees:
     for k, name in enumerate(PROPOSED):
         mine = held & (x[:, 0] == k)
         order = np.argsort(-p[mine], kind="stable")
-        scores, right, total = p[mine][order], np.cumsum(pos[mine][order]), np.cumsum(n[mine][order])
-        last = np.append(scores[1:] < scores[:-1], True) if len(scores) else np.array([], dtype=bool)
-        share = (right - CHANCE[name] * total) / np.maximum(right * (1 - CHANCE[name]), 1e-9)
-        good = np.flatnonzero(last & (share >= PRECISION)) if len(scores) else []
-        thresholds.append(float(scores[good[-1]]) - 1e-9 if len(good) else 2.0)
+        thresholds.append(_threshold(p[mine][order], pos[mine][order], n[mine][order], CHANCE[name]))
     return Trees(prior, trees, thresholds)
 
 
