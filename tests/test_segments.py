@@ -167,3 +167,19 @@ def test_a_long_gap_is_one_row(spark):
     rows = minute_bars(spark, 1000)
     inside = coverage.inside_any(rows, gap)
     assert inside.count() == 1000 and "Generate explode" not in inside._jdf.queryExecution().executedPlan().toString()
+
+
+def test_digest_of_timestamps_in_order(spark):
+    """Against the digest of one text; repeated and missing times, null series, and a long series in small batches."""
+    import hashlib
+
+    rows = [("A", at(d), i, 0.0) for i, d in enumerate((3, 1, 1, 40, 2))] + [("A", None, 9, 0.0), (None, at(5), 10, 0.0), ("B", None, 11, 0.0)]
+    got = {r.symbol: r for r in coverage.coverage_observation(spark.createDataFrame(rows, SERIES), "2024-01-03", "2024-01-31").collect()}
+    digest = lambda *days: hashlib.sha256("\n".join(at(d).isoformat(timespec="microseconds") for d in days).encode()).hexdigest()
+    assert tuple(got["A"])[1:] == (6, 5, 1, 3, at(1), at(40), digest(1, 1, 2, 3, 40))
+    assert got[None].sha256 == digest(5) and tuple(got["B"])[1:] == (1, 1, 0, 0, None, None, digest())
+    assert coverage.coverage_observation(spark.createDataFrame([], SERIES), "2024-01-03", "2024-01-31").count() == 0
+    n = 300_000
+    long = coverage.coverage_observation(minute_bars(spark, n), "2000-01-01", "2000-01-02").first()
+    whole = hashlib.sha256("\n".join((datetime(2000, 1, 1) + timedelta(minutes=k)).isoformat(timespec="microseconds") for k in range(n)).encode()).hexdigest()
+    assert (long.rows, long.outside_window, long.sha256) == (n, n - 1440, whole)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.segments import carried, reach, stacked
 from tidemark.schemas import minutes
@@ -89,15 +93,51 @@ def group_by_gap_pattern(symbols: DataFrame, gaps: DataFrame) -> DataFrame:
 def coverage_observation(bars: DataFrame, start: str, end: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """What timestamps alone say, no prices: rows, unique, duplicates, outside the window, first, last and a SHA-256 of them.
 
-    The digest is that of all timestamps of a series in one text, 27 bytes each, so a series must have fewer than about 70
-    million rows. Series are independent.
+    The digest is that of a series' timestamps in order, a line each, repeated ones too. The rows of a series, sorted by
+    Spark, run through one digest, so that a worker holds a batch and a state of fixed size, whatever the series' length. A
+    digest has an order, so a series is one task; different series are independent. A row without a time has no line.
     """
-    lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     stamp = F.date_format(F.col("timestamp").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    per = bars.groupBy(*keys, F.col("timestamp").cast("timestamp").alias("timestamp")).agg(F.count("*").alias("n"))
-    lines = F.array_join(F.flatten(F.sort_array(F.collect_list(F.struct("timestamp", F.array_repeat(stamp, F.col("n").cast("int")).alias("s"))))["s"]), "\n")
-    outside = F.sum(F.when((F.col("timestamp") < lo) | (F.col("timestamp") >= hi), F.col("n")).otherwise(0))
-    return per.groupBy(*keys).agg(F.sum("n").alias("rows"), F.count("*").alias("unique_rows"), (F.sum("n") - F.count("*")).alias("duplicate_rows"), outside.alias("outside_window"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), F.sha2(lines.cast("binary"), 256).alias("sha256"))
+    per = bars.groupBy(*keys, F.unix_micros(F.col("timestamp").cast("timestamp")).alias("_us"), stamp.alias("_stamp")).agg(F.count("*").alias("_n"))
+    lo, hi = (per.sparkSession.range(1).select(F.unix_micros(F.lit(x).cast("timestamp"))).first()[0] for x in (start, end))
+    ordered = per.repartition(*keys).sortWithinPartitions(*keys, "_us")
+    n_keys = len(keys)
+
+    def observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: list | None = None  # the series, its digest, and rows, unique, outside, first, last
+        done: list[tuple] = []
+
+        def close() -> None:
+            if state is not None:
+                series, digest, rows, unique, outside, first, last = state
+                done.append((*series, rows, unique, rows - unique, outside, first, last, digest.hexdigest()))
+
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for row in zip(*columns, strict=True):
+                series, (us, line, n) = row[:n_keys], row[n_keys:]
+                if state is None or state[0] != series:
+                    close()
+                    state = [series, hashlib.sha256(), 0, 0, 0, None, None]
+                if us is not None:
+                    text = "\n".join([line] * n)
+                    state[1].update((text if state[5] is None else "\n" + text).encode())
+                    state[5], state[6] = (us if state[5] is None else state[5]), us
+                    state[4] += 0 if lo <= us < hi else n
+                state[2], state[3] = state[2] + n, state[3] + 1
+            if len(done) >= 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done, strict=True), kinds, strict=True)], names)
+                done.clear()
+        close()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done, strict=True), kinds, strict=True)], names)
+
+    longs = ["rows", "unique_rows", "duplicate_rows", "outside_window", "_first", "_last"]
+    result = T.StructType([*[per.schema[k] for k in keys], *[T.StructField(c, T.LongType()) for c in longs], T.StructField("sha256", T.StringType())])
+    arrow = to_arrow_schema(result)
+    names, kinds = arrow.names, arrow.types
+    out = ordered.mapInArrow(observe, result)
+    return out.select(*keys, *longs[:4], F.timestamp_micros("_first").alias("first"), F.timestamp_micros("_last").alias("last"), "sha256")
 
 
 def inside_any(rows: DataFrame, ranges: DataFrame, start: str = "gap_start", end: str = "gap_end", keys: Sequence[str] = KEYS, at: str = "timestamp") -> DataFrame:
