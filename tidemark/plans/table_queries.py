@@ -145,8 +145,20 @@ QUERIES = {
     "j6_asset_rules": lambda s, d: governance.asset_class_rules(vendor_queries._requests(s, d)).select("request_id", "rule"),
 }
 
-_HOLIDAYS = "', date '".join(sorted(str(x) for y in range(1995, 2002) for x in calendar.holidays(y)))
-_EARLY = "', date '".join(sorted(str(x) for y in range(1995, 2002) for x in calendar.early_closes(y)))
+# Closed days of 1995 to 2001 without a rule by month and weekday: Good Fridays, and four days of September 2001.
+_OTHER_CLOSED = "date '1995-04-14', date '1996-04-05', date '1997-03-28', date '1998-04-10', date '1999-04-02', date '2000-04-21', date '2001-04-13', date '2001-09-11', date '2001-09-12', date '2001-09-13', date '2001-09-14'"
+
+
+def _closed(d):
+    """The exchange's holidays as rules on a date, stated apart from the operator that the SQL checks."""
+    on = lambda m, day: f"(month({d}) = {m} and (day({d}) = {day} or day({d}) = {day + 1} and isodow({d}) = 1 or {'true' if m > 1 else 'false'} and day({d}) = {day - 1} and isodow({d}) = 5))"
+    nth = lambda m, weekday, first: f"(month({d}) = {m} and isodow({d}) = {weekday} and day({d}) between {first} and {first + 6})"
+    return "(" + " or ".join([on(1, 1), nth(1, 1, 15), nth(2, 1, 15), nth(5, 1, 25), on(7, 4), nth(9, 1, 1), nth(11, 4, 22), on(12, 25), f"{d} in ({_OTHER_CLOSED})"]) + ")"
+
+
+def _early(d):
+    """Days that close at 13:00: after Thanksgiving, and Monday to Thursday before the Fourth of July and Christmas."""
+    return f"(month({d}) = 11 and isodow({d}) = 5 and day({d}) between 23 and 29 or isodow({d}) < 5 and (month({d}) = 7 and day({d}) = 3 or month({d}) = 12 and day({d}) = 24))"
 _DAYS = lambda c: f"date_diff('day', date '1970-01-01', {c})::int"
 ORACLE_SQL = {
     "b11_fx_session_date": f"select event_id, {_DAYS('(' + vendor_queries._LONDON + ')::date')} as day from events",
@@ -166,8 +178,8 @@ ORACLE_SQL = {
     "b4_metadata": "select event_id, 'EUR_USD' as symbol, 'vendor' as provider, 'forex' as asset_class from events",
     "f3_last_n": "select o_custkey, o_orderkey from orders qualify row_number() over (partition by o_custkey order by o_orderkey desc) <= 3",
     "f5_dedup_actions": "with a as (select distinct o_custkey::varchar as accession, case when o_orderkey % 4 <> 0 then strftime(o_orderdate, '%Y-%m-%d') end as ex_date, (o_orderkey % 3)::varchar as cash_amount from orders) select * from a where ex_date is not null or not exists (select 1 from a b where b.accession = a.accession and b.cash_amount = a.cash_amount and b.ex_date is not null)",
-    "h0_sessions": f"select distinct {_DAYS('o_orderdate::date')} as day, case when o_orderdate::date in (date '{_EARLY}') then 210 else 390 end::int as minutes, 9::int as open_hour from orders where isodow(o_orderdate) < 6 and o_orderdate::date not in (date '{_HOLIDAYS}')",
-    "h6_settlement_dates": f"with s as (select d::date as day from (select unnest(generate_series(timestamp '1996-01-01', timestamp '1999-12-31', interval 1 day)) as d) where isodow(d) < 6 and d::date not in (date '{_HOLIDAYS}')), m as (select max(day) filter (day(day) <= 15) as a, max(day) as b from s group by year(day), month(day)), x as (select a as day from m union select b from m) select {_DAYS('x.day')} as day, count(*) as n from orders join x on o_orderdate::date = x.day group by x.day",
+    "h0_sessions": f"select distinct {_DAYS('o_orderdate::date')} as day, case when {_early('o_orderdate::date')} then 210 else 390 end::int as minutes, 9::int as open_hour from orders where isodow(o_orderdate) < 6 and not {_closed('o_orderdate::date')}",
+    "h6_settlement_dates": f"with s as (select d::date as day from (select unnest(generate_series(timestamp '1996-01-01', timestamp '1999-12-31', interval 1 day)) as d) where isodow(d) < 6 and not {_closed('d::date')}), m as (select max(day) filter (day(day) <= 15) as a, max(day) as b from s group by year(day), month(day)), x as (select a as day from m union select b from m) select {_DAYS('x.day')} as day, count(*) as n from orders join x on o_orderdate::date = x.day group by x.day",
     "i10_match_basis": "select o_orderkey, case when o_orderkey % 2 = 0 and o_orderdate::date + 10 between date '1997-01-01' and date '1997-03-31' then 'ex_date' when o_orderdate::date + 20 between date '1997-01-01' and date '1997-03-31' then 'record_date' when o_orderdate::date + 40 between date '1997-01-01' and date '1997-03-31' then 'payment_date' when o_orderdate::date between date '1997-01-01' and date '1997-03-31' then 'filing_date' end as match_basis from orders",
     "j1_route_dataset": f"with {vendor_queries._REQ} select k as request_id, ds as dataset from routed",
     "j4_usage_log": f"with {vendor_queries._REQ} select sess as session_id, 'intraday_campaign_v1.3' as ledger_version, ds as dataset, strftime(st, '%Y-%m-%d') as start, strftime(en, '%Y-%m-%d') as \"end\", pu as purpose, arm as arm_id, fin as final_portfolio_review from dec where reason = 'allowed' and ds is not null and pu is not null",
