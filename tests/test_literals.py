@@ -274,6 +274,42 @@ def test_text_of_html(spark):
         spark.createDataFrame([("<![weird[x]]>",)], "t string").select(filings.html_to_text(F.col("t"))).collect()
 
 
+def test_markup_is_read_token_by_token(spark):
+    """1,000 random documents against the standard library's parser, and long tags, which must need no stack."""
+    import random
+    from html.parser import HTMLParser
+
+    class Parser(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.parts = []
+
+        def handle_data(self, data):
+            self.parts.append(data)
+
+    pieces = ["one ", "two", " & ", "&amp;", "&lt;p&gt;", "<p>", "</p>", "<br/>", "<p title='a>b'>", '<a href="x>y" class=z>', "<p title=it's>", "<a b = 'c' d>", "<!-- c <p> ' -->", "<!-- <script> -->", "<!DOCTYPE html>", "<?pi x?>", "1 < 2 ", "<script>if (a<b) x('<p>&amp;');</script>", "<script><!-- kept --></script>", "<style media='x>y'>p{} <!-- k --></style>", "<script src='a>b'></script>", "<script/>", '<td data-x="<b>">', "<![CDATA[ no ]]>", "<![if x]>", "<![endif]>"]
+    draw = random.Random(7)
+    cases = ["".join(draw.choice(pieces) for _ in range(draw.randint(1, 14))) for _ in range(1000)]
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, t string").select("i", filings.html_to_text(F.col("t")).alias("x"))
+    for r in rows.collect():
+        parser = Parser()
+        parser.feed(cases[r.i])
+        parser.close()
+        assert r.x == " ".join(" ".join(parser.parts).split()), cases[r.i]
+    long = [f"a<p {'k=v ' * 200_000}>b", f"a<p t='{'>' * 500_000}'>b", f"a<!--{'- ' * 300_000}-->b", f"<script>{'x<' * 300_000}</script>", "a<!-- never ended", "a<p never ended", None]
+    got = [r.x for r in spark.createDataFrame(list(enumerate(long)), "i int, t string").select("i", filings.html_to_text(F.col("t")).alias("x")).orderBy("i").collect()]
+    assert got == ["a b", "a b", "a b", "x<" * 300_000, "a", "a", None]
+
+
+def test_texts_are_read_once(spark):
+    """Plans of corporate actions hold each costly expression once; texts with the marks inside, empty and null ones give what they announce."""
+    docs = [("a", "8-K", None, 0, "<p>A TWENTY - for - 3 reverse stock split</p>"), ("b", "8-K", "x", 1, "\uFDD0\uFDD1cash dividend of $2 per share"), ("c", "8-K", "x", 0, ""), ("d", "8-K", "x", 0, None), ("e", "8-K", "x", 0, "a split was discussed")]
+    out = filings.corporate_actions(spark.createDataFrame(docs, "accession string, document_type string, filename string, document_no int, document string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<!--") == 1 and plan.count("ex[-\\s]?dividend date") == 1
+    assert sorted((r.accession, r.corporate_action_type, r.split_ratio_to, r.split_ratio_from, r.cash_amount) for r in out.collect()) == [("a", "stock_split", 20, 3, None), ("b", "cash_dividend", None, None, "2")]
+
+
 def test_record_dates_lie_behind_their_words(spark):
     """The first date that lies wholly in the 240 characters behind a mention, of the first mention that has one."""
     far, date_ = "x " * 118, "May 3, 2021"
