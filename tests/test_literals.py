@@ -226,6 +226,28 @@ def test_fundamentals_choose_the_tag_that_reaches_furthest(spark):
     assert fundamentals.build_snapshot(facts, "2021-12-31").first().revenue == 1.0
 
 
+def test_snapshots_of_many_dates_are_those_of_each(spark):
+    """24 dates in one pass against 24 single ones, with restatements, facts filed on one day and a count filed before its period ends."""
+    import random
+
+    draw, rows = random.Random(3), []
+    for pos in range(400):
+        year = draw.randint(2010, 2014)
+        filed = date(year + draw.randint(0, 2), draw.randint(1, 12), draw.choice([1, 1, 15]))
+        rows.append((draw.choice("abc"), draw.choice(["Revenues", "SalesRevenueNet", "InventoryNet"]), "USD", pos, date(year, 1, 1) if draw.random() < 0.9 else None, date(year, 12, 31), float(draw.randint(-3, 9)), filed, draw.choice(["10-K", "10-K/A", "10-Q"]), draw.choice(["FY", "FY", "Q1"]), f"n{pos:03}"))
+    facts = spark.createDataFrame(rows, "cik string, tag string, unit string, pos int, start date, end date, val double, filed date, form string, fp string, accn string").cache()
+    asked = [f"{y}-{m:02}-01" for y in range(2010, 2017) for m in (1, 4, 7, 11)][:24]
+    one = ["fiscal_year_end", "filed", "revenue", "inventory"]
+    key = lambda t: tuple((x is None, x) for x in t)
+    single = [(d, r.cik, *[r[c] for c in one]) for d in asked for r in fundamentals.build_snapshot(facts, d, 3).collect()]
+    got = [(str(r.as_of), r.cik, *[r[c] for c in one]) for r in fundamentals.build_snapshots(facts, [*asked, asked[5]], 3).collect()]
+    assert sorted(got, key=key) == sorted(single, key=key) and len(got) > 50
+    single = [(d, r.cik, r.filed, r.end, r.accn, r.val, r.form) for d in asked for r in fundamentals.pit_common_shares(facts, d).collect()]
+    got = [(str(r.cutoff), r.cik, r.filed, r.end, r.accn, r.val, r.form) for r in fundamentals.common_shares_at(facts, asked).collect()]
+    assert sorted(got) == sorted(single) and len(got) > 40
+    assert fundamentals.build_snapshots(facts, []).count() == fundamentals.common_shares_at(facts, []).count() == fundamentals.build_snapshots(facts.limit(0), asked).count() == 0
+
+
 def test_reads_are_decided(spark):
     row = lambda purpose, a, b, final=False: (1, "oanda", "EUR_USD", None, "1d", "bars", a, b, purpose, "arm", final, "s", at(2025, 1, 1))
     asked = [row("discovery", date(2020, 1, 1), date(2024, 12, 31)), row("discovery", date(2019, 1, 1), date(2020, 1, 1)), row("discovery", date(2020, 1, 1), date(2026, 1, 1)), row("discovery", date(2026, 1, 1), date(2026, 2, 1), True), row("dev_smoke", date(2026, 1, 1), date(2026, 2, 1))]

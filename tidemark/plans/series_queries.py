@@ -112,6 +112,20 @@ def e14(spark, d):
     return out.select("cik", F.col("fiscal_year").alias("fiscal_year"), _DAY("filed", "filed_day"), *[F.round(c, 2).alias(c) for c in ("revenue", "operating_income", "cfo", "capex", "interest_expense", "sbc", "inventory")])
 
 
+#: Dates on, between and long after the days on which facts are filed.
+AS_OF_DATES = [f"{y}-{day}" for y in range(1993, 2001) for day in ("03-01", "03-02", "06-30")]
+
+
+def e14_dates(spark, d):
+    out = fundamentals.build_snapshots(views.facts(spark, d), AS_OF_DATES)
+    return out.select(_DAY("as_of", "as_of_day"), "cik", "fiscal_year", _DAY("filed", "filed_day"), *[F.round(c, 2).alias(c) for c in ("revenue", "operating_income", "cfo", "capex", "interest_expense", "sbc", "inventory")])
+
+
+def d24_dates(spark, d):
+    f = views.facts(spark, d).withColumn("accn", F.lpad(F.col("pos").cast("string"), 10, "0"))
+    return fundamentals.common_shares_at(f, AS_OF_DATES).select(_DAY("cutoff", "cutoff_day"), "cik", _DAY("filed", "filed_day"), "accn", "val", "form")
+
+
 def b19(spark, d):
     return _snapshot(spark, d).select("cik", "fiscal_year", F.round("fcf", 2).alias("fcf"), F.round("interest_coverage", 6).alias("interest_coverage"), F.round("sbc_to_fcf", 6).alias("sbc_to_fcf"), "ebitda", "total_debt", "net_debt")
 
@@ -157,7 +171,7 @@ QUERIES = {
     "b12_removal_reason": b12,
     "e12_annual_facts": lambda s, d: fundamentals.annual_facts(views.facts(s, d), AS_OF).select("cik", "tag", _DAY("end", "end_day"), _DAY("filed", "filed_day"), "val"),
     "e13_resolve_concepts": lambda s, d: fundamentals.resolve_concepts(fundamentals.annual_facts(views.facts(s, d), AS_OF)).select("cik", "concept", "tag", _DAY("end", "end_day"), "val"),
-    "e14_snapshot": e14, "b19_metrics": b19, "b20_missing": b20, "e15_share_growth": e15, "e16_inventory_vs_sales": e16, "d24_common_shares": d24,
+    "e14_snapshot": e14, "b19_metrics": b19, "b20_missing": b20, "e15_share_growth": e15, "e16_inventory_vs_sales": e16, "d24_common_shares": d24, "e14_snapshots_by_date": e14_dates, "d24_common_shares_by_date": d24_dates,
     "d23_fcf_positive": lambda s, d: fundamentals.fcf_positive_count(_snapshot(s, d)),
 }
 
@@ -176,6 +190,11 @@ _RESOLVED = _ANNUAL + ", concepts(concept, tag, prio) as (values " + ", ".join(f
 reach as (select a.*, concept, prio, max("end") over (partition by cik, concept, a.tag) as reach from annual a join concepts using (tag)),
 resolved as (select * from reach qualify prio = first_value(prio) over (partition by cik, concept order by reach desc, prio))"""
 _SNAP = _RESOLVED + ", snap as (select cik, \"end\", year(\"end\")::int as fiscal_year, max(filed) as filed, " + ", ".join(f"max(val) filter (concept = '{c}') as {c}" for c in fundamentals.CONCEPTS) + " from resolved group by cik, \"end\" qualify row_number() over (partition by cik order by \"end\" desc) <= 6), metrics as (select *, cfo - capex as fcf from snap)"
+_ASKED = "asked(as_of) as (values " + ", ".join(f"(date '{d}')" for d in AS_OF_DATES) + ")"
+_BY_DATE = f"""with {FACTS_SQL}, {_ASKED}, annual as (select * from facts cross join asked where val is not null and filed <= as_of and "end" - start between 330 and 400 qualify row_number() over (partition by as_of, cik, tag, "end" order by filed desc, pos) = 1), concepts(concept, tag, prio) as (values """ + ", ".join(f"('{c}', '{t}', {i})" for c, t, i in _CONCEPT if c != "diluted_shares") + """),
+reach as (select a.*, concept, prio, max("end") over (partition by as_of, cik, concept, a.tag) as reach from annual a join concepts using (tag)),
+resolved as (select * from reach qualify prio = first_value(prio) over (partition by as_of, cik, concept order by reach desc, prio)),
+snap as (select as_of, cik, year("end")::int as fiscal_year, max(filed) as filed, """ + ", ".join(f"max(val) filter (concept = '{c}') as {c}" for c in fundamentals.CONCEPTS) + """ from resolved group by as_of, cik, "end" qualify row_number() over (partition by as_of, cik order by "end" desc) <= 6)"""
 ORACLE_SQL = {
     "e8_merge_ranges": f"""with {COVERAGE_SQL}, m as (select *, case when start_ts > max(end_ts) over (partition by symbol order by start_ts, end_ts rows between unbounded preceding and 1 preceding) then 1 when row_number() over (partition by symbol order by start_ts, end_ts) = 1 then 1 else 0 end as new from coverage),
       i as (select *, sum(new) over (partition by symbol order by start_ts, end_ts rows between unbounded preceding and current row) as island from m)
@@ -219,4 +238,6 @@ ORACLE_SQL = {
     "e16_inventory_vs_sales": f"{_SNAP}, r as (select *, row_number() over (partition by cik order by \"end\" desc) as k from snap), p as (select cik, max(inventory) filter (k = 1) as i1, max(inventory) filter (k = 2) as i0, max(revenue) filter (k = 1) as r1, max(revenue) filter (k = 2) as r0 from r where k <= 2 group by cik) select cik, round(case when i0 > 0 and r0 > 0 then (i1 / i0 - 1) - (r1 / r0 - 1) end, 6) as inventory_vs_sales from p",
     "d23_fcf_positive": f"{_SNAP}, r as (select *, row_number() over (partition by cik order by \"end\" desc) as k from metrics) select cik, count(*) filter (fcf > 0) as positive, count(fcf) as computable from r where k <= 5 group by cik",
     "d24_common_shares": f"with {FACTS_SQL}, k as (select *, lpad(pos::varchar, 10, '0') as accn from facts where val > 0 and filed <= date '{AS_OF}' and \"end\" <= date '{AS_OF}') select cik, {_DAYS('filed', 'filed_day')}, accn, val, form from k qualify row_number() over (partition by cik order by filed desc, \"end\" desc, accn desc) = 1",
+    "e14_snapshots_by_date": f"{_BY_DATE} select {_DAYS('as_of', 'as_of_day')}, cik, fiscal_year, {_DAYS('filed', 'filed_day')}, round(revenue, 2) as revenue, round(operating_income, 2) as operating_income, round(cfo, 2) as cfo, round(capex, 2) as capex, round(interest_expense, 2) as interest_expense, round(sbc, 2) as sbc, round(inventory, 2) as inventory from snap",
+    "d24_common_shares_by_date": f"with {FACTS_SQL}, {_ASKED}, k as (select *, lpad(pos::varchar, 10, '0') as accn from facts cross join asked where val > 0 and filed <= as_of and \"end\" <= as_of) select {_DAYS('as_of', 'cutoff_day')}, cik, {_DAYS('filed', 'filed_day')}, accn, val, form from k qualify row_number() over (partition by as_of, cik order by filed desc, \"end\" desc, accn desc) = 1",
 }
