@@ -74,7 +74,7 @@ def d8(spark, d):
 
 def d9(spark, d):
     out = quality.audit(views.bars_1m(spark, d), "1m")
-    return out.select("symbol", "bars", F.col("nulls").cast("long").alias("nulls"), "dups", "gap_count", F.unix_micros(F.element_at("first_gaps", 1)["timestamp"]).alias("first_gap_us"), F.size("first_gaps").alias("n_first"))
+    return out.select("symbol", "bars", F.col("nulls").cast("long").alias("nulls"), "dups", "gap_count", F.unix_micros(F.get("first_gaps", 0)["timestamp"]).alias("first_gap_us"), F.size("first_gaps").alias("n_first"))
 
 
 
