@@ -23,10 +23,10 @@ def _bucket(symbol: Column) -> Column:
     return F.pmod(F.xxhash64(symbol), F.lit(BUCKETS)).cast("int")
 
 
-def bar_table(spark: SparkSession, path: str) -> DataFrame:
-    """All bars of a table. Its schema is declared: folder names are not guessed at, as `1d` would become a number."""
+def bar_table(spark: SparkSession, path: str, ids: Sequence[str] = ()) -> DataFrame:
+    """All bars of a table, with the identifiers of ticks that it was written with. Its schema is declared: folder names are not guessed at, as `1d` would become a number."""
     kinds = {"bucket": T.IntegerType()} | dict.fromkeys([*SERIES, "period"], T.StringType())
-    return spark.read.schema(T.StructType([T.StructField("symbol", T.StringType()), *BARS, *[T.StructField(c, kinds[c]) for c in PARTS]])).parquet(path)
+    return spark.read.schema(T.StructType([T.StructField("symbol", T.StringType()), *BARS, *[T.StructField(c, T.LongType()) for c in ids], *[T.StructField(c, kinds[c]) for c in PARTS]])).parquet(path)
 
 
 def read_bars(spark: SparkSession, path: str, provider: str, symbol: str, timeframe: str, start: str | None = None, end: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
@@ -96,12 +96,13 @@ def valid_series(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     return bars.join(bad, SERIES, "left_anti"), validate_ohlc(bars.join(bad, SERIES, "left_semi"), SERIES)
 
 
-def write_bars(bars: DataFrame, path: str, staging: str, mode: str = "append") -> DataFrame:
+def write_bars(bars: DataFrame, path: str, staging: str, mode: str = "append", ids: Sequence[str] = ()) -> DataFrame:
     """Write valid series, in the types of bars, and return the reports of those refused.
 
     append merges with what is there in the folders that the new rows touch: of rows with one series and timestamp the
     last ingested stays (ingest_seq, stored rows first). overwrite replaces the series, all their bars; other series in
-    their folders are written again. An interrupted call can be repeated with the same staging.
+    their folders are written again. An interrupted call can be repeated with the same staging. ids are whole numbers that
+    tell ticks of one series and timestamp apart; a table always has the same.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"append or overwrite, not {mode}")
@@ -110,18 +111,18 @@ def write_bars(bars: DataFrame, path: str, staging: str, mode: str = "append") -
     seq = F.col("ingest_seq") if "ingest_seq" in bars.columns else F.lit(0)
 
     def merged() -> tuple[DataFrame, DataFrame]:
-        _placed(good.select(*SERIES, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BARS], (seq + 1).cast("long").alias("_seq"))).write.mode("overwrite").parquet(f"{staging}/new")
+        _placed(good.select(*SERIES, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BARS], *[F.col(c).cast("long").alias(c) for c in ids], (seq + 1).cast("long").alias("_seq"))).write.mode("overwrite").parquet(f"{staging}/new")
         new = spark.read.parquet(f"{staging}/new")
         folders = new.select(*PARTS).distinct()
         if has_bars(spark, path):
-            there = bar_table(spark, path)
+            there = bar_table(spark, path, ids)
             if mode == "overwrite":
                 replaced = new.select(*SERIES).distinct()
                 folders = folders.union(there.join(replaced, SERIES, "left_semi").select(*PARTS)).distinct()
                 there = there.join(replaced, SERIES, "left_anti")
             old = there.join(folders, PARTS, "left_semi")
             new = new.unionByName(old.withColumn("_seq", F.lit(-1).cast("long")))
-        w = Window.partitionBy(*SERIES, "timestamp").orderBy(F.col("_seq").desc(), *[F.col(c).desc() for c in ("close", "open", "high", "low", "volume")])
+        w = Window.partitionBy(*SERIES, "timestamp", *ids).orderBy(F.col("_seq").desc(), *[F.col(c).desc() for c in ("close", "open", "high", "low", "volume")])
         return folders, new.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank", "_seq")
 
     _replace(spark, path, staging, merged)

@@ -35,7 +35,10 @@ def refused(bars: DataFrame) -> DataFrame:
 
 
 def ingest(source: DataFrame, late: str = "1 day", keys: tuple[str, ...] = ("symbol",)) -> DataFrame:
-    """Valid rows of a stream, the first per series and time; state is dropped once rows are later than late."""
+    """Valid rows of a stream, the first per series and time; state is dropped once rows are later than late.
+
+    Ticks may have a series and time in common: with their identifier among the keys each is kept once.
+    """
     return valid(source).withWatermark("timestamp", late).dropDuplicatesWithinWatermark([*keys, "timestamp"])
 
 
@@ -160,13 +163,13 @@ def closing(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(1).select(*[row.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def bar_sink(path: str, staging: str, name: str, series: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+def bar_sink(path: str, staging: str, name: str, series: dict[str, str] | None = None, ids: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """A sink that merges each batch into the bar table at path (see tables.write_bars) and repeats none.
 
     series gives the values of series columns that the stream lacks. Of rows with one series and time the one with the
     greatest version, of a later batch, counts. The batches of the stream name that are in the table are kept with it; a
     batch that comes again, because the stream died before its checkpoint, is left out. One that died half way is merged
-    again, with the same result.
+    again, with the same result. ids are identifiers of ticks, which may have a series and time in common.
     """
 
     def write(df: DataFrame, batch: int) -> None:
@@ -178,7 +181,7 @@ def bar_sink(path: str, staging: str, name: str, series: dict[str, str] | None =
         rows = df.withColumns({c: F.lit(v) for c, v in (series or {}).items()})
         if "version" in rows.columns:
             rows = rows.withColumnRenamed("version", "ingest_seq")
-        tables.write_bars(rows, path, f"{staging}/{name}-{batch}")
+        tables.write_bars(rows, path, f"{staging}/{name}-{batch}", ids=ids)
         fs.mkdirs(done.getParent())
         fs.create(done, True).close()
 
