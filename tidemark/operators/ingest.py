@@ -12,6 +12,37 @@ from tidemark.schemas import BARS, SERIES, minutes
 from tidemark.sources import tables
 
 
+def _until(spark: SparkSession, end: str) -> str:
+    """The end of the window that has end as its last day."""
+    return spark.range(1).select(F.date_add(F.lit(end).cast("date"), 1).cast("timestamp").cast("string")).first()[0]
+
+
+def _bare(universe: DataFrame, landing: DataFrame) -> DataFrame:
+    """Symbols that the landing table marks as without data."""
+    return landing.where("no_data").select("symbol").distinct() if "no_data" in landing.columns else universe.select("symbol").limit(0)
+
+
+def _claims(universe: DataFrame, landing: DataFrame, coverage: DataFrame, start: str, until: str, force: bool) -> DataFrame:
+    gaps = per_symbol_gaps(universe.select("symbol"), coverage.limit(0) if force else coverage, f"{start} 00:00:00", until)
+    gaps = gaps.join(_bare(universe, landing), "symbol", "left_anti")
+    return gaps.select("symbol", F.col("gap_start").alias("start_ts"), F.col("gap_end").alias("end_ts"))
+
+
+def _rows(landing: DataFrame, claims: DataFrame, start: str, until: str) -> DataFrame:
+    """Landing rows inside the claims; rows outside the window, which are in none, go before they are shuffled."""
+    bars = landing.where("not no_data").drop("no_data") if "no_data" in landing.columns else landing
+    bars = bars.where((F.col("timestamp") >= F.lit(f"{start} 00:00:00").cast("timestamp")) & (F.col("timestamp") < F.lit(until).cast("timestamp")))
+    return inside_any(bars, claims, "start_ts", "end_ts")
+
+
+def _report(universe: DataFrame, landing: DataFrame, rows: DataFrame, claims: DataFrame) -> DataFrame:
+    loaded = rows.groupBy("symbol").agg(F.count("*").alias("rows"))
+    asked = claims.groupBy("symbol").agg(F.count("*").alias("gaps"))
+    skipped = _bare(universe, landing).withColumn("_bare", F.lit(True))
+    report = universe.select("symbol").distinct().join(loaded, "symbol", "left").join(asked, "symbol", "left").join(skipped, "symbol", "left")
+    return report.select("symbol", F.when(F.col("_bare"), "skipped").otherwise("ok").alias("status"), F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("gaps", F.lit(0)).alias("gaps"))
+
+
 def sync(universe: DataFrame, landing: DataFrame, coverage: DataFrame, start: str, end: str, force: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows to load, coverage claims, report) for all symbols of a universe in one plan.
 
@@ -19,21 +50,10 @@ def sync(universe: DataFrame, landing: DataFrame, coverage: DataFrame, start: st
     whole window if forced. Each gap is claimed, also if it has no rows, unless the landing table marks the symbol as
     without data (no_data, if there is such a column).
     """
-    stop = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp").cast("string")
-    until = landing.sparkSession.range(1).select(stop).first()[0]
-    none = coverage.limit(0)
-    gaps = per_symbol_gaps(universe.select("symbol"), none if force else coverage, f"{start} 00:00:00", until)
-    bare = landing.where("no_data").select("symbol").distinct() if "no_data" in landing.columns else universe.select("symbol").limit(0)
-    gaps = gaps.join(bare, "symbol", "left_anti")
-    bars = landing.where("not no_data").drop("no_data") if "no_data" in landing.columns else landing
-    rows = inside_any(bars, gaps)
-    claims = gaps.select("symbol", F.col("gap_start").alias("start_ts"), F.col("gap_end").alias("end_ts"))
-    loaded = rows.groupBy("symbol").agg(F.count("*").alias("rows"))
-    asked = claims.groupBy("symbol").agg(F.count("*").alias("gaps"))
-    skipped = bare.withColumn("_bare", F.lit(True))
-    report = universe.select("symbol").distinct().join(loaded, "symbol", "left").join(asked, "symbol", "left").join(skipped, "symbol", "left")
-    report = report.select("symbol", F.when(F.col("_bare"), "skipped").otherwise("ok").alias("status"), F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("gaps", F.lit(0)).alias("gaps"))
-    return rows, claims, report
+    until = _until(landing.sparkSession, end)
+    claims = _claims(universe, landing, coverage, start, until, force)
+    rows = _rows(landing, claims, start, until)
+    return rows, claims, _report(universe, landing, rows, claims)
 
 
 def commit(claims: DataFrame, coverage: DataFrame, failed: DataFrame | None = None) -> DataFrame:
@@ -87,10 +107,11 @@ def run_sync(universe: DataFrame, landing: DataFrame, root: str, run: str, start
     if not tables.exists(spark, f"{at}/coverage-before/_SUCCESS"):
         read_coverage(spark, root).write.mode("overwrite").parquet(f"{at}/coverage-before")  # what the claims are made from
     before = spark.read.schema(COVERAGE).parquet(f"{at}/coverage-before")
-    rows, claims, report = sync(universe, landing, before, start, end, force)
-    claims = _step(spark, f"{at}/claims", lambda: claims)
-    rows = _step(spark, f"{at}/rows", lambda: rows)
-    report = _step(spark, f"{at}/report", lambda: report)
+    until = _until(spark, end)
+    # each step is made from the ones that are staged, so that nothing is worked out twice
+    claims = _step(spark, f"{at}/claims", lambda: _claims(universe, landing, before, start, until, force))
+    rows = _step(spark, f"{at}/rows", lambda: _rows(landing, claims, start, until))
+    report = _step(spark, f"{at}/report", lambda: _report(universe, landing, rows, claims))
 
     def write():
         series = {"provider": F.lit(provider), "timeframe": F.lit(timeframe)}

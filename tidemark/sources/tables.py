@@ -65,8 +65,8 @@ def _write(df: DataFrame, path: str) -> None:
     df.hint("rebalance", *PARTS).sortWithinPartitions(*PARTS, "symbol", "timestamp").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
 
 
-def _replace(spark: SparkSession, path: str, staging: str, make: Callable[[], tuple[DataFrame, DataFrame]]) -> None:
-    """Give some folders of the table new rows: make() returns the folders and all rows that they are to have.
+def _replace(spark: SparkSession, path: str, staging: str, make: Callable[[], tuple[DataFrame | None, DataFrame]]) -> None:
+    """Give some folders of the table new rows: make() returns the folders, or None if all get rows, and all rows that they are to have.
 
     Both are staged first, as a table can't be overwritten while it is read. staging names the call: if it was interrupted
     and is repeated, what was staged completely is used again, so that folders which were half replaced lose nothing; it is
@@ -76,13 +76,14 @@ def _replace(spark: SparkSession, path: str, staging: str, make: Callable[[], tu
     fs, kind = exists_in(spark, path), spark._jvm.org.apache.hadoop.fs.Path
     if not exists(spark, f"{staging}/rows/_SUCCESS"):
         folders, rows = make()
-        folders.write.mode("overwrite").parquet(f"{staging}/folders")
+        if folders is not None:
+            folders.write.mode("overwrite").parquet(f"{staging}/folders")
         rows.write.mode("overwrite").parquet(f"{staging}/rows")
     rows = spark.read.parquet(f"{staging}/rows")
     if not rows.isEmpty():
         _write(rows, path)
-    emptied = spark.read.parquet(f"{staging}/folders").select(*PARTS).join(rows.select(*PARTS).distinct(), PARTS, "left_anti")
-    if exists(spark, path):
+    if exists(spark, f"{staging}/folders/_SUCCESS") and exists(spark, path):
+        emptied = spark.read.parquet(f"{staging}/folders").select(*PARTS).join(rows.select(*PARTS).distinct(), PARTS, "left_anti")
         there = bar_table(spark, path).select(*PARTS, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")).join(F.broadcast(emptied), PARTS).distinct()
         for row in there.select("folder").collect():
             fs.delete(kind(spark._jvm.java.net.URI.create(row.folder)), True)
@@ -110,17 +111,17 @@ def write_bars(bars: DataFrame, path: str, staging: str, mode: str = "append", i
     good, bad = valid_series(bars)
     seq = F.col("ingest_seq") if "ingest_seq" in bars.columns else F.lit(0)
 
-    def merged() -> tuple[DataFrame, DataFrame]:
-        _placed(good.select(*SERIES, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BARS], *[F.col(c).cast("long").alias(c) for c in ids], (seq + 1).cast("long").alias("_seq"))).write.mode("overwrite").parquet(f"{staging}/new")
-        new = spark.read.parquet(f"{staging}/new")
-        folders = new.select(*PARTS).distinct()
+    def merged() -> tuple[DataFrame | None, DataFrame]:
+        new, folders = _placed(good.select(*SERIES, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BARS], *[F.col(c).cast("long").alias(c) for c in ids], (seq + 1).cast("long").alias("_seq"))), None
         if has_bars(spark, path):
-            there = bar_table(spark, path, ids)
+            new.write.mode("overwrite").parquet(f"{staging}/new")  # what is there is looked up by its folders, and then merged
+            new = spark.read.parquet(f"{staging}/new")
+            touched, there = new.select(*PARTS).distinct(), bar_table(spark, path, ids)
             if mode == "overwrite":
                 replaced = new.select(*SERIES).distinct()
-                folders = folders.union(there.join(replaced, SERIES, "left_semi").select(*PARTS)).distinct()
+                folders = touched.union(there.join(replaced, SERIES, "left_semi").select(*PARTS)).distinct()
                 there = there.join(replaced, SERIES, "left_anti")
-            old = there.join(folders, PARTS, "left_semi")
+            old = there.join(touched if folders is None else folders, PARTS, "left_semi")
             new = new.unionByName(old.withColumn("_seq", F.lit(-1).cast("long")))
         w = Window.partitionBy(*SERIES, "timestamp", *ids).orderBy(F.col("_seq").desc(), *[F.col(c).desc() for c in ("close", "open", "high", "low", "volume")])
         return folders, new.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank", "_seq")
