@@ -74,11 +74,29 @@ def composite_universe(snapshots: DataFrame, source: str, as_of: str, pit: bool
 
 
 def membership_deltas(snapshots: DataFrame) -> DataFrame:
-    """Symbols added and removed from one snapshot to the next: source, date, symbol, action, prev_snapshot_date."""
+    """Symbols added and removed from one snapshot to the next: source, date, symbol, action, prev_snapshot_date.
+
+    A snapshot whose tickers are null tells nothing of itself and of the next one.
+    """
+    dates = snapshots.select("source", "date", F.col("tickers").isNotNull().alias("_known"))
+    return member_deltas(snapshots.select("source", "date", F.explode("tickers").alias("symbol")), dates)
+
+
+def member_deltas(members: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """membership_deltas of members(source, date, symbol), a row each, repeated ones count once.
+
+    dates(source, date, _known) are the snapshots, default those that have members; of them there are few. A member is one
+    row at its date and one at the next, and what has only one of both has changed, so that no list of members is in one task.
+    """
     w = Window.partitionBy("source").orderBy("date")
-    df = snapshots.select("source", "date", "tickers", F.lag("tickers").over(w).alias("_was"), F.lag("date").over(w).alias("prev_snapshot_date")).where("prev_snapshot_date is not null")
-    change = lambda a, b, what: df.select("source", "date", F.explode(F.array_except(a, b)).alias("symbol"), F.lit(what).alias("action"), "prev_snapshot_date")
-    return change("tickers", "_was", "added").unionByName(change("_was", "tickers", "removed"))
+    own = (members.select("source", "date", F.lit(True).alias("_known")) if dates is None else dates).groupBy("source", "date").agg(F.bool_and("_known").alias("_known"))
+    near = lambda f: F.when(F.col("_known") & f("_known").over(w), f("date").over(w))
+    own = own.select("source", "date", near(F.lag).alias("_prev"), near(F.lead).alias("_next"))
+    both = members.alias("m").join(own.alias("d"), F.col("m.source").eqNullSafe(F.col("d.source")) & F.col("m.date").eqNullSafe(F.col("d.date")))
+    at = lambda date, prev, here: F.struct(F.col(date).alias("date"), F.col(prev).alias("prev_snapshot_date"), F.lit(here).alias("_here"))
+    rows = both.select("m.source", "m.symbol", F.inline(F.array(at("m.date", "_prev", True), at("_next", "m.date", False)))).where("date is not null and prev_snapshot_date is not null")
+    out = rows.groupBy("source", "date", "symbol", "prev_snapshot_date").agg(F.bool_or("_here").alias("_is"), F.bool_and("_here").alias("_new"))
+    return out.where(~F.col("_is") | F.col("_new")).select("source", "date", "symbol", F.when(F.col("_new"), "added").otherwise("removed").alias("action"), "prev_snapshot_date")
 
 
 def _near(deltas: DataFrame, changes: DataFrame, window_days: int) -> DataFrame:

@@ -62,7 +62,7 @@ def c4(spark, d):
 
 
 def _deltas(spark, d):
-    return universe.membership_deltas(views.snapshots(spark, d))
+    return universe.member_deltas(views.members(spark, d))
 
 
 def g4(spark, d):

@@ -68,6 +68,11 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.concat(F.lit("C"), "o_custkey").alias("symbol"), start.alias("start_ts"), (start + days).alias("end_ts"), (start + F.expr("interval 1 hour")).alias("fetched_at"), F.concat(F.lit("J"), F.col("o_orderkey") % 3).alias("batch_job_id"))
 
 
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the snapshots are made of."""
+    return table(spark, sf_dir, "orders").select(F.lit("orders").alias("source"), F.last_day(F.col("o_orderdate").cast("date")).alias("date"), F.concat(F.lit("C"), "o_custkey").alias("symbol"))
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.groupBy(F.last_day(F.col("o_orderdate").cast("date")).alias("date")).agg(F.sort_array(F.collect_set(F.concat(F.lit("C"), "o_custkey"))).alias("tickers"), F.min(F.lit("orders")).alias("source"))
