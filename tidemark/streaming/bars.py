@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,12 +65,49 @@ def latest(log: DataFrame, keys: Sequence[str] = ("symbol",), batch: str = "batc
 
 #: Buckets that share a key of the state; a long series is many keys.
 PAGE = 64
+#: Rows that a task holds while it sums up what it reads.
+HELD = 500_000
+
+
+def _summed(rows: pa.Table, by: list[str]) -> pa.Table:
+    """A row per bucket: its first open and last close by time (then price, the least and the greatest), extremes and volume."""
+    schema = rows.schema
+    order = {c: pc.sort_indices(rows, sort_keys=[(f"{c}_at", "ascending"), (c, "ascending")]).to_numpy() for c in ("open", "close")}
+    for c, places in order.items():
+        rank = np.empty(len(places), "int64")
+        rank[places] = np.arange(len(places))
+        rows = rows.append_column(f"{c}_rank", pa.array(rank))
+    out = rows.group_by(by).aggregate([("open_rank", "min"), ("close_rank", "max"), ("high", "max"), ("low", "min"), ("volume", "sum")])
+    opens, closes = rows.take(order["open"][out["open_rank_min"].to_numpy()]), rows.take(order["close"][out["close_rank_max"].to_numpy()])
+    columns = {"open_at": opens["open_at"], "open": opens["open"], "high": out["high_max"], "low": out["low_min"], "close_at": closes["close_at"], "close": closes["close"], "volume": out["volume_sum"]}
+    return pa.Table.from_arrays([(out[f.name] if f.name in by else columns[f.name]).cast(f.type) for f in schema], schema=schema)
+
+
+def _sum_up(by: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums up the rows of a task by bucket, so that few rows reach the state, in memory for HELD of them. Closing rows go."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(pa.Table.from_batches([batch]).filter(pc.invert(batch["closing"])).drop_columns("closing"))
+            n += len(held[-1])
+            if n >= HELD:
+                held = [_summed(pa.concat_tables(held), by)]
+                n = len(held[0])
+                if n >= HELD // 2:  # many buckets: the next rows are unlikely to meet them
+                    yield from held.pop().to_batches()
+                    n = 0
+        if n:
+            yield from _summed(pa.concat_tables(held), by).to_batches()
+
+    return sums
 
 
 class Buckets(StatefulProcessor):
     """State of PAGE buckets of a series: the bar of each so far, the times of its open and close, and how often it was emitted.
 
-    A timer waits for the first bucket that is not emitted; when it passes, all that are due are. Rows that come later, but
+    Its input are sums of rows by bucket (_sum_up), as Spark hands rows to it one by one. Sums of a bucket that the watermark
+    has passed are left out. A timer waits for the first bucket that is not emitted; when it passes, all that are due are. Rows that come later, but
     before the page's last timer, emit a bucket again as a correction; that timer drops the page.
     """
 
@@ -97,13 +137,13 @@ class Buckets(StatefulProcessor):
         self.page.update(([(b, *bar) for b, bar in sorted(bars.items())],))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        old, bars, changed = None, {}, set()
+        old, bars, changed, now = None, {}, set(), timerValues.getCurrentWatermarkInMs()
         for pdf in rows:
-            for r in pdf[~pdf["closing"]].itertuples(index=False):
+            for r in pdf[(pdf["bucket"] * 1000 + self.step_ms) > now].itertuples(index=False):
                 if old is None:
                     old = self._load()
                     bars = dict(old)
-                new, bar = (r.at, r.open, r.high, r.low, r.at, r.close, r.volume, 0), bars.get(r.bucket)
+                new, bar = (r.open_at, r.open, r.high, r.low, r.close_at, r.close, r.volume, 0), bars.get(r.bucket)
                 if bar is not None:
                     new = (*min(bar[:2], new[:2]), max(bar[2], new[2]), min(bar[3], new[3]), *max(bar[4:6], new[4:6]), bar[6] + new[6], bar[7])
                 bars[r.bucket] = new
@@ -136,8 +176,9 @@ class Buckets(StatefulProcessor):
 def corrected_roll_up(source: DataFrame, timeframe: str, wait: str = "10 minutes", corrections: str = "1 day", keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Bars of a coarser timeframe from a stream of bars, with version: 0, then 1, 2, ... for corrections.
 
-    A bucket is emitted when the stream's times have passed its end by wait. Rows that are late by up to corrections emit it
-    again, once a batch; later ones are dropped, as is the state of a page of buckets once no row can reach it. A stream
+    A bucket is emitted when the stream's times have passed its end by wait. Later rows emit it again, once a batch, until the
+    times of earlier batches have passed its end by corrections; then its rows are dropped, as is the state of a page of
+    buckets once no row can reach it. Each task sums up its rows by bucket before they are shuffled. A stream
     whose input has ended is closed by a row of closing(): its time is later than all others, so that every open bucket is
     emitted and no state stays. The last version of a bucket is its bar; a sink that merges by series and time (bar_sink)
     holds just these. Prices must not be null (see valid); a null volume counts as 0.
@@ -150,10 +191,13 @@ def corrected_roll_up(source: DataFrame, timeframe: str, wait: str = "10 minutes
     result = T.StructType([*[source.schema[k] for k in keys], field("bucket", T.LongType()), *[field(c, kinds[c]) for c in (*OHLC, "volume")], field("version", T.IntegerType())])
     end_row = F.coalesce(F.col("closing"), F.lit(False)) if "closing" in source.columns else F.lit(False)
     number = F.floor(F.unix_seconds("timestamp") / seconds)
-    rows = source.withWatermark("timestamp", corrections).select(*keys, F.floor(number / PAGE).alias("page"), (number * seconds).alias("bucket"), F.unix_micros("timestamp").alias("at"), *OHLC, F.coalesce("volume", F.lit(0).cast(kinds["volume"])).alias("volume"), end_row.alias("closing"), "timestamp")
+    at = F.unix_micros("timestamp")
+    rows = source.withWatermark("timestamp", corrections).select(*keys, (number * seconds).alias("bucket"), at.alias("open_at"), *OHLC[:3], at.alias("close_at"), "close", F.coalesce("volume", F.lit(0).cast(kinds["volume"])).alias("volume"), end_row.alias("closing"))
+    # closing rows are dropped in there: a filter would be pushed below the watermark, which they have to move
+    sums = rows.mapInArrow(_sum_up([*keys, "bucket"]), rows.drop("closing").schema).withColumn("page", F.floor(F.col("bucket") / (seconds * PAGE)))
     # a timer passes when the watermark does, which is behind the newest time by corrections
     processor = Buckets(T.StructType([field("bars", T.ArrayType(bar))]), keys, seconds * 1000, seconds * 1000 + ms(wait) - ms(corrections))
-    bars = rows.groupBy(*keys, "page").transformWithStateInPandas(processor, result, "Append", "EventTime")
+    bars = sums.groupBy(*keys, "page").transformWithStateInPandas(processor, result, "Append", "EventTime")
     return bars.select(*keys, F.timestamp_seconds("bucket").alias("timestamp"), *OHLC, "volume", "version")
 
 
@@ -169,7 +213,8 @@ def bar_sink(path: str, staging: str, name: str, series: dict[str, str] | None =
     series gives the values of series columns that the stream lacks. Of rows with one series and time the one with the
     greatest version, of a later batch, counts. The batches of the stream name that are in the table are kept with it; a
     batch that comes again, because the stream died before its checkpoint, is left out. One that died half way is merged
-    again, with the same result. ids are identifiers of ticks, which may have a series and time in common.
+    again, with the same result. ids are identifiers of ticks, which may have a series and time in common. A batch is staged
+    before it is merged: the merge reads it more than once, and each time the stream's state would be worked through again.
     """
 
     def write(df: DataFrame, batch: int) -> None:
@@ -181,7 +226,13 @@ def bar_sink(path: str, staging: str, name: str, series: dict[str, str] | None =
         rows = df.withColumns({c: F.lit(v) for c, v in (series or {}).items()})
         if "version" in rows.columns:
             rows = rows.withColumnRenamed("version", "ingest_seq")
-        tables.write_bars(rows, path, f"{staging}/{name}-{batch}", ids=ids)
+        own = f"{staging}/{name}-{batch}"
+        rows.write.mode("overwrite").parquet(f"{own}/batch")
+        staged = spark.read.schema(rows.schema).parquet(f"{own}/batch")
+        if staged.isEmpty():
+            fs.delete(kind(own), True)
+        else:
+            tables.write_bars(staged, path, own, "append", ids)
         fs.mkdirs(done.getParent())
         fs.create(done, True).close()
 
